@@ -105,7 +105,7 @@ def codes(column: str) -> str:
     return f"""
 {column}_codes AS (
   SELECT {column}, CAST(row_number() OVER (ORDER BY f) - 1 AS INT) AS {column}_enc
-  FROM (SELECT {column}, min(store || '|' || product || '|' || CAST(date AS VARCHAR)) AS f
+  FROM (SELECT {column}, min(concat_ws(chr(1), store, product, CAST(date AS VARCHAR))) AS f
         FROM panel GROUP BY {column}))"""
 
 
@@ -200,13 +200,19 @@ inv AS (
     )
 
 
+def shift(digits: int) -> float:
+    return 10.0**-digits * 0.2718281828
+
+
 def sql(select: str, *ctes: str, digits: int = 6, doubles: str = "", **own: int) -> str:
     """``WITH ctes select`` with the named double columns rounded."""
     places = {**{c: digits for c in doubles.split()}, **own}
     body = f"WITH {','.join(ctes)}\n{select}"
     if not places:
         return body
-    rounds = ", ".join(f"round({c}, {n}) AS {c}" for c, n in places.items())
+    # Prices end on decimal halves, where the noise of float sums decides how they
+    # round; a shift by part of the last place moves all halves aside.
+    rounds = ", ".join(f"round({c} + {shift(n)}, {n}) AS {c}" for c, n in places.items())
     return f"SELECT * REPLACE ({rounds}) FROM (\n{body}\n)"
 
 

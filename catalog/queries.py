@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import tables as t
-from catalog.oracle import CORRELATED, MEDIAN_FILLED, PROFILED
+from catalog.oracle import CORRELATED, MEDIAN_FILLED, PROFILED, shift
 from shelf.operators import features as feat
 from shelf.operators import forecast as fc
 from shelf.operators import inventory as inv
@@ -26,9 +26,17 @@ _registry: dict[str, Query] = {}
 
 
 def rounded(df: DataFrame, digits: int = 6, **own: int) -> DataFrame:
-    """Round double columns so that the order of float sums does not show."""
+    """Round double columns so that the order of float sums does not show.
+
+    The shift keeps decimal halves away from the rounding boundary.
+    """
     doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
-    return df.withColumns({c: F.round(c, own.get(c, digits)) for c in doubles})
+
+    def near(name: str):
+        places = own.get(name, digits)
+        return F.round(F.col(name) + shift(places), places)
+
+    return df.withColumns({c: near(c) for c in doubles})
 
 
 def query(digits: int | None = 6, **own: int):
@@ -481,3 +489,41 @@ def future_features(spark, d):
         "is_month_start", "is_month_end", "day_of_year",
         "is_promotion", "promo_x_weekend", "promo_lag1",
     )
+
+
+# The trained models have no SQL twin; these queries are checked by row counts and tests.
+
+
+@query(None)
+def test_predictions(spark, d):
+    _, test = fc.time_split(t.features(spark, d))
+    return scored_test(test, t.models(spark, d)[FOREST])
+
+
+@query(None)
+def feature_importance(spark, d):
+    return fc.feature_importance(spark, t.models(spark, d)[FOREST])
+
+
+@query(None)
+def model_comparison(spark, d):
+    train, test = fc.time_split(t.features(spark, d))
+    rows = [fc.metrics(fc.naive_forecast(train, test), NAIVE)]
+    rows += [fc.metrics(fc.predict(test, m), n) for n, m in t.models(spark, d).items()]
+    return fc.compare(*rows)
+
+
+@query(None)
+def model_improvement(spark, d):
+    return fc.improvement(stage(_registry["model_comparison"](spark, d), "comparison"), NAIVE)
+
+
+@query(None)
+def future_forecast(spark, d):
+    model = t.models(spark, d)[BOOSTED]
+    return fc.future_forecast(t.features(spark, d), model, model_name=BOOSTED)
+
+
+@query(None)
+def arima_forecast(spark, d):
+    return arima_by_series(t.panel(spark, d))

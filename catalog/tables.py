@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelf.operators.features import last_rows
+from shelf.operators.forecast import boosted_trees, random_forest, time_split
 from shelf.operators.inventory import recommendations
 from shelf.plans.features import build_features
+from shelf.plans.forecast import BOOSTED, FOREST
 from shelf.plans.preprocess import daily_panel
 from shelf.schema import SERIES
 from shelf.sources.retail import SEQ, retail_sales
@@ -53,3 +56,22 @@ def recent_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stock_table(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
     return recommendations(panel(spark, sf_dir), recent_forecast(spark, sf_dir), **settings)
+
+
+# Smaller than the library's defaults, so that a check takes seconds; all rows are used.
+FOREST_SIZE = {"trees": 20, "depth": 5}
+BOOSTED_SIZE = {"rounds": 10, "depth": 4}
+
+_fitted: dict[tuple[str, str], dict[str, PipelineModel]] = {}
+
+
+def models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
+    """Both tree models, fitted once per session on the training rows."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _fitted:
+        train, _ = time_split(features(spark, sf_dir))
+        _fitted[key] = {
+            FOREST: random_forest(train, **FOREST_SIZE),
+            BOOSTED: boosted_trees(train, **BOOSTED_SIZE),
+        }
+    return _fitted[key]

@@ -5,14 +5,20 @@ A group is one daily series, so its size is bounded by the number of days.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelf.operators.quality import fill_date_gaps
 from shelf.schema import SERIES
 
+# Ship the fit with the task: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MIN_DAYS = 60
 LIMIT = 0.99
 

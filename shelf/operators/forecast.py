@@ -113,8 +113,8 @@ def random_forest(
 ) -> PipelineModel:
     # Without caching of node ids a deep tree is traversed again on every level.
     regressor = RandomForestRegressor(
-        numTrees=trees, maxDepth=depth, seed=seed, maxBins=bins, cacheNodeIds=True,
-        maxMemoryInMB=1024,
+        numTrees=trees, maxDepth=depth, seed=seed, maxBins=bins, featureSubsetStrategy="all",
+        cacheNodeIds=True, maxMemoryInMB=1024,
     )
     return _fit(train, regressor, features)
 
