@@ -416,7 +416,7 @@ def stockout_by_category(spark, d):
     return inv.stockout_by_category(t.stock_table(spark, d))
 
 
-@query()
+@query(None)
 def business_kpis(spark, d):
     return inv.business_kpis(t.raw(spark, d), t.stock_table(spark, d))
 

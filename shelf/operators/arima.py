@@ -13,6 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelf.operators.forecast import spread
 from shelf.operators.quality import fill_date_gaps
 from shelf.schema import SERIES
 
@@ -30,24 +31,33 @@ def _errors(y: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> np.ndarray:
     for i, weights in enumerate(ar, 1):
         noise[i:] -= y[:-i, None] * weights
     q = len(ma)
+    if q == 1:
+        # e[t] = a[t] - m e[t-1], summed over spans that double in length.
+        span, factor = 1, -ma[0]
+        while span < n and np.any(np.abs(factor) > 1e-15):
+            noise[span:] = noise[span:] + factor * noise[:-span]
+            span, factor = 2 * span, factor * factor
+        return noise
     for t in range(1, n if q else 0):
         for j in range(1, min(q, t) + 1):
             noise[t] -= ma[j - 1] * noise[t - j]
     return noise
 
 
-def fit_css(y: np.ndarray, p: int, q: int, *, rounds: int = 7, width: int = 7) -> np.ndarray:
+def fit_css(
+    y: np.ndarray, p: int, q: int, *, start: np.ndarray | None = None, width: int = 7
+) -> np.ndarray:
     """AR and MA weights with the least conditional sum of squares.
 
     Neighbouring weights are searched in pairs on a grid that narrows around the
-    best point found so far.
+    best point found so far; from a good ``start`` a small grid is enough.
     """
-    best = np.zeros(p + q)
+    best = np.zeros(p + q) if start is None else start
     if not p + q or not np.any(y):
         return best
     pairs = [[0]] if p + q == 1 else [[k, k + 1] for k in range(p + q - 1)]
-    reach = 0.9
-    for _ in range(rounds):
+    reach = 0.9 if start is None else 0.06
+    while reach > 0.002:
         for pair in pairs:
             ticks = [np.linspace(-reach, reach, width)] * len(pair)
             moves = np.stack([g.ravel() for g in np.meshgrid(*ticks)])
@@ -60,18 +70,21 @@ def fit_css(y: np.ndarray, p: int, q: int, *, rounds: int = 7, width: int = 7) -
 
 
 def arima_forecast(
-    values: np.ndarray, steps: int, order: tuple[int, int, int] = (1, 1, 1)
-) -> np.ndarray:
-    """Forecast ``steps`` values after ``values``; never below zero."""
+    values: np.ndarray,
+    steps: int,
+    order: tuple[int, int, int] = (1, 1, 1),
+    *,
+    start: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ``steps`` values after ``values``, never below zero, and the fitted weights."""
     p, d, q = order
     levels = [np.asarray(values, dtype=float)]
     for _ in range(d):
         levels.append(np.diff(levels[-1]))
-    y = levels[-1]
     # A model without differencing works on deviations from the mean.
-    centre = y.mean() if d == 0 else 0.0
-    y = y - centre
-    weights = fit_css(y, p, q)
+    centre = levels[-1].mean() if d == 0 else 0.0
+    y = levels[-1] - centre
+    weights = fit_css(y, p, q, start=start)
     ar, ma = weights[:p], weights[p:]
     noise = _errors(y, ar[:, None], ma[:, None])[:, 0]
     past, shocks = list(y), list(noise)
@@ -83,7 +96,7 @@ def arima_forecast(
     out = np.array(past[len(y):]) + centre
     for level in reversed(levels[:-1]):
         out = level[-1] + np.cumsum(out)
-    return np.maximum(out, 0.0)
+    return np.maximum(out, 0.0), weights
 
 
 _OUTPUT = "store string, product string, date date, kind string, actual double, forecast double"
@@ -109,6 +122,8 @@ def arima_by_series(
         if len(values) < max(min_days, steps + 3):
             return pd.DataFrame(columns=[c.split()[0] for c in _OUTPUT.split(", ")])
         last = pd.Timestamp(group["date"].iloc[-1])
+        backtest, weights = arima_forecast(values[:-steps], steps, order)
+        ahead, _ = arima_forecast(values, steps, order, start=weights)
         future = pd.date_range(last + pd.Timedelta(days=1), periods=steps, freq="D")
         known = group["date"].iloc[-steps:]
         return pd.DataFrame(
@@ -118,10 +133,7 @@ def arima_by_series(
                 "date": [*known, *future.date],
                 "kind": ["backtest"] * steps + ["future"] * steps,
                 "actual": [*values[-steps:], *[None] * steps],
-                "forecast": [
-                    *arima_forecast(values[:-steps], steps, order),
-                    *arima_forecast(values, steps, order),
-                ],
+                "forecast": [*backtest, *ahead],
             }
         )
 
@@ -130,4 +142,4 @@ def arima_by_series(
         carried=(),
         zeroed=("value",),
     )
-    return series.groupBy(*SERIES).applyInPandas(one_series, _OUTPUT)
+    return spread(series, *SERIES).groupBy(*SERIES).applyInPandas(one_series, _OUTPUT)

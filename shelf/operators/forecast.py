@@ -95,11 +95,22 @@ def model_input(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Distribute by ``keys`` over all cores.
+
+    A given number of partitions is not merged again by adaptive execution, which
+    looks at bytes, while fitting and scoring are bound by computation.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores, *keys)
+
+
 def _fit(train: DataFrame, regressor, features: Sequence[str] | None) -> PipelineModel:
     features = list(features or feature_names(train))
     assembler = VectorAssembler(inputCols=features, outputCol="features")
-    rows = model_input(train.select(*features, F.col(TARGET).cast("double").alias("label")), features)
-    return Pipeline(stages=[assembler, regressor]).fit(rows)
+    label = F.col(TARGET).cast("double").alias("label")
+    rows = spread(train, *present(train, KEY)).select(*features, label)
+    return Pipeline(stages=[assembler, regressor]).fit(model_input(rows, features))
 
 
 def random_forest(
@@ -166,24 +177,17 @@ def noise_interval(
 ) -> DataFrame:
     """Per row the spread of predictions when the features are jittered.
 
-    Each row is repeated on the spot and its replicas are reduced before the
-    shuffle. The noise is a function of key, replica and feature, so a repeated
-    task draws the same numbers.
+    Rows are distributed by key before they are repeated, so the replicas are
+    scored and reduced where they are made and never shuffled. The order within a
+    partition is fixed as well: a repeated task draws the same noise.
     """
     features = model.stages[0].getInputCols()
-    copies = model_input(df.select(*key, *[f for f in features if f not in key]), features)
-    copies = copies.withColumn("_replica", F.explode(F.sequence(F.lit(1), F.lit(replicas))))
-    # Two hashed uniforms give one normal value (Box-Muller).
-    def uniform(tag: str) -> Column:
-        hashed = F.xxhash64(F.lit(seed), F.lit(tag), *key, "_replica")
-        return (F.pmod(hashed, F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
-
-    def normal(name: str) -> Column:
-        radius = F.sqrt(F.log(uniform(name + "/r")) * -2.0)
-        return radius * F.cos(uniform(name + "/a") * 6.283185307179586)
-
+    rows = spread(df.select(*key, *[f for f in features if f not in key]), *key)
+    copies = model_input(rows.sortWithinPartitions(*key), features).withColumn(
+        "_replica", F.explode(F.sequence(F.lit(1), F.lit(replicas)))
+    )
     jittered = copies.withColumns(
-        {f: F.col(f) + normal(f) * noise for f in features}
+        {f: F.col(f) + F.randn(seed + i) * noise for i, f in enumerate(features)}
     )
     tail = (1 - level) / 2
     scored = predict(jittered.select(*key, *features), model, output="_p")
