@@ -90,9 +90,18 @@ def feature_names(df: DataFrame) -> list[str]:
     return present(df, MODEL_FEATURES)
 
 
+INPUT = "_x_"
+
+
 def model_input(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Features as doubles with nulls as zero."""
-    return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
+    """Add each feature as a double with nulls as zero, beside the untouched column."""
+    return df.withColumns(
+        {INPUT + f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features}
+    )
+
+
+def model_features(model: PipelineModel) -> list[str]:
+    return [name.removeprefix(INPUT) for name in model.stages[0].getInputCols()]
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -107,7 +116,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 def _fit(train: DataFrame, regressor, features: Sequence[str] | None) -> PipelineModel:
     features = list(features or feature_names(train))
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    assembler = VectorAssembler(inputCols=[INPUT + f for f in features], outputCol="_features")
+    regressor = regressor.setFeaturesCol("_features").setPredictionCol("_prediction")
     label = F.col(TARGET).cast("double").alias("label")
     rows = spread(train, *present(train, KEY)).select(*features, label)
     return Pipeline(stages=[assembler, regressor]).fit(model_input(rows, features))
@@ -148,16 +158,14 @@ def boosted_trees(
 
 
 def predict(df: DataFrame, model: PipelineModel, *, output: str = "predicted_sales") -> DataFrame:
-    """Add the model's prediction, never below zero, to the untouched columns of ``df``."""
-    features = model.stages[0].getInputCols()
-    kept = F.struct(*[F.col(c) for c in df.columns])
-    scored = model.transform(model_input(df.withColumn("_row", kept), features))
-    return scored.select("_row.*", non_negative(F.col("prediction")).alias(output))
+    """Add the model's prediction, never below zero."""
+    scored = model.transform(model_input(df, model_features(model)))
+    return scored.select(*df.columns, non_negative(F.col("_prediction")).alias(output))
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Table (feature, importance), most important first."""
-    names = model.stages[0].getInputCols()
+    names = model_features(model)
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(n, float(w)) for n, w in zip(names, weights)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
@@ -181,18 +189,23 @@ def noise_interval(
     scored and reduced where they are made and never shuffled. The order within a
     partition is fixed as well: a repeated task draws the same noise.
     """
-    features = model.stages[0].getInputCols()
+    features = model_features(model)
     rows = spread(df.select(*key, *[f for f in features if f not in key]), *key)
-    copies = model_input(rows.sortWithinPartitions(*key), features).withColumn(
+    copies = rows.sortWithinPartitions(*key).withColumn(
         "_replica", F.explode(F.sequence(F.lit(1), F.lit(replicas)))
     )
-    jittered = copies.withColumns(
-        {f: F.col(f) + F.randn(seed + i) * noise for i, f in enumerate(features)}
+    jittered = copies.select(
+        *key,
+        *[
+            (F.coalesce(F.col(f).cast("double"), F.lit(0.0)) + F.randn(seed + i) * noise).alias(f)
+            for i, f in enumerate(features)
+        ],
     )
     tail = (1 - level) / 2
-    scored = predict(jittered.select(*key, *features), model, output="_p")
+    scored = predict(jittered, model, output="_p")
     bounds = scored.groupBy(*key).agg(F.percentile("_p", [tail, 1 - tail]).alias("_b"))
-    return bounds.select(*key, F.col("_b")[0].alias("pred_lower"), F.col("_b")[1].alias("pred_upper"))
+    low, high = F.col("_b")[0], F.col("_b")[1]
+    return bounds.select(*key, low.alias("pred_lower"), high.alias("pred_upper"))
 
 
 def future_features(
