@@ -18,7 +18,7 @@ from shelf.operators.rollup import daily_rollup
 from shelf.plans.forecast import BOOSTED, FOREST, NAIVE, scored_test
 from shelf.plans.preprocess import preprocess
 from shelf.sources.io import export_filtered, read_table, write_table
-from shelf.sources.retail import SEQ
+from shelf.sources.retail import SEQ, retail_sales
 from shelf.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,7 +65,7 @@ KEYS = ("date", "store", "product")
 
 @query()
 def retail_view(spark, d):
-    return t.raw(spark, d)
+    return retail_sales(spark, d)
 
 
 @query(revenue=4)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelf.functions.numeric import clip
-from shelf.operators.quantiles import ACCURACY, exact_quantiles, quantile_key, quantile_map
+from shelf.operators.quantiles import ACCURACY, quantile_of, quantile_row
 from shelf.schema import SERIES, columns_of, numeric_columns, present
 
 KEY = ("date", *SERIES)
@@ -56,20 +56,16 @@ def impute(
     filled = dated.fillna(label, subset=columns_of(df, T.StringType))
     if not numeric:
         return filled
-    medians = quantile_map(dated, {c: F.col(c) for c in numeric}, [0.5], accuracy=accuracy)
-    return (
-        filled.withColumn("_medians", medians)
-        .withColumns(
-            {
-                c: F.coalesce(
-                    F.col(c).cast("double"),
-                    F.try_element_at("_medians", F.lit(quantile_key(c, 0.5))),
-                )
-                for c in numeric
-            }
-        )
-        .drop("_medians")
-    )
+    values = {c: F.col(c) for c in numeric}
+    medians = filled.withColumn("_medians", quantile_row(dated, values, [0.5], accuracy=accuracy))
+    return medians.withColumns(
+        {
+            c: F.coalesce(
+                F.col(c).cast("double"), quantile_of(F.col("_medians"), values, c, [0.5], 0.5)
+            )
+            for c in numeric
+        }
+    ).drop("_medians")
 
 
 def fix_types(df: DataFrame, types: Mapping[str, str] = TYPES) -> DataFrame:
@@ -92,27 +88,21 @@ def dedupe_first(
     ).select(*df.columns)
 
 
-def fences(
-    df: DataFrame,
-    columns: Sequence[str] = CAPPED,
-    *,
-    multiplier: float = FENCE,
-    accuracy: int = ACCURACY,
-) -> DataFrame:
-    """Per column the lower and upper outlier fence from its quartiles."""
-    table = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.75], accuracy=accuracy)
-    quartiles = table.groupBy(F.col("name").alias("column")).agg(
-        F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("q1"),
-        F.max(F.when(F.col("prob") == 0.75, F.col("quantile"))).alias("q3"),
-    )
-    reach = (F.col("q3") - F.col("q1")) * multiplier
-    return quartiles.withColumns({"lower": F.col("q1") - reach, "upper": F.col("q3") + reach})
+QUARTILES = (0.25, 0.75)
 
 
-def _fence_map(df: DataFrame, columns, multiplier, accuracy) -> Column:
-    entry = F.struct("column", F.struct("lower", "upper"))
-    table = fences(df, columns, multiplier=multiplier, accuracy=accuracy)
-    return table.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+def _with_fences(
+    df: DataFrame, columns: Sequence[str], multiplier: float, accuracy: int
+) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
+    """``df`` with the quartiles attached, and per column its lower and upper fence."""
+    values = {c: F.col(c) for c in columns}
+    fenced = df.withColumn("_quartiles", quantile_row(df, values, QUARTILES, accuracy=accuracy))
+    fences = {}
+    for name in columns:
+        q1, q3 = (quantile_of(F.col("_quartiles"), values, name, QUARTILES, p) for p in QUARTILES)
+        reach = (q3 - q1) * multiplier
+        fences[name] = (q1 - reach, q3 + reach)
+    return fenced, fences
 
 
 def cap_outliers(
@@ -122,17 +112,14 @@ def cap_outliers(
     multiplier: float = FENCE,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Move values outside the fences onto them; capped columns become double.
+    """Move values outside the quartile fences onto them; capped columns become double.
 
-    All columns share one pass for the quartiles.
+    All columns share the passes for the quartiles.
     """
-    fenced = df.withColumn("_fences", _fence_map(df, columns, multiplier, accuracy))
-
-    def capped(name: str) -> Column:
-        fence = F.try_element_at("_fences", F.lit(name))
-        return clip(F.col(name).cast("double"), fence["lower"], fence["upper"])
-
-    return fenced.withColumns({c: capped(c) for c in columns}).drop("_fences")
+    fenced, fences = _with_fences(df, columns, multiplier, accuracy)
+    return fenced.withColumns(
+        {c: clip(F.col(c).cast("double"), *fences[c]) for c in columns}
+    ).drop("_quartiles")
 
 
 def outlier_counts(
@@ -143,18 +130,17 @@ def outlier_counts(
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Per column the fences and the number of rows outside them."""
-    fenced = df.withColumn("_fences", _fence_map(df, columns, multiplier, accuracy))
+    fenced, fences = _with_fences(df, columns, multiplier, accuracy)
     entries = []
     for name in columns:
-        fence = F.try_element_at("_fences", F.lit(name))
+        lower, upper = fences[name]
         value = F.col(name).cast("double")
-        outside = (value < fence["lower"]) | (value > fence["upper"])
         entries.append(
             F.struct(
                 F.lit(name).alias("column"),
-                F.max(fence["lower"]).alias("lower"),
-                F.max(fence["upper"]).alias("upper"),
-                F.count_if(outside).alias("outliers"),
+                F.max(lower).alias("lower"),
+                F.max(upper).alias("upper"),
+                F.count_if((value < lower) | (value > upper)).alias("outliers"),
             )
         )
     return fenced.agg(F.array(*entries).alias("e")).select(F.inline("e"))

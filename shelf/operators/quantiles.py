@@ -99,18 +99,33 @@ def exact_quantiles(
     )
 
 
-def quantile_map(
+def quantile_row(
     df: DataFrame,
     values: Mapping[str, Column],
     probs: Sequence[float],
     *,
     accuracy: int = ACCURACY,
 ) -> Column:
-    """Scalar map from ``quantile_key(name, prob)`` to the quantile, usable in any expression."""
+    """All quantiles as one scalar struct; :func:`quantile_of` picks a field.
+
+    The struct is a scalar subquery: it reaches every task as a literal, without
+    a join.
+    """
     table = exact_quantiles(df, values, probs, accuracy=accuracy)
-    key = F.concat_ws("@", "name", F.col("prob").cast("string"))
-    return table.agg(F.map_from_entries(F.collect_list(F.struct(key, "quantile")))).scalar()
+
+    def pick(name: str, prob: float) -> Column:
+        wanted = (F.col("name") == name) & (F.col("prob") == float(prob))
+        return F.max(F.when(wanted, F.col("quantile"))).alias(_field(values, name, probs, prob))
+
+    fields = [pick(n, p) for n in values for p in probs]
+    return table.agg(F.struct(*fields).alias("quantiles")).scalar()
 
 
-def quantile_key(name: str, prob: float) -> str:
-    return f"{name}@{float(prob)}"
+def _field(values: Mapping[str, Column], name: str, probs: Sequence[float], prob: float) -> str:
+    return f"q{list(values).index(name)}_{list(probs).index(prob)}"
+
+
+def quantile_of(
+    row: Column, values: Mapping[str, Column], name: str, probs: Sequence[float], prob: float
+) -> Column:
+    return row.getField(_field(values, name, probs, prob))

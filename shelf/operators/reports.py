@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from shelf.functions.calendar import WEEKDAYS, weekday_name, year_month
 from shelf.functions.numeric import millions, percent
-from shelf.operators.quantiles import ACCURACY, exact_quantiles, quantile_key, quantile_map
+from shelf.operators.quantiles import ACCURACY, exact_quantiles
 from shelf.schema import columns_of, numeric_columns
 
 # Short month names, January first.
@@ -120,9 +120,8 @@ def promotion_impact(
     df: DataFrame, *, measure: str = "actual_sales", accuracy: int = ACCURACY
 ) -> DataFrame:
     """Mean, median, sum and deviation of sales with and without promotion."""
-    medians = quantile_map(
-        df, _flags(measure, "is_promotion", PROMO_LABELS), [0.5], accuracy=accuracy
-    )
+    groups = _flags(measure, "is_promotion", PROMO_LABELS)
+    medians = exact_quantiles(df, groups, [0.5], accuracy=accuracy)
     labels = F.create_map(*[F.lit(x) for item in PROMO_LABELS.items() for x in item])
     return (
         df.groupBy("is_promotion")
@@ -132,11 +131,8 @@ def promotion_impact(
             F.stddev_samp(measure).alias("std"),
         )
         .withColumn("label", labels[F.col("is_promotion")])
-        .withColumn(
-            "median",
-            F.try_element_at(medians, F.concat(F.col("label"), F.lit(quantile_key("", 0.5)))),
-        )
-        .select("label", "mean", "median", "sum", "std")
+        .join(medians.select(F.col("name").alias("label"), "quantile"), "label", "left")
+        .select("label", "mean", F.col("quantile").alias("median"), "sum", "std")
     )
 
 
