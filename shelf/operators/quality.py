@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelf.functions.numeric import clip
-from shelf.operators.quantiles import ACCURACY, quantile_of, quantile_row
+from shelf.operators.quantiles import ACCURACY, exact_quantiles
 from shelf.schema import SERIES, columns_of, numeric_columns, present
 
 KEY = ("date", *SERIES)
@@ -56,16 +56,10 @@ def impute(
     filled = dated.fillna(label, subset=columns_of(df, T.StringType))
     if not numeric:
         return filled
-    values = {c: F.col(c) for c in numeric}
-    medians = filled.withColumn("_medians", quantile_row(dated, values, [0.5], accuracy=accuracy))
-    return medians.withColumns(
-        {
-            c: F.coalesce(
-                F.col(c).cast("double"), quantile_of(F.col("_medians"), values, c, [0.5], 0.5)
-            )
-            for c in numeric
-        }
-    ).drop("_medians")
+    medians = exact_quantiles(dated, {c: F.col(c) for c in numeric}, [0.5], accuracy=accuracy)
+    return filled.withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c, 0.5])) for c in numeric}
+    )
 
 
 def fix_types(df: DataFrame, types: Mapping[str, str] = TYPES) -> DataFrame:
@@ -88,21 +82,22 @@ def dedupe_first(
     ).select(*df.columns)
 
 
-QUARTILES = (0.25, 0.75)
-
-
-def _with_fences(
-    df: DataFrame, columns: Sequence[str], multiplier: float, accuracy: int
-) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
-    """``df`` with the quartiles attached, and per column its lower and upper fence."""
-    values = {c: F.col(c) for c in columns}
-    fenced = df.withColumn("_quartiles", quantile_row(df, values, QUARTILES, accuracy=accuracy))
-    fences = {}
+def fences(
+    df: DataFrame,
+    columns: Sequence[str] = CAPPED,
+    *,
+    multiplier: float = FENCE,
+    accuracy: int = ACCURACY,
+) -> dict[str, tuple[float | None, float | None]]:
+    """Per column the lower and the upper outlier fence from its quartiles."""
+    found = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.75], accuracy=accuracy)
+    result = {}
     for name in columns:
-        q1, q3 = (quantile_of(F.col("_quartiles"), values, name, QUARTILES, p) for p in QUARTILES)
-        reach = (q3 - q1) * multiplier
-        fences[name] = (q1 - reach, q3 + reach)
-    return fenced, fences
+        q1, q3 = found[name, 0.25], found[name, 0.75]
+        known = q1 is not None and q3 is not None
+        reach = (q3 - q1) * multiplier if known else None
+        result[name] = (q1 - reach, q3 + reach) if known else (None, None)
+    return result
 
 
 def cap_outliers(
@@ -114,12 +109,12 @@ def cap_outliers(
 ) -> DataFrame:
     """Move values outside the quartile fences onto them; capped columns become double.
 
-    All columns share the passes for the quartiles.
+    The quartiles of all columns are found together, before the result is used.
     """
-    fenced, fences = _with_fences(df, columns, multiplier, accuracy)
-    return fenced.withColumns(
-        {c: clip(F.col(c).cast("double"), *fences[c]) for c in columns}
-    ).drop("_quartiles")
+    bounds = fences(df, columns, multiplier=multiplier, accuracy=accuracy)
+    return df.withColumns(
+        {c: clip(F.col(c).cast("double"), *map(F.lit, bounds[c])) for c in columns}
+    )
 
 
 def outlier_counts(
@@ -130,10 +125,9 @@ def outlier_counts(
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Per column the fences and the number of rows outside them."""
-    fenced, fences = _with_fences(df, columns, multiplier, accuracy)
     entries = []
-    for name in columns:
-        lower, upper = fences[name]
+    for name, bounds in fences(df, columns, multiplier=multiplier, accuracy=accuracy).items():
+        lower, upper = (F.lit(b).cast("double") for b in bounds)
         value = F.col(name).cast("double")
         entries.append(
             F.struct(
@@ -143,7 +137,7 @@ def outlier_counts(
                 F.count_if((value < lower) | (value > upper)).alias("outliers"),
             )
         )
-    return fenced.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+    return df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
 
 
 def fill_date_gaps(

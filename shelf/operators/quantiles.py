@@ -1,45 +1,105 @@
-"""Exact quantiles in two passes and bounded memory.
+"""Exact quantiles in bounded memory.
 
 The built-in exact percentile keeps every distinct value of a group in one
-buffer. Here a sketch first brackets each quantile, then only the values inside
-the brackets are counted and ranked.
+buffer. Here a sketch first brackets each quantile; only the values inside the
+brackets are then counted and ranked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
-
-
-def _brackets(df: DataFrame, values: Sequence[Column], probs: Sequence[float], accuracy: int):
-    """One row: per value its count and, per quantile, bounds that surely enclose it."""
-    # The sketch errs by at most 1/accuracy of the rows; three times that leaves
-    # room for the two neighbours of an interpolated quantile. Fewer rows than
-    # ``accuracy`` are bracketed by minimum and maximum.
-    margin = 3.0 / accuracy
-    lows = [max(p - margin, 0.0) for p in probs]
-    highs = [min(p + margin, 1.0) for p in probs]
-    entries = []
-    for value in values:
-        sketch = F.percentile_approx(value, lows + highs, accuracy)
-        count = F.count(value)
-        for i in range(len(probs)):
-            inside = count > accuracy
-            entries.append(
-                F.struct(
-                    count.alias("n"),
-                    F.when(inside, sketch[i]).otherwise(F.min(value)).alias("low"),
-                    F.when(inside, sketch[i + len(probs)]).otherwise(F.max(value)).alias("high"),
-                )
-            )
-    return df.agg(F.array(*entries).alias("brackets"))
+from shelf.operators.running import ONE_TASK_ROWS, running_total
 
+ACCURACY = 20_000
 
-def exact_quantiles(
+# The sketch errs by at most 1/accuracy of the rows; three times that leaves room
+# for both neighbours of an interpolated quantile.
+MARGIN = 3
+
+BLOCKS = 4096
+
+
+class Slot(NamedTuple):
+    """One wanted quantile and the bounds that enclose it."""
+
+    slot: int
+    name: str
+    prob: float
+    n: int
+    low: float | None
+    high: float | None
+
+
+def _slots(
+    flat: DataFrame, names: Sequence[str], probs: Sequence[float], accuracy: int
+) -> list[Slot]:
+    """One pass; a single row of bounds reaches the driver."""
+    lows = [max(p - MARGIN / accuracy, 0.0) for p in probs]
+    highs = [min(p + MARGIN / accuracy, 1.0) for p in probs]
+    ranges = [
+        F.struct(
+            F.count(c).alias("n"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+            F.percentile_approx(c, lows + highs, accuracy).alias("sketch"),
+        )
+        for c in flat.columns
+    ]
+    found = flat.agg(F.array(*ranges).alias("ranges")).first()["ranges"]
+    slots = []
+    for name, r in zip(names, found):
+        for i, prob in enumerate(probs):
+            # A sketch of few rows has no room for its margin.
+            few = r["n"] <= accuracy
+            low = r["min"] if few else r["sketch"][i]
+            high = r["max"] if few else r["sketch"][i + len(probs)]
+            slots.append(Slot(len(slots), name, float(prob), r["n"], low, high))
+    return slots
+
+
+def _ranked(flat: DataFrame, open_slots: Sequence[Slot], width: int, accuracy: int) -> DataFrame:
+    """Table (slot, value, upto): rows up to and including each value in a bracket."""
+
+    def value(s: Slot) -> Column:
+        return F.col(flat.columns[s.slot // width])
+
+    entries = [
+        F.when(
+            value(s).between(s.low, s.high),
+            F.struct(
+                F.lit(s.slot).alias("slot"),
+                value(s).alias("value"),
+                F.floor((value(s) - s.low) / (s.high - s.low) * BLOCKS).alias("block"),
+            ),
+        )
+        for s in open_slots
+    ]
+    counts = (
+        flat.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        .groupBy("e.slot", "e.value", "e.block")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    # A bracket holds at most this share of the rows besides copies of one value.
+    largest = max(s.n if s.n <= accuracy else s.n * 2 * MARGIN // accuracy for s in open_slots)
+    ranked = running_total(
+        counts,
+        {"upto": F.col("rows")},
+        partition_by=["slot"],
+        order_by=["value"],
+        blocks={"_block": F.col("block")} if largest > ONE_TASK_ROWS else None,
+    )
+    before = flat.agg(F.array(*[F.count_if(value(s) < s.low) for s in open_slots])).scalar()
+    place = F.array_position(F.array(*[F.lit(s.slot) for s in open_slots]), F.col("slot"))
+    offset = before[(place - 1).cast("int")]
+    return ranked.select("slot", "value", (F.col("upto") + offset).alias("upto"))
+
+
+def quantile_table(
     df: DataFrame,
     values: Mapping[str, Column],
     probs: Sequence[float],
@@ -49,83 +109,41 @@ def exact_quantiles(
     """One row per (name, prob): the linearly interpolated quantile, nulls skipped.
 
     ``values`` maps a name to an expression, so a group becomes a conditional
-    expression: ``{"promo": when(flag == 1, sales)}``.
+    expression: ``{"promo": when(flag == 1, sales)}``. The sketch runs at once;
+    pass a stored table, it is read three times.
     """
     names = list(values)
-    columns = [values[n].cast("double") for n in names]
-    slots = [(n, p) for n in names for p in probs]
-    width = len(probs)
-
-    flat = df.select(*[c.alias(f"_v{i}") for i, c in enumerate(columns)])
-    bounds = _brackets(flat, [F.col(f"_v{i}") for i in range(len(names))], probs, accuracy)
-    keyed = flat.withColumn("_b", bounds.scalar())
-
-    def entry(slot: int) -> Column:
-        value, bracket = F.col(f"_v{slot // width}"), F.col("_b")[slot]
-        # Rows below the bracket only count; they share the null value.
-        return F.when(
-            value <= bracket["high"],
-            F.struct(
-                F.lit(slot).alias("slot"),
-                bracket["n"].alias("n"),
-                F.when(value >= bracket["low"], value).alias("value"),
-            ),
-        )
-
-    counts = (
-        keyed.select(F.explode(F.array(*[entry(s) for s in range(len(slots))])).alias("e"))
-        .where(F.col("e").isNotNull())
-        .select("e.*")
-        .groupBy("slot", "n", "value")
-        .agg(F.count("*").alias("rows"))
-    )
-    order = Window.partitionBy("slot").orderBy(F.asc_nulls_first("value"))
-    ranked = counts.withColumn(
-        "upto", F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    flat = df.select(*[values[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
+    slots = _slots(flat, names, probs, accuracy)
+    wanted = df.sparkSession.createDataFrame(
+        slots, "slot int, name string, prob double, n bigint, low double, high double"
     )
-    prob = F.array(*[F.lit(float(p)) for _, p in slots])[F.col("slot")]
-    position = (F.col("n") - 1) * prob
+    # Equal bounds are the answer already, as for flags and other frequent values.
+    open_slots = [s for s in slots if s.n and s.low < s.high]
+    if not open_slots:
+        return wanted.select("name", "prob", F.col("low").alias("quantile"))
+
+    position = (F.col("n") - 1) * F.col("prob")
     lower = F.floor(position)
     upper = F.least(lower + 1, F.col("n") - 1)
-    picked = ranked.groupBy("slot", "n").agg(
+    joined = _ranked(flat, open_slots, len(probs), accuracy).join(F.broadcast(wanted), "slot")
+    picked = joined.groupBy("slot").agg(
         F.min(F.when(F.col("upto") > lower, F.col("value"))).alias("a"),
         F.min(F.when(F.col("upto") > upper, F.col("value"))).alias("b"),
     )
-    share = position - lower
-    return picked.select(
-        F.array(*[F.lit(n) for n, _ in slots])[F.col("slot")].alias("name"),
-        prob.alias("prob"),
-        (F.col("a") + (F.col("b") - F.col("a")) * share).alias("quantile"),
+    between = F.col("a") + (F.col("b") - F.col("a")) * (position - lower)
+    return wanted.join(picked, "slot", "left").select(
+        "name", "prob", F.coalesce(between, F.col("low")).alias("quantile")
     )
 
 
-def quantile_row(
+def exact_quantiles(
     df: DataFrame,
     values: Mapping[str, Column],
     probs: Sequence[float],
     *,
     accuracy: int = ACCURACY,
-) -> Column:
-    """All quantiles as one scalar struct; :func:`quantile_of` picks a field.
-
-    The struct is a scalar subquery: it reaches every task as a literal, without
-    a join.
-    """
-    table = exact_quantiles(df, values, probs, accuracy=accuracy)
-
-    def pick(name: str, prob: float) -> Column:
-        wanted = (F.col("name") == name) & (F.col("prob") == float(prob))
-        return F.max(F.when(wanted, F.col("quantile"))).alias(_field(values, name, probs, prob))
-
-    fields = [pick(n, p) for n in values for p in probs]
-    return table.agg(F.struct(*fields).alias("quantiles")).scalar()
-
-
-def _field(values: Mapping[str, Column], name: str, probs: Sequence[float], prob: float) -> str:
-    return f"q{list(values).index(name)}_{list(probs).index(prob)}"
-
-
-def quantile_of(
-    row: Column, values: Mapping[str, Column], name: str, probs: Sequence[float], prob: float
-) -> Column:
-    return row.getField(_field(values, name, probs, prob))
+) -> dict[tuple[str, float], float | None]:
+    """The quantiles as plain numbers by (name, prob), to be used as constants."""
+    rows = quantile_table(df, values, probs, accuracy=accuracy).collect()
+    return {(r["name"], r["prob"]): r["quantile"] for r in rows}

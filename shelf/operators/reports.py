@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from shelf.functions.calendar import WEEKDAYS, weekday_name, year_month
 from shelf.functions.numeric import millions, percent
-from shelf.operators.quantiles import ACCURACY, exact_quantiles
+from shelf.operators.quantiles import ACCURACY, quantile_table
 from shelf.schema import columns_of, numeric_columns
 
 # Short month names, January first.
@@ -121,7 +121,7 @@ def promotion_impact(
 ) -> DataFrame:
     """Mean, median, sum and deviation of sales with and without promotion."""
     groups = _flags(measure, "is_promotion", PROMO_LABELS)
-    medians = exact_quantiles(df, groups, [0.5], accuracy=accuracy)
+    medians = quantile_table(df, groups, [0.5], accuracy=accuracy)
     labels = F.create_map(*[F.lit(x) for item in PROMO_LABELS.items() for x in item])
     return (
         df.groupBy("is_promotion")
@@ -140,7 +140,7 @@ def box_stats(
     df: DataFrame, *, measure: str = "actual_sales", accuracy: int = ACCURACY
 ) -> DataFrame:
     """Five-number summary of sales with and without promotion."""
-    quartiles = exact_quantiles(
+    quartiles = quantile_table(
         df, _flags(measure, "is_promotion", PROMO_LABELS), [0.0, 0.25, 0.5, 0.75, 1.0],
         accuracy=accuracy,
     )
@@ -259,7 +259,7 @@ def column_profile(
     wide = df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
 
     quartiles = (
-        exact_quantiles(df, {c: F.col(c) for c in numbers}, [0.25, 0.5, 0.75], accuracy=accuracy)
+        quantile_table(df, {c: F.col(c) for c in numbers}, [0.25, 0.5, 0.75], accuracy=accuracy)
         .groupBy(F.col("name").alias("column"))
         .agg(
             *[

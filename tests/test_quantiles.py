@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelf.operators import quantiles
 from shelf.operators.quantiles import exact_quantiles
 
 PROBS = [0.0, 0.025, 0.25, 0.5, 0.75, 1.0]
@@ -18,23 +19,36 @@ def test_equals_numpy_with_and_without_brackets(spark, accuracy):
     }
     rows = list(zip(*[v.tolist() for v in data.values()]))
     df = spark.createDataFrame(rows, list(data)).repartition(5)
-    got = exact_quantiles(df, {c: F.col(c) for c in data}, PROBS, accuracy=accuracy).collect()
+    got = exact_quantiles(df, {c: F.col(c) for c in data}, PROBS, accuracy=accuracy)
     assert len(got) == len(data) * len(PROBS)
-    for row in got:
-        expected = np.quantile(data[row["name"]], row["prob"])
-        assert row["quantile"] == pytest.approx(expected, rel=1e-12, abs=1e-12)
+    for (name, prob), value in got.items():
+        assert value == pytest.approx(np.quantile(data[name], prob), rel=1e-12, abs=1e-12)
+
+
+def test_blocked_ranks_equal_numpy(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ONE_TASK_ROWS", 10)
+    data = np.random.default_rng(4).normal(0, 1, 4_000)
+    df = spark.createDataFrame([(float(v),) for v in data], "x double").repartition(5)
+    got = exact_quantiles(df, {"x": F.col("x")}, PROBS, accuracy=100)
+    for (_, prob), value in got.items():
+        assert value == pytest.approx(np.quantile(data, prob), abs=1e-12)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 7])
 def test_small_counts_and_nulls(spark, n):
     values = [float(i * i) for i in range(n)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
-    for row in exact_quantiles(df, {"x": F.col("x")}, [0.25, 0.75], accuracy=3).collect():
-        assert row["quantile"] == pytest.approx(np.quantile(values, row["prob"]))
+    for (_, prob), value in exact_quantiles(df, {"x": F.col("x")}, [0.25, 0.75], accuracy=3).items():
+        assert value == pytest.approx(np.quantile(values, prob))
+
+
+def test_column_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0)], "x double, y double")
+    got = exact_quantiles(df, {"x": F.col("x"), "y": F.col("y")}, [0.5])
+    assert got == {("x", 0.5): None, ("y", 0.5): 1.0}
 
 
 def test_group_as_condition(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 10.0)], "flag int, x double")
     groups = {str(v): F.when(F.col("flag") == v, F.col("x")) for v in (0, 1)}
-    got = {r["name"]: r["quantile"] for r in exact_quantiles(df, groups, [0.5]).collect()}
-    assert got == {"0": 2.0, "1": 10.0}
+    assert exact_quantiles(df, groups, [0.5]) == {("0", 0.5): 2.0, ("1", 0.5): 10.0}
