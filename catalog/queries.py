@@ -14,6 +14,7 @@ from shelf.operators import forecast as fc
 from shelf.operators import inventory as inv
 from shelf.operators import promotions, quality, reports
 from shelf.operators.arima import arima_by_series
+from shelf.operators.partitioning import by_series
 from shelf.operators.rollup import daily_rollup
 from shelf.plans.forecast import BOOSTED, FOREST, NAIVE, scored_test
 from shelf.plans.preprocess import preprocess
@@ -298,7 +299,7 @@ def lag_features(spark, d):
 @query(8)
 def rolling_features(spark, d):
     panel = t.panel(spark, d).select(*KEYS, "actual_sales")
-    return feat.rolling_features(panel).drop("actual_sales")
+    return feat.rolling_features(by_series(panel)).drop("actual_sales")
 
 
 @query(9)

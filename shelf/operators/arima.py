@@ -13,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelf.operators.forecast import spread
+from shelf.operators.partitioning import by_series
 from shelf.operators.quality import fill_date_gaps
 from shelf.schema import SERIES
 
@@ -142,4 +142,4 @@ def arima_by_series(
         carried=(),
         zeroed=("value",),
     )
-    return spread(series, *SERIES).groupBy(*SERIES).applyInPandas(one_series, _OUTPUT)
+    return by_series(series).groupBy(*SERIES).applyInPandas(one_series, _OUTPUT)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelf.functions.numeric import non_negative
 from shelf.operators.features import MODEL_FEATURES, date_features, series_window
+from shelf.operators.partitioning import by_series, spread
 from shelf.schema import SERIES, present
 
 TARGET = "actual_sales"
@@ -104,16 +105,6 @@ def model_features(model: PipelineModel) -> list[str]:
     return [name.removeprefix(INPUT) for name in model.stages[0].getInputCols()]
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Distribute by ``keys`` over all cores.
-
-    A given number of partitions is not merged again by adaptive execution, which
-    looks at bytes, while fitting and scoring are bound by computation.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores, *keys)
-
-
 def _fit(train: DataFrame, regressor, features: Sequence[str] | None) -> PipelineModel:
     features = list(features or feature_names(train))
     assembler = VectorAssembler(inputCols=[INPUT + f for f in features], outputCol="_features")
@@ -239,7 +230,8 @@ def future_features(
     }
     latest = Window.partitionBy(*SERIES).orderBy("date")
     last = (
-        df.withColumns({**frozen, "_next": F.lead("date").over(latest)})
+        by_series(df)
+        .withColumns({**frozen, "_next": F.lead("date").over(latest)})
         .where(F.col("_next").isNull())
         .drop("_next")
     )

@@ -15,6 +15,7 @@ from shelf.operators.features import (
     rolling_features,
     segment_demand,
 )
+from shelf.operators.partitioning import by_series
 from shelf.staging import stage
 
 
@@ -25,7 +26,8 @@ def build_features(panel: DataFrame, *, leak_free: bool = False) -> tuple[DataFr
     the rows where they are as long as the code table is small.
     """
     windowed = (
-        panel.transform(date_features)
+        panel.transform(by_series)
+        .transform(date_features)
         .transform(lag_features)
         .transform(rolling_features)
         .transform(expanding_mean, leak_free=leak_free)

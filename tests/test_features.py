@@ -8,6 +8,7 @@ from conftest import day, ordered
 from shelf.operators import features as feat
 from shelf.operators import promotions
 from shelf.plans.features import build_features
+from shelf.staging import stage
 
 ORDER = ("store", "product", "date")
 
@@ -114,6 +115,11 @@ def test_feature_plan(panel, random_panel):
     assert codes.count() == 2 + 2 + 3
 
 
+def test_all_windows_share_one_shuffle(spark, panel):
+    plan = build_features(stage(panel))[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(store") == 1
+
+
 def test_warm_up_leaves_one_of_eight_days(spark):
     rows = [(dt.date(2024, 1, i), "s", "p", i) for i in range(1, 9)]
     df = spark.createDataFrame(rows, "date date, store string, product string, actual_sales int")
