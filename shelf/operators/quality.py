@@ -75,8 +75,9 @@ def dedupe_first(
     A minimum aggregate, not a ranking: copies are dropped before the shuffle,
     so a key with any number of copies sends one row per map task.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    ranked = F.struct(*order_by, *rest)
+    order = [c for c in order_by if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    ranked = F.struct(*order, *rest)
     return (
         df.groupBy(*keys).agg(F.min(ranked).alias("_first")).select(*keys, "_first.*")
     ).select(*df.columns)
