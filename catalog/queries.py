@@ -40,7 +40,7 @@ def rounded(df: DataFrame, digits: int = 6, **own: int) -> DataFrame:
     return df.withColumns({c: near(c) for c in doubles})
 
 
-def query(digits: int | None = 6, **own: int):
+def query(digits: int | None = 6, *, name: str | None = None, **own: int):
     """Register a query; its double columns are rounded to ``digits`` or as named."""
 
     def register(build: Query) -> Query:
@@ -48,7 +48,7 @@ def query(digits: int | None = 6, **own: int):
             df = build(spark, sf_dir)
             return df if digits is None else rounded(df, digits, **own)
 
-        _registry[build.__name__] = run
+        _registry[name or build.__name__] = run
         return build
 
     return register
@@ -156,25 +156,19 @@ def quality_audit(spark, d):
     )
 
 
-@query(l_extendedprice=6)
+@query(name="preprocess")
 def clean_rows(spark, d):
     return preprocess(nulled(spark, d), order_by=SEQ, numeric=MEDIAN_FILLED)
 
 
-_registry["preprocess"] = _registry.pop("clean_rows")
-
-
 # --- roll-up and reports -----------------------------------------------------
 
 
-@query(revenue=4)
+@query(name="daily_rollup", revenue=4)
 def rollup(spark, d):
     return daily_rollup(t.raw(spark, d), order_by=SEQ)
 
 
-_registry["daily_rollup"] = _registry.pop("rollup")
-
-
 @query(total_revenue=2)
 def dataset_summary(spark, d):
     return reports.dataset_summary(t.raw(spark, d))

@@ -42,7 +42,7 @@ def test_naive_takes_last_rows(spark):
     assert [r[0] for r in each] == [pytest.approx(4.0)]
 
 
-def reference_future(group, days):
+def frozen_figures(group):
     """The frozen figures of one series in plain NumPy."""
     sales = group.sort_values("date")["actual_sales"].to_numpy(float)
     recent = sales[-30:]
@@ -64,7 +64,7 @@ def test_future_features(panel, random_panel):
         mine = got[(got["store"] == store) & (got["product"] == product)].sort_values("date")
         last = group["date"].max()
         assert mine["date"].tolist() == [last + dt.timedelta(days=i) for i in range(1, 6)]
-        for name, value in reference_future(group, 5).items():
+        for name, value in frozen_figures(group).items():
             assert mine[name].tolist() == pytest.approx([value] * 5), name
         assert mine["day_of_week"].tolist() == [d.weekday() for d in mine["date"]]
         assert (mine[["is_promotion", "promo_x_weekend", "promo_lag1"]] == 0).all().all()
