@@ -200,16 +200,60 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-class Encoder:
+class Decoder:
+    """The bytes of ids, by one gather from the bytes of all tokens."""
+
+    def __init__(self, path: str):
+        self.ranks = read_ranks(path)
+        token = {i: b for b, i in self.ranks.items()}
+        top = max(token) + 1
+        self.length = np.array([len(token.get(i, b"")) for i in range(top)], np.int64)
+        self.place = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(token.get(i, b"") for i in range(top)), np.uint8)
+
+    def decode(self, ids: bytes) -> bytes:
+        return self.decode_many([ids])[0]
+
+    def decode_many(self, rows: list[bytes]) -> list[bytes]:
+        """The bytes of each row of ids."""
+        out: list[bytes] = []
+        for group in _groups(rows):
+            ids = np.frombuffer(b"".join(group), "<u4")
+            sizes = self.length[ids]
+            ends = np.cumsum(sizes)
+            total = int(ends[-1]) if len(ends) else 0
+            shift = np.repeat((self.place[ids] - ends + sizes).astype(np.int32), sizes)
+            made = self.flat[shift + np.arange(total, dtype=np.int32)].tobytes()
+            marks = np.cumsum([0, *[len(r) // 4 for r in group]])
+            at = np.append(0, ends)[marks].tolist()
+            out += [made[a:b] for a, b in zip(at, at[1:])]
+        return out
+
+    def offsets(self, ids: bytes, every: int) -> bytes:
+        """Byte offsets of every ``every``-th token in the encoded text, as unsigned 64-bit integers."""
+        ends = np.cumsum(self.length[np.frombuffer(ids, "<u4")])
+        return np.concatenate([[0], ends])[:-1][::every].astype("<u8").tobytes() if len(ends) else b""
+
+    def decode_span(self, ids: bytes, offsets: bytes, every: int, start: int, stop: int) -> bytes:
+        """Bytes ``start`` to ``stop`` of the text, decoding only the tokens around them."""
+        marks = np.frombuffer(offsets, "<u8")
+        if not len(marks) or stop <= start:
+            return b""
+        a = max(0, int(np.searchsorted(marks, start, "right")) - 1)
+        b = int(np.searchsorted(marks, stop, "left"))
+        part = self.decode(ids[4 * a * every : 4 * b * every])
+        return part[start - int(marks[a]) : stop - int(marks[a])]
+
+
+class Encoder(Decoder):
     """Pair merging over a rank file, with a bounded cache from pre-token to ids."""
 
     _MISS = np.iinfo(np.int32).max
 
-    def __init__(self, path: str, cache_size: int = 400_000):
-        self.ranks = read_ranks(path)
+    def __init__(self, path: str, cache_size: int = 250_000):
+        super().__init__(path)
         self.cache: dict[str, bytes] = {}
         self.cache_size = cache_size
-        self.token = {i: b for b, i in self.ranks.items()}
         keys, ids = [], []
         for token, rank in self.ranks.items():
             for k in range(1, len(token)):
@@ -221,10 +265,6 @@ class Encoder:
         self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
         self.merged = np.append(np.array(ids, np.int32)[order], np.int32(self._MISS))
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        top = max(self.token) + 1
-        self.length = np.array([len(self.token.get(i, b"")) for i in range(top)], np.int64)
-        self.place = np.cumsum(self.length) - self.length
-        self.flat = np.frombuffer(b"".join(self.token.get(i, b"") for i in range(top)), np.uint8)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 32 | right
@@ -321,39 +361,6 @@ class Encoder:
             out += [b"".join(ids[a + 1 : b]) for a, b in zip(first, first[1:])]
         return out
 
-    def decode(self, ids: bytes) -> bytes:
-        return self.decode_many([ids])[0]
-
-    def decode_many(self, rows: list[bytes]) -> list[bytes]:
-        """The bytes of each row of ids: one gather from the bytes of all tokens."""
-        out: list[bytes] = []
-        for group in _groups(rows):
-            ids = np.frombuffer(b"".join(group), "<u4")
-            sizes = self.length[ids]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            shift = np.repeat((self.place[ids] - ends + sizes).astype(np.int32), sizes)
-            made = self.flat[shift + np.arange(total, dtype=np.int32)].tobytes()
-            marks = np.cumsum([0, *[len(r) // 4 for r in group]])
-            at = np.append(0, ends)[marks].tolist()
-            out += [made[a:b] for a, b in zip(at, at[1:])]
-        return out
-
-    def offsets(self, ids: bytes, every: int) -> bytes:
-        """Byte offsets of every ``every``-th token in the encoded text, as unsigned 64-bit integers."""
-        ends = np.cumsum(self.length[np.frombuffer(ids, "<u4")])
-        return np.concatenate([[0], ends])[:-1][::every].astype("<u8").tobytes() if len(ends) else b""
-
-    def decode_span(self, ids: bytes, offsets: bytes, every: int, start: int, stop: int) -> bytes:
-        """Bytes ``start`` to ``stop`` of the text, decoding only the tokens around them."""
-        marks = np.frombuffer(offsets, "<u8")
-        if not len(marks) or stop <= start:
-            return b""
-        a = max(0, int(np.searchsorted(marks, start, "right")) - 1)
-        b = int(np.searchsorted(marks, stop, "left"))
-        part = self.decode(ids[4 * a * every : 4 * b * every])
-        return part[start - int(marks[a]) : stop - int(marks[a])]
-
 
 def _groups(texts: list, chars: int = 1 << 21) -> Iterator[list]:
     """Runs of texts of bounded total length; a longer text is a run of its own."""
@@ -369,6 +376,7 @@ def _groups(texts: list, chars: int = 1 << 21) -> Iterator[list]:
 
 
 _encoders: dict[str, Encoder] = {}
+_decoders: dict[str, Decoder] = {}
 
 
 def encoder(path: str) -> Encoder:
@@ -378,6 +386,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def decoder(path: str) -> Decoder:
+    if path not in _decoders:
+        _decoders[path] = Decoder(path)
+    return _decoders[path]
+
+
 EVERY = 256
 
 
@@ -406,7 +420,6 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of the text; null ids give empty bytes."""
 
     def compute(rows: list[bytes | None]) -> list[list]:
-        enc = encoder(ranks_path)
-        return [enc.decode_many([x or b"" for x in rows])]
+        return [decoder(ranks_path).decode_many([x or b"" for x in rows])]
 
     return add_columns(encoded, [ids], [StructField("decoded", BinaryType())], compute)

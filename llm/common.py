@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+# Rows that a Python worker holds at once as Python objects.
+SLICE = 1000
+
 
 def add_columns(
     df: DataFrame, read: list[str], fields: list[StructField], compute: Callable[..., list]
@@ -27,7 +30,7 @@ def add_columns(
     names, types = [f.name for f in fields], [arrow_type(f) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
             got = compute(*[batch.column(a).to_pylist() for a in inputs.values()])
             made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(got, types)]
             yield pa.RecordBatch.from_arrays(

@@ -45,7 +45,7 @@ class WordEncoder:
     of its chunks in order. ASCII words and the marks after them are cached apart.
     """
 
-    def __init__(self, path: str, end_id: int, cache_size: int = 400_000):
+    def __init__(self, path: str, end_id: int, cache_size: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -104,8 +104,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text with the end id."""
-        for k in range(0, len(texts), 1000):
-            rows = [t.replace("\n", " ").split(" ") for t in texts[k : k + 1000]]
+        for k in range(0, len(texts), 500):
+            rows = [t.replace("\n", " ").split(" ") for t in texts[k : k + 500]]
             self.learn(set().union(*rows))
             for row in rows:
                 yield b"".join(map(self.cache.__getitem__, row)) + self.end
