@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, token_files
+from llm import byte_bpe, token_files, toxicity
 from shelf.staging import stage_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -17,6 +17,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs.select("doc_id", "lang", "text"), model)
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "threshold", "flagged"
+    )
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = stage_path(spark, "token-files")
     token_files.write_token_files(documents(spark, sf_dir), folder, WORDS)
@@ -33,5 +42,5 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_files, op8_byte_bpe)}
 SQL: dict[str, str] = {}
