@@ -338,7 +338,7 @@ class Encoder(Decoder):
 
     def learn(self, words: set[str]) -> None:
         """Add the ids of ``words`` to the cache."""
-        missing = sorted(((w.encode(), w) for w in words - self.cache.keys()), key=lambda x: len(x[0]))
+        missing = sorted(((w.encode(), w) for w in words.difference(self.cache)), key=lambda x: len(x[0]))
         if len(self.cache) + len(missing) > self.cache_size:
             for old in list(islice(self.cache, max(0, len(self.cache) - self.cache_size // 2))):
                 if old not in words:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, token_files, toxicity
+from llm import byte_bpe, jaccard_join, token_files, toxicity
 from shelf.staging import stage_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,6 +33,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     done = byte_bpe.decode(byte_bpe.encode(docs, RANKS).drop("text"), RANKS)
@@ -42,5 +46,5 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_files, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_files, op5_jaccard_join, op8_byte_bpe)}
 SQL: dict[str, str] = {}

@@ -76,9 +76,9 @@ class WordEncoder:
             cache[""] = b""
 
     def learn(self, chunks: set[str]) -> None:
-        missing = chunks - self.cache.keys()
+        missing = chunks.difference(self.cache)
         self._trim(self.cache, chunks)
-        missing |= chunks - self.cache.keys()
+        missing |= chunks.difference(self.cache)
         odd = []
         for chunk in missing:
             plain = _PLAIN.fullmatch(chunk)
