@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, jaccard_join, token_files, toxicity
+from llm import byte_bpe, jaccard_join, source_mix, token_files, toxicity
 from shelf.staging import stage_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -46,5 +46,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_files, op5_jaccard_join, op8_byte_bpe)}
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(source_mix.sized(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_files, op5_jaccard_join, op8_byte_bpe, op10_source_mix)}
 SQL: dict[str, str] = {}
