@@ -4,10 +4,11 @@
    one row for each set goes on.
 2. Candidate search by chosen paths. In each of several runs a set picks some of its tokens by
    hash, about ``BRANCHING`` in expectation, and lands in their buckets; similar sets share picks.
-   A small bucket is brute-forced on sketches (64 minhash bytes). A large one names a leader, links
-   all members whose sketch is near it, and splits by sampled sketch positions into smaller
-   buckets; members that are already linked to each other need no further comparison, so a bucket
-   of a single group ends at once, however large. The number of runs follows from the target recall.
+   A small bucket is brute-forced on sketches (64 minhash bytes). A large one draws a leader and
+   links all members whose sketch is near it. If these are at least half, the bucket is dense and
+   splitting would not help; then, or if it fits one block, the other members are brute-forced
+   against all, in blocks. Else the bucket splits by sampled sketch positions; a bucket whose members are already linked to each
+   other ends at once, however large. The number of runs follows from the target recall.
 3. Candidates that hang together form clusters. The shingle sets of each cluster are compared
    exactly, all against all in blocks of bounded size, on bit rows over the shared shingles. This
    gives the number of links of every set and the final groups.
@@ -196,17 +197,18 @@ def _small_buckets(threshold: float):
     return run
 
 
-def _split_large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of large buckets against their leader; then the buckets they split into."""
+def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of large buckets against their leader; and the buckets they may split into."""
     for batch in batches:
         if not batch.num_rows:
             continue
         path = batch.column(0).to_numpy()
-        sketch, lead = _fixed(batch.column(3), SKETCH), _fixed(batch.column(6), SKETCH)
-        own, leader = np.array(batch.column(4).to_pylist(), object), batch.column(7).to_pylist()
-        near = ((sketch == lead).sum(axis=1) >= NEAR * SKETCH) & (own != np.array(leader, object))
-        linked = [batch.column(5)[i].as_py() if near[i] else None for i in range(batch.num_rows)]
-        label = [leader[i] if near[i] else own[i] for i in range(batch.num_rows)]
+        sketch, lead = _fixed(batch.column(2), SKETCH), _fixed(batch.column(5), SKETCH)
+        own, leader = batch.column(3).to_pylist(), batch.column(6).to_pylist()
+        near = ((sketch == lead).sum(axis=1) >= NEAR * SKETCH).tolist()
+        name = batch.column(4).to_pylist()
+        linked = [n if x and a != b else None for n, x, a, b in zip(name, near, own, leader)]
+        label = [b if x else a for x, a, b in zip(near, own, leader)]
         unsigned = path.view(np.uint64)
         children = []
         for salt in (1, 2):
@@ -216,12 +218,53 @@ def _split_large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths = np.stack(children, axis=1).view(np.int64).tolist()
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(1), batch.column(2), batch.column(3), pa.array(label, pa.binary()),
-                pa.array(linked, pa.binary()), pa.array(paths, pa.list_(pa.int64())),
-            ], names=["digest", "size", "sketch", "label", "linked", "paths"],
+                *batch.columns[:3], pa.array(label, pa.binary()), pa.array(linked, pa.binary()),
+                pa.array([b if x else None for x, b in zip(near, leader)], pa.binary()),
+                pa.array(paths, pa.list_(pa.int64())),
+            ], names=["path", "digest", "sketch", "label", "linked", "led", "paths"],
         )
 
 
+def _dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members that are not near the leader against a block of all members."""
+    for batch in _grouped(batches, 3):
+        keys = [batch.column(i).to_numpy() for i in range(3)]
+        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        for a, b in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
+            part = batch.slice(a, b - a)
+            asks = part.column(3).to_numpy(zero_copy_only=False).astype(bool)
+            sketch, names = _fixed(part.column(5), SKETCH), part.column(4).to_pylist()
+            rest = np.flatnonzero(~asks)
+            found_a, found_b = [], []
+            for i in np.flatnonzero(asks).tolist():
+                alike = rest[(sketch[rest] == sketch[i]).sum(axis=1) >= NEAR * SKETCH]
+                found_a.append(np.full(len(alike), i))
+                found_b.append(alike)
+            if not found_a:
+                continue
+            root = _roots(len(names), np.concatenate(found_a), np.concatenate(found_b))
+            member = np.flatnonzero(root != np.arange(len(names)))
+            yield _edges([names[k] for k in member], [names[k] for k in root[member]])
+
+
+def _blocks_of_dense(led: DataFrame, dense: DataFrame) -> DataFrame:
+    """Rows (path, i, j, asks, digest, sketch): block i of the far members meets block j of all."""
+    rows = led.join(dense, "path")
+    hashed = F.xxhash64(F.col("digest"), F.lit(5))
+    far = F.ceil((F.col("members") - F.col("near")) / BLOCK_SETS)
+    every = F.ceil(F.col("members") / BLOCK_SETS)
+    own_i, own_j = F.pmod(hashed, far), F.pmod(hashed, every)
+    asking = rows.where("led is null").select(
+        "path", own_i.alias("i"), F.explode(F.sequence(F.lit(0), every - 1)).alias("j"), F.lit(True).alias("asks"),
+        "digest", "sketch",
+    )
+    asked = rows.select(
+        "path", F.explode(F.sequence(F.lit(0), far - 1)).alias("i"), own_j.alias("j"), F.lit(False).alias("asks"),
+        "digest", "sketch",
+    )
+    return asking.unionByName(asked)
+
+
 def candidates(reps: DataFrame, threshold: float) -> DataFrame:
     """Edges (a, b) whose components hold every pair found alike in a bucket."""
     level = reps.select(
@@ -229,30 +272,36 @@ def candidates(reps: DataFrame, threshold: float) -> DataFrame:
     )
     edges = []
     while True:
+        drawn = F.struct(F.xxhash64("path", "digest").alias("draw"), "digest", "sketch", "label")
         counted = level.groupBy("path").agg(
             F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min(F.struct("digest", "sketch", "label")).alias("lead"),
+            F.min(drawn).alias("lead"),
         )
-        large = stage(
-            counted.where((F.col("members") > SMALL) & (F.col("low") != F.col("high"))).select("path", "lead"), "large"
-        )
-        over = counted.where(F.col("members") > SMALL).select("path")
-        small = level.join(over, "path", "left_anti").select("path", "digest", "size", "sketch")
+        over = stage(counted.where(F.col("members") > SMALL), "large")
+        small = level.join(over.select("path"), "path", "left_anti").select("path", "digest", "size", "sketch")
         ordered = small.repartition("path").sortWithinPartitions("path", "digest")
         edges.append(ordered.mapInArrow(_small_buckets(threshold), _EDGE))
+        large = over.where("low <> high")
         if large.isEmpty():
             break
-        split = stage(
-            level.join(large, "path").select(
-                "path", "digest", "size", "sketch", "label", F.col("lead.digest").alias("lead_digest"),
+        led = stage(
+            level.join(large.select("path", "lead"), "path").select(
+                "path", "digest", "sketch", "label", F.col("lead.digest").alias("lead_digest"),
                 F.col("lead.sketch").alias("lead_sketch"), F.col("lead.label").alias("lead_label"),
             ).mapInArrow(
-                _split_large,
-                "digest binary, size long, sketch binary, label binary, linked binary, paths array<long>",
-            ), "split",
+                _led, "path long, digest binary, sketch binary, label binary, linked binary, led binary, paths array<long>"
+            ), "led",
         )
-        edges.append(split.where("linked is not null").select(F.col("digest").alias("a"), F.col("linked").alias("b")))
-        level = split.select(F.explode("paths").alias("path"), "digest", "size", "sketch", "label")
+        edges.append(led.where("linked is not null").select(F.col("digest").alias("a"), F.col("linked").alias("b")))
+        shares = stage(led.groupBy("path").agg(F.count("*").alias("members"), F.count("led").alias("near")), "shares")
+        closing = (2 * F.col("near") >= F.col("members")) | (F.col("members") <= BLOCK_SETS)
+        dense = shares.where(closing & (F.col("near") < F.col("members")))
+        blocks = _blocks_of_dense(led, dense).repartition("path", "i", "j")
+        edges.append(blocks.sortWithinPartitions("path", "i", "j").mapInArrow(_dense, _EDGE))
+        sparse = led.join(shares.where(~closing).select("path"), "path", "left_semi")
+        level = sparse.select(
+            F.explode("paths").alias("path"), "digest", F.lit(0).cast("long").alias("size"), "sketch", "label"
+        )
     found = edges[0]
     for more in edges[1:]:
         found = found.unionByName(more)
