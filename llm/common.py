@@ -13,6 +13,11 @@ from pyspark.sql.types import StructField, StructType
 SLICE = 1000
 
 
+def bounded_batches(df: DataFrame) -> None:
+    """Let the session send Python batches of a bounded number of rows; texts may be long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SLICE))
+
+
 def add_columns(
     df: DataFrame, read: list[str], fields: list[StructField], compute: Callable[..., list]
 ) -> DataFrame:
@@ -21,6 +26,7 @@ def add_columns(
     ``compute`` gets one Python list for each column of ``read`` and returns one list or
     Arrow array for each field. A new column replaces one of the same name.
     """
+    bounded_batches(df)
     new = {f.name for f in fields}
     kept = [f for f in df.schema.fields if f.name not in new]
     inputs = {c: f"_in{i}" for i, c in enumerate(read)}

@@ -39,7 +39,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    done = byte_bpe.decode(byte_bpe.encode(docs, RANKS).drop("text"), RANKS)
+    done = byte_bpe.decode(byte_bpe.encode(docs, RANKS).select("doc_id", "n_tokens", "ids"), RANKS)
     return done.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
