@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, jaccard_join, source_mix, token_files, toxicity
+from llm import byte_bpe, jaccard_join, kd_topk, source_mix, spot_signatures, token_files, toxicity, warc_chunks
 from shelf.staging import stage_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,10 +33,20 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.compare_edits(documents(spark, sf_dir))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "warc")
+    warc_chunks.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return warc_chunks.read_archives(spark, path)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     done = byte_bpe.decode(byte_bpe.encode(docs, RANKS).select("doc_id", "n_tokens", "ids"), RANKS)
@@ -46,9 +56,43 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = kd_topk.whole_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return kd_topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(source_mix.sized(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_files, op5_jaccard_join, op8_byte_bpe, op10_source_mix)}
-SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_token_files, op3_spot_signatures, op5_jaccard_join, op6_warc_chunks, op8_byte_bpe,
+        op9_kd_topk, op10_source_mix,
+    )
+}
+
+# DuckDB twins, where SQL can state the result.
+_BASE32 = """array_to_string(list_transform(range(8), lambda g:
+  array_to_string(list_transform(range(4), lambda c: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(h, CAST(g * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * c AS INT)) & 31 AS INT) + 1, 1)), '')), '')"""
+SQL: dict[str, str] = {
+    "op6_warc_chunks": f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS best FROM p)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to
+FROM f""",
+    "op9_kd_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS "rank", vec_id, score FROM r WHERE n <= 5""",
+}
