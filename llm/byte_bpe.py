@@ -34,7 +34,6 @@ WHITE_SPACE = [
     8201, 8202, 8232, 8233, 8239, 8287, 12288,
 ]
 _END = sys.maxunicode + 1
-_BLOCK = 64
 _WINDOW = 1 << 21
 
 
@@ -139,18 +138,19 @@ def symbols(codes: np.ndarray) -> np.ndarray:
 def states_before(symbol: np.ndarray, state: int) -> tuple[np.ndarray, int]:
     """The state before each symbol and after the last, by a blocked associative scan."""
     n = len(symbol)
-    blocks = -(-n // _BLOCK)
-    padded = np.zeros(blocks * _BLOCK, np.uint8)
+    step = min(64, max(8, n >> 6))
+    blocks = -(-n // step)
+    padded = np.zeros(blocks * step, np.uint8)
     padded[:n] = _look(_ELEMENT, symbol)
-    by_step = np.ascontiguousarray(padded.reshape(blocks, _BLOCK).T)
-    for k in range(1, _BLOCK):
+    by_step = np.ascontiguousarray(padded.reshape(blocks, step).T)
+    for k in range(1, step):
         by_step[k] = _look(_PRODUCT, by_step[k - 1] << 4 | by_step[k])
     first = np.empty(blocks, np.uint8)
     for b, element in enumerate(by_step[-1].tolist()):
         first[b] = state
         state = _VALUE[element << 3 | state]
     after = _look(_VALUE, by_step << 3 | first[None, :]).reshape(by_step.shape)
-    before = np.empty((blocks, _BLOCK), np.uint8)
+    before = np.empty((blocks, step), np.uint8)
     before[:, 0] = first
     before[:, 1:] = after[:-1].T
     return before.ravel()[:n], state
@@ -217,7 +217,7 @@ class Decoder:
     def decode_many(self, rows: list[bytes]) -> list[bytes]:
         """The bytes of each row of ids."""
         out: list[bytes] = []
-        for group in _groups(rows):
+        for group in groups(rows):
             ids = np.frombuffer(b"".join(group), "<u4")
             sizes = self.length[ids]
             ends = np.cumsum(sizes)
@@ -354,7 +354,7 @@ class Encoder(Decoder):
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
-        for group in _groups(texts):
+        for group in groups(texts):
             flat, first = split(group)
             self.learn(set(flat))
             ids = list(map(self.cache.__getitem__, flat))
@@ -362,7 +362,7 @@ class Encoder(Decoder):
         return out
 
 
-def _groups(texts: list, chars: int = 1 << 21) -> Iterator[list]:
+def groups(texts: list, chars: int = 1 << 21) -> Iterator[list]:
     """Runs of texts of bounded total length; a longer text is a run of its own."""
     group, size = [], 0
     for text in texts:

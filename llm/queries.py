@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, jaccard_join, kd_topk, source_mix, spot_signatures, token_files, toxicity, warc_chunks
+from llm import byte_bpe, jaccard_join, kd_topk, license_scan, source_mix, spot_signatures, token_counts, token_files, toxicity, warc_chunks
 from shelf.staging import stage_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -37,6 +37,11 @@ def op3_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot_signatures.compare_edits(documents(spark, sf_dir))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return license_scan.train(docs).scan(docs)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir))
 
@@ -47,6 +52,11 @@ def op6_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_chunks.read_archives(spark, path)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edited = token_counts.self_edits(documents(spark, sf_dir))
+    return token_counts.count_with_edits(edited, RANKS).drop("text", "edits")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     done = byte_bpe.decode(byte_bpe.encode(docs, RANKS).select("doc_id", "n_tokens", "ids"), RANKS)
@@ -68,7 +78,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_toxicity, op2_token_files, op3_spot_signatures, op5_jaccard_join, op6_warc_chunks, op8_byte_bpe,
+        op1_toxicity, op2_token_files, op3_spot_signatures, op4_license_scan, op5_jaccard_join,
+        op6_warc_chunks, op7_token_counts, op8_byte_bpe,
         op9_kd_topk, op10_source_mix,
     )
 }
