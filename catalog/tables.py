@@ -59,10 +59,6 @@ def stock_table(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
     return recommendations(panel(spark, sf_dir), recent_forecast(spark, sf_dir), **settings)
 
 
-# Smaller than the library's defaults, so that a check takes seconds; all rows are used.
-FOREST_SIZE = {"trees": 20, "depth": 5}
-BOOSTED_SIZE = {"rounds": 10, "depth": 4}
-
 _fitted: dict[tuple[str, str], dict[str, PipelineModel]] = {}
 
 
@@ -72,7 +68,7 @@ def models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
     if key not in _fitted:
         train, _ = time_split(features(spark, sf_dir))
         _fitted[key] = {
-            FOREST: random_forest(train, **FOREST_SIZE),
-            BOOSTED: boosted_trees(train, **BOOSTED_SIZE),
+            FOREST: random_forest(train),
+            BOOSTED: boosted_trees(train),
         }
     return _fitted[key]

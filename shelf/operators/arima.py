@@ -122,8 +122,8 @@ def arima_by_series(
         if len(values) < max(min_days, steps + 3):
             return pd.DataFrame(columns=[c.split()[0] for c in _OUTPUT.split(", ")])
         last = pd.Timestamp(group["date"].iloc[-1])
-        backtest, weights = arima_forecast(values[:-steps], steps, order)
-        ahead, _ = arima_forecast(values, steps, order, start=weights)
+        backtest, _ = arima_forecast(values[:-steps], steps, order)
+        ahead, _ = arima_forecast(values, steps, order)
         future = pd.date_range(last + pd.Timedelta(days=1), periods=steps, freq="D")
         known = group["date"].iloc[-steps:]
         return pd.DataFrame(

@@ -46,7 +46,7 @@ def impute(
     date: str = "date",
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Drop rows without a date, fill numeric nulls with the median and text nulls with ``label``.
+    """Drop rows without a date, fill numeric nulls and NaN with the median and text nulls with ``label``.
 
     Imputed numeric columns come out as double, since a median may lie between
     two integers; :func:`fix_types` restores the declared types.
@@ -56,9 +56,13 @@ def impute(
     filled = dated.fillna(label, subset=columns_of(df, T.StringType))
     if not numeric:
         return filled
+    nothing = F.lit(None).cast("double")
     medians = exact_quantiles(dated, {c: F.col(c) for c in numeric}, [0.5], accuracy=accuracy)
     return filled.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c, 0.5])) for c in numeric}
+        {
+            c: F.coalesce(F.nanvl(F.col(c).cast("double"), nothing), F.lit(medians[c, 0.5]))
+            for c in numeric
+        }
     )
 
 
@@ -180,9 +184,15 @@ def fill_date_gaps(
 
 
 def missing_counts(df: DataFrame, *, only_missing: bool = True) -> DataFrame:
-    """Rows per column that hold no value."""
+    """Rows per column that hold no value: null, or NaN in a fractional column."""
+    fractional = columns_of(df, T.DoubleType, T.FloatType)
     entries = [
-        F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("missing"))
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count_if(F.col(c).isNull() | (F.isnan(c) if c in fractional else F.lit(False))).alias(
+                "missing"
+            ),
+        )
         for c in df.columns
     ]
     counts = df.agg(F.array(*entries).alias("e")).select(F.inline("e"))

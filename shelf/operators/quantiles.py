@@ -106,14 +106,17 @@ def quantile_table(
     *,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """One row per (name, prob): the linearly interpolated quantile, nulls skipped.
+    """One row per (name, prob): the linearly interpolated quantile; null and NaN are skipped.
 
     ``values`` maps a name to an expression, so a group becomes a conditional
     expression: ``{"promo": when(flag == 1, sales)}``. The sketch runs at once;
     pass a stored table, it is read three times.
     """
     names = list(values)
-    flat = df.select(*[values[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
+    nothing = F.lit(None).cast("double")
+    flat = df.select(
+        *[F.nanvl(values[n].cast("double"), nothing).alias(f"v{i}") for i, n in enumerate(names)]
+    )
     slots = _slots(flat, names, probs, accuracy)
     wanted = df.sparkSession.createDataFrame(
         slots, "slot int, name string, prob double, n bigint, low double, high double"
@@ -132,8 +135,10 @@ def quantile_table(
         F.min(F.when(F.col("upto") > upper, F.col("value"))).alias("b"),
     )
     between = F.col("a") + (F.col("b") - F.col("a")) * (position - lower)
+    missed = F.raise_error(F.concat(F.lit("no value in the bracket of "), F.col("name")))
+    exact = F.when(F.col("low") < F.col("high"), F.coalesce(between, missed.cast("double")))
     return wanted.join(picked, "slot", "left").select(
-        "name", "prob", F.coalesce(between, F.col("low")).alias("quantile")
+        "name", "prob", exact.otherwise(F.col("low")).alias("quantile")
     )
 
 

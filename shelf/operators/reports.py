@@ -236,10 +236,13 @@ def column_profile(
     numbers = numeric_columns(df)
     texts = columns_of(df, T.StringType)
     dates = columns_of(df, T.DateType)
+    fractional = columns_of(df, T.DoubleType, T.FloatType)
 
     entries = []
     for name in columns:
         value = F.col(name)
+        if name in fractional:
+            value = F.when(~F.isnan(value), value)
         number = value.cast("double") if name in numbers else F.lit(None).cast("double")
         ends = (F.min(value), F.max(value)) if name in (*numbers, *dates) else (None, None)
         entries.append(

@@ -2,6 +2,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as contract
+import catalog.oracle
+import catalog.queries
 from check_oracle import compare, duck
 
 MODELS = {
@@ -16,11 +18,11 @@ def con():
 
 
 def test_every_query_has_a_twin_but_the_models():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == MODELS
+    assert set(catalog.queries.queries()) - set(catalog.oracle.oracle_sql()) == MODELS
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle.oracle_sql()))
 def test_equal_to_sql(spark, con, name):
     assert compare(spark, con, name, SF_SMALL) == ""
 

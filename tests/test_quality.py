@@ -139,3 +139,12 @@ def test_rollup_first_and_last_skip_nulls(spark):
     assert (row["unit_price"], row["current_stock"]) == (7.0, 40)
     assert (row["is_promotion"], row["stockout_flag"]) == (1, 1)
     assert row["discount_pct"] == pytest.approx(0.2)
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame(
+        [(day("2024-01-01"), v) for v in (1.0, 2.0, float("nan"), None)], "date date, x double"
+    )
+    values = [r["x"] for r in quality.impute(df, numeric=["x"]).collect()]
+    assert sorted(values) == [1.0, 1.5, 1.5, 2.0]
+    assert [r["missing"] for r in quality.missing_counts(df).collect()] == [2]
