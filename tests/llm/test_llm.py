@@ -248,7 +248,7 @@ def test_top_k(spark, monkeypatch):
     rng = np.random.default_rng(9)
     rows = [(i, rng.normal(0, 1, 6).round(1).tolist()) for i in range(300)]
     rows += [(300 + i, [0.5] * 6) for i in range(200)]
-    rows += [(900, None), (950, [1.0, None, 1, 1, 1, 1]), (1000, [float("nan")] * 6), (None, [1.0] * 6), (1050, [1.0, 2.0])]
+    rows += [(900, None), (950, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (1000, [float("nan")] * 6), (None, [1.0] * 6), (1050, [1.0, 2.0])]
     vectors = kd_topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     got = collections.defaultdict(list)
     for r in kd_topk.top_k(vectors, vectors.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect():
