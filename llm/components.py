@@ -16,8 +16,14 @@ def components(edges: DataFrame) -> DataFrame:
     round's table is written to the shared folder; rounds end when no label changes, and grow with
     the logarithm of the longest chain. No edges give no rows.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stage(both.where("a <> b").distinct(), "links")
+    given = stage(edges.select("a", "b").where("a <> b").distinct(), "given-links")
+    # Each node keeps its smallest neighbour, which its other neighbours are handed on to; these
+    # links repeat each other, so far fewer are left.
+    least = given.groupBy("a").agg(F.min("b").alias("m"))
+    handed = given.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    fewer = least.select("a", F.col("m").alias("b")).unionByName(handed).distinct()
+    both = fewer.unionByName(fewer.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = stage(both.distinct(), "links")
     labels = stage(both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("label"), F.lit(True).alias("changed")
     ), "labels")
