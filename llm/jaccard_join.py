@@ -41,6 +41,7 @@ SMALL = 64
 #: Sketches that agree on fewer positions are no candidates: four standard errors below 0.8.
 NEAR = 0.6
 BLOCK_SETS, BLOCK_TOKENS = 2048, 1 << 21
+MARK_WORDS = 1 << 18
 _rng = np.random.default_rng(20240607)
 _ODD = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALT = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -367,6 +368,23 @@ def _links(group: pa.RecordBatch, top: int, bottom: int) -> pa.RecordBatch:
     )
 
 
+def _perhaps_in(docs: DataFrame, member: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text) whose id shares a hash mark with one of ``member``.
+
+    No row of a member is lost; most texts of others stay where they are instead of being shuffled.
+    The marks are ``MARK_WORDS`` words of 64 bits at most, however many members there are, so they
+    are safe to broadcast; when all are set, every row passes.
+    """
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(64 * MARK_WORDS))
+    word, bit = "shiftright(at, 6) AS word", "CAST(at & 63 AS INT) AS bit"
+    marks = member.select(at.alias("at")).selectExpr(word, bit).groupBy("word").agg(
+        F.expr("bit_or(shiftleft(1L, bit))").alias("marks")
+    )
+    rows = docs.select("doc_id", "text", at.alias("at")).selectExpr("doc_id", "text", word, bit)
+    met = F.expr("d.word = m.word AND getbit(m.marks, d.bit) = 1")
+    return rows.alias("d").join(F.broadcast(marks).alias("m"), met, "left_semi").select("doc_id", "text")
+
+
 def near_duplicates(
     docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.99999
 ) -> DataFrame:
@@ -400,7 +418,7 @@ def near_duplicates(
         right = [xxhash.xxh3_128_digest(f.tobytes()) == d for f, d in zip(found, digests)]
         return [[f.tobytes() if r else None for f, r in zip(found, right)]]
 
-    texts = docs.select("doc_id", "text").join(
+    texts = _perhaps_in(docs, member).join(
         member.withColumnRenamed("doc_id", "rep_id"), F.col("doc_id").eqNullSafe(F.col("rep_id"))
     )
     filled = add_columns(texts, ["doc_id", "text", "digest"], [StructField("tokens", BinaryType())], tokens)

@@ -179,6 +179,8 @@ def brute_classes(texts):
 @pytest.mark.parametrize("block", [2048, 16])
 def test_near_duplicates(spark, empty, monkeypatch, block):
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+    if block == 16:
+        monkeypatch.setattr(jaccard_join, "MARK_WORDS", 1)
     texts = copies()
     rows = jaccard_join.near_duplicates(frame(spark, texts)).collect()
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == brute_classes(texts)
@@ -189,6 +191,17 @@ def test_near_duplicates(spark, empty, monkeypatch, block):
         assert {r["doc_id"] for r in kept.collect()} == {c for c, _ in brute_classes(texts).values()}
 
 
+def test_marks_keep_members(spark):
+    ids = [None, *range(-50, 950), 7]
+    docs = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
+    member = docs.where("doc_id is null or doc_id % 10 = 0 or doc_id = 7")
+    kept = collections.Counter(r["doc_id"] for r in jaccard_join._perhaps_in(docs, member).collect())
+    own = collections.Counter(r["doc_id"] for r in member.collect())
+    assert {i: kept[i] for i in own} == own and kept[7] == 2
+    assert sum(kept.values()) < sum(own.values()) + 50
+    assert jaccard_join._perhaps_in(docs, member.limit(0)).count() == 0
+
+
 def test_signatures(spark, odd, empty):
     rows = {r["doc_id"]: r for r in spot_signatures.compare_edits(odd).collect()}
     texts = [t or "" for t in ODD]
