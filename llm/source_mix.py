@@ -85,7 +85,9 @@ def draws(goals: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 17) -> D
     chunks = goals.withColumn("shards", shards).select(
         "key", "blocks", "slots", "shards", F.explode(F.sequence(F.lit(0), F.expr(f"(slots - 1) div {_CHUNK}"))).alias("chunk")
     )
-    slots = chunks.repartition("key", "chunk").select(
+    # A few rows here become thousands each: a given number of partitions keeps them apart.
+    tasks = int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = chunks.repartition(tasks, "key", "chunk").select(
         "key", "blocks", "shards",
         F.explode(F.sequence(
             F.col("chunk") * _CHUNK, F.least((F.col("chunk") + 1) * _CHUNK, F.col("slots")) - 1
@@ -155,7 +157,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
     known = docs.where("doc_id is not null")
     ids = sized(known).groupBy("doc_id").agg(F.max(F.struct("source", "size")).alias("one"))
     rows = ids.select("doc_id", "one.source", "one.size").where("size > 0")
-    slots = draws(targets(rows), block_words, seed).select("key", "block", "pass")
+    # Slots grow with the words, which the planner can't see before they are made: never broadcast.
+    slots = draws(targets(rows), block_words, seed).select("key", "block", "pass").hint("merge")
     parts = _pieces(rows, block_words, seed).join(slots, ["key", "block"])
     part = F.struct("from", "words")
     takes = parts.groupBy("doc_id", "size", "pass").agg(
