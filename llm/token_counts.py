@@ -123,9 +123,16 @@ def count_with_edits(docs: DataFrame, ranks_path: str, text: str = "text", edits
 
     def compute(texts, listed):
         encoder = byte_bpe.encoder(ranks_path)
-        split = (p for group in byte_bpe.groups([t or "" for t in texts]) for p in byte_bpe.pieces(group))
+
+        def split():
+            # The words of many texts are merged together; each tree then finds its own in the cache.
+            for group in byte_bpe.groups([t or "" for t in texts]):
+                found = byte_bpe.pieces(group)
+                encoder.learn(set().union(*found))
+                yield from found
+
         rows = []
-        for own, changes in zip(split, listed):
+        for own, changes in zip(split(), listed):
             tree = TokenTree(own, encoder)
             before, pieces = tree.n_tokens, tree.built
             for e in changes or []:
