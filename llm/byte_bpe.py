@@ -343,7 +343,8 @@ class Encoder(Decoder):
             for old in list(islice(self.cache, max(0, len(self.cache) - self.cache_size // 2))):
                 if old not in words:
                     del self.cache[old]
-        short = [x for x in missing if len(x[0]) <= 64]
+        # Arrays pay only for many words at once.
+        short = [x for x in missing if len(x[0]) <= 64] if len(missing) >= 16 else []
         for k in range(0, len(short), 8192):
             part = short[k : k + 8192]
             for (_, word), ids in zip(part, self._merge_many([b for b, _ in part])):
