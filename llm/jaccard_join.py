@@ -273,16 +273,19 @@ def candidates(reps: DataFrame, threshold: float) -> DataFrame:
     )
     edges = []
     while True:
+        # A set that is alone in a bucket has nothing to meet there: such rows are left out first.
+        counted = level.groupBy("path").agg(F.count("*").alias("members")).where("members > 1")
+        shared = stage(counted, "shared-buckets")
+        small = level.join(shared.where(F.col("members") <= SMALL).select("path"), "path", "left_semi")
+        ordered = small.select("path", "digest", "size", "sketch").repartition("path")
+        edges.append(ordered.sortWithinPartitions("path", "digest").mapInArrow(_small_buckets(threshold), _EDGE))
+        over = shared.where(F.col("members") > SMALL).select("path")
         drawn = F.struct(F.xxhash64("path", "digest").alias("draw"), "digest", "sketch", "label")
-        counted = level.groupBy("path").agg(
-            F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min(drawn).alias("lead"),
+        large = stage(
+            level.join(over, "path", "left_semi").groupBy("path").agg(
+                F.min("label").alias("low"), F.max("label").alias("high"), F.min(drawn).alias("lead")
+            ).where("low <> high"), "large",
         )
-        over = stage(counted.where(F.col("members") > SMALL), "large")
-        small = level.join(over.select("path"), "path", "left_anti").select("path", "digest", "size", "sketch")
-        ordered = small.repartition("path").sortWithinPartitions("path", "digest")
-        edges.append(ordered.mapInArrow(_small_buckets(threshold), _EDGE))
-        large = over.where("low <> high")
         if large.isEmpty():
             break
         led = stage(
