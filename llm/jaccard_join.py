@@ -4,11 +4,11 @@
    one row for each set goes on.
 2. Candidate search by chosen paths. In each of several runs a set picks some of its tokens by
    hash, about ``BRANCHING`` in expectation, and lands in their buckets; similar sets share picks.
-   A small bucket is brute-forced on sketches (64 minhash bytes). A large one draws a leader and
-   links all members whose sketch is near it. If these are at least half, the bucket is dense and
-   splitting would not help; then, or if it fits one block, the other members are brute-forced
-   against all, in blocks. Else the bucket splits by sampled sketch positions; a bucket whose members are already linked to each
-   other ends at once, however large. The number of runs follows from the target recall.
+   A bucket that fits one block is brute-forced on sketches (64 minhash bytes). A larger one draws
+   a leader and links all members whose sketch is near it. If these are at least half, the bucket
+   is dense and splitting would not help; then the other members are brute-forced against all, in
+   blocks. Else the bucket splits by sampled sketch positions; a bucket whose members are already
+   linked to each other ends at once, however large. The number of runs follows from the target recall.
 3. Candidates that hang together form clusters. The shingle sets of each cluster are compared
    exactly, all against all in blocks of bounded size, on bit rows over the shared shingles. This
    gives the number of links of every set and the final groups.
@@ -169,29 +169,44 @@ def _edges(a: list, b: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _small_buckets(threshold: float):
+def _bucket_links(threshold: float):
+    """Links within whole buckets of (path, digest, size, sketch), as edges to one member."""
+
+    def alike(size, sketch, i, j):
+        fits = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
+        return fits & ((sketch[i] == sketch[j]).sum(axis=1) >= NEAR * SKETCH)
+
+    def small(path, size, sketch):
+        for d in range(1, len(path)):
+            i = np.flatnonzero(path[d:] == path[:-d])
+            if not len(i):
+                break
+            i = i[alike(size, sketch, i, i + d)]
+            yield i, i + d
+
+    def medium(size, sketch):
+        # The first member leads; only those that are not like it are compared with all.
+        every = np.arange(len(size))
+        near = alike(size, sketch, every, 0)
+        yield every[near], np.zeros(near.sum(), np.int64)
+        for i in np.flatnonzero(~near).tolist():
+            met = np.flatnonzero(alike(size, sketch, every, i))
+            yield np.full(len(met), i), met
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _grouped(batches, 1):
             path, size = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            shared = np.append(path[1:] == path[:-1], False)
-            kept = np.flatnonzero(shared | np.append(False, shared[:-1]))
-            if not len(kept):
+            sketch, names = _fixed(batch.column(3), SKETCH), batch.column(1).to_pylist()
+            starts = np.flatnonzero(np.append(True, path[1:] != path[:-1]))
+            members = np.diff(np.append(starts, len(path)))
+            tiny = np.flatnonzero(np.repeat(members <= SMALL, members))
+            found = [(tiny[i], tiny[j]) for i, j in small(path[tiny], size[tiny], sketch[tiny])]
+            for k in np.flatnonzero(members > SMALL).tolist():
+                at = slice(starts[k], starts[k] + members[k])
+                found += [(i + starts[k], j + starts[k]) for i, j in medium(size[at], sketch[at])]
+            if not found:
                 continue
-            path, size = path[kept], size[kept]
-            part = batch.take(pa.array(kept))
-            sketch, names = _fixed(part.column(3), SKETCH), part.column(1).to_pylist()
-            found_a, found_b = [], []
-            for d in range(1, len(path)):
-                i = np.flatnonzero(path[d:] == path[:-d])
-                if not len(i):
-                    break
-                j = i + d
-                fits = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
-                i, j = i[fits], j[fits]
-                alike = (sketch[i] == sketch[j]).sum(axis=1) >= NEAR * SKETCH
-                found_a.append(i[alike])
-                found_b.append(j[alike])
-            root = _roots(len(path), np.concatenate(found_a), np.concatenate(found_b))
+            root = _roots(len(path), *(np.concatenate(x) for x in zip(*found)))
             member = np.flatnonzero(root != np.arange(len(path)))
             yield _edges([names[k] for k in member], [names[k] for k in root[member]])
 
@@ -255,41 +270,44 @@ def _blocks_of_dense(led: DataFrame, dense: DataFrame) -> DataFrame:
     far = F.ceil((F.col("members") - F.col("near")) / BLOCK_SETS)
     every = F.ceil(F.col("members") / BLOCK_SETS)
     own_i, own_j = F.pmod(hashed, far), F.pmod(hashed, every)
-    asking = rows.where("led is null").select(
-        "path", own_i.alias("i"), F.explode(F.sequence(F.lit(0), every - 1)).alias("j"), F.lit(True).alias("asks"),
-        "digest", "sketch",
-    )
-    asked = rows.select(
-        "path", F.explode(F.sequence(F.lit(0), far - 1)).alias("i"), own_j.alias("j"), F.lit(False).alias("asks"),
-        "digest", "sketch",
-    )
-    return asking.unionByName(asked)
+
+    def meets(i, j, asks: bool):
+        return F.struct(i.alias("i"), j.alias("j"), F.lit(asks).alias("asks"))
+
+    asked = F.transform(F.sequence(F.lit(0).cast("long"), far - 1), lambda i: meets(i, own_j, False))
+    asking = F.transform(F.sequence(F.lit(0).cast("long"), every - 1), lambda j: meets(own_i, j, True))
+    both = F.when(F.col("led").isNull(), F.concat(asked, asking)).otherwise(asked)
+    return rows.select("path", "digest", "sketch", F.explode(both).alias("meets")).select(
+        "path", "meets.i", "meets.j", "meets.asks", "digest", "sketch"
+    )
 
 
 def candidates(reps: DataFrame, threshold: float) -> DataFrame:
     """Edges (a, b) whose components hold every pair found alike in a bucket."""
-    level = reps.select(
-        F.explode("paths").alias("path"), "digest", "size", "sketch", F.col("digest").alias("label")
-    )
+    level = reps.select(F.explode("paths").alias("path"), "digest", F.col("digest").alias("label"))
+    # These tables grow with the input and are joined by merging, never broadcast.
+    seen = reps.select("digest", "size", "sketch").hint("merge")
+    block = max(SMALL, BLOCK_SETS)
     edges = []
     while True:
-        # A set that is alone in a bucket has nothing to meet there: such rows are left out first.
+        # A set that is alone in a bucket has nothing to meet there: such rows are left out first,
+        # and only the others get their sketches.
         counted = level.groupBy("path").agg(F.count("*").alias("members")).where("members > 1")
         shared = stage(counted, "shared-buckets")
-        small = level.join(shared.where(F.col("members") <= SMALL).select("path"), "path", "left_semi")
-        ordered = small.select("path", "digest", "size", "sketch").repartition("path")
-        edges.append(ordered.sortWithinPartitions("path", "digest").mapInArrow(_small_buckets(threshold), _EDGE))
-        over = shared.where(F.col("members") > SMALL).select("path")
-        drawn = F.struct(F.xxhash64("path", "digest").alias("draw"), "digest", "sketch", "label")
-        large = stage(
-            level.join(over, "path", "left_semi").groupBy("path").agg(
-                F.min("label").alias("low"), F.max("label").alias("high"), F.min(drawn).alias("lead")
-            ).where("low <> high"), "large",
-        )
-        if large.isEmpty():
+        whole = shared.where(F.col("members") <= block).select("path").hint("merge")
+        inside = level.select("path", "digest").join(whole, "path", "left_semi").join(seen, "digest")
+        ordered = inside.select("path", "digest", "size", "sketch").repartition("path")
+        edges.append(ordered.sortWithinPartitions("path", "digest").mapInArrow(_bucket_links(threshold), _EDGE))
+        over = shared.where(F.col("members") > block).select("path")
+        if over.isEmpty():
             break
+        rows = stage(level.join(over, "path", "left_semi").join(seen.drop("size"), "digest"), "large-buckets")
+        drawn = F.struct(F.xxhash64("path", "digest").alias("draw"), "digest", "sketch", "label")
+        large = rows.groupBy("path").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.min(drawn).alias("lead")
+        ).where("low <> high")
         led = stage(
-            level.join(large.select("path", "lead"), "path").select(
+            rows.join(large, "path").select(
                 "path", "digest", "sketch", "label", F.col("lead.digest").alias("lead_digest"),
                 F.col("lead.sketch").alias("lead_sketch"), F.col("lead.label").alias("lead_label"),
             ).mapInArrow(
@@ -298,14 +316,12 @@ def candidates(reps: DataFrame, threshold: float) -> DataFrame:
         )
         edges.append(led.where("linked is not null").select(F.col("digest").alias("a"), F.col("linked").alias("b")))
         shares = stage(led.groupBy("path").agg(F.count("*").alias("members"), F.count("led").alias("near")), "shares")
-        closing = (2 * F.col("near") >= F.col("members")) | (F.col("members") <= BLOCK_SETS)
+        closing = 2 * F.col("near") >= F.col("members")
         dense = shares.where(closing & (F.col("near") < F.col("members")))
         blocks = _blocks_of_dense(led, dense).repartition("path", "i", "j")
         edges.append(blocks.sortWithinPartitions("path", "i", "j").mapInArrow(_dense, _EDGE))
         sparse = led.join(shares.where(~closing).select("path"), "path", "left_semi")
-        level = sparse.select(
-            F.explode("paths").alias("path"), "digest", F.lit(0).cast("long").alias("size"), "sketch", "label"
-        )
+        level = sparse.select(F.explode("paths").alias("path"), "digest", "label")
     found = edges[0]
     for more in edges[1:]:
         found = found.unionByName(more)
