@@ -241,6 +241,39 @@ def test_licences(spark, odd, empty):
     assert scanner.scan(empty).count() == 0
 
 
+NOTICES = {
+    "SPDX-Identifier: Apache-2.0": "Apache-2.0", "This tool is GPLv3 or later": "GPL-3.0",
+    "All texts of this page are available under CC BY-SA 4.0": "CC-BY-SA",
+    "Creative Commons Attribution 4.0 International": "CC-BY", "We have released it under MIT": "MIT",
+    "Acme GmbH. Alle Rechte vorbehalten.": "Proprietary", "2021 Dupont. Tous droits réservés.": "Proprietary",
+    "The sources are covered by an MIT licence": "MIT",
+    "Dieses Programm steht unter der Apache-Lizenz,\nVersion 2.0, und darf benutzt werden": "Apache-2.0",
+    "# This program is free software: you can redistribute\n# it and/or modify it under the terms of the GNU\n"
+    "# General Public License as published by the Free Software\n# Foundation, either version 3 of the License, or\n"
+    "# (at your option) any later version.": "GPL-3.0",
+    "Licensed under the\nApache License, Version 2.0 (the \"License\"); you may not\nuse this file except in compliance with\nthe License.": "Apache-2.0",
+}
+
+
+def test_notices_that_are_not_templates(spark):
+    prose = " ".join(f"the river{i} was wide and a boat{i} of the town came on time" for i in range(8))
+    plain = [prose, "She had a permission to park there.", "The licence plate of the old car was lost.", "An apache helicopter of 1984."]
+    middle = "\n\n".join([prose, "\n\n".join(f"{n}\n\n{prose}" for n in NOTICES)])
+    inside = f"{prose}\n{prose} and it is licensed under the MIT License since then {prose}"
+    docs = frame(spark, [*NOTICES, *plain, middle, inside])
+    rows = license_scan.train(docs).scan(docs).collect()
+    assert [f for _, f in NOTICES.items()] == [
+        next((r["family"] for r in rows if r["doc_id"] == i and r["confirmed"]), None) for i in range(len(NOTICES))
+    ]
+    first = len(NOTICES)
+    assert not [r for r in rows if first <= r["doc_id"] < first + len(plain) and r["confirmed"]]
+    lines, starts = middle.split("\n"), {}
+    for n, family in NOTICES.items():
+        starts[lines.index(n.split("\n")[0])] = family
+    assert {r["paragraph"]: r["family"] for r in rows if r["doc_id"] == first + len(plain) and r["confirmed"]} == starts
+    assert [(r["paragraph"], r["family"]) for r in rows if r["doc_id"] == first + len(plain) + 1 and r["confirmed"]] == [(0, "MIT")]
+
+
 @pytest.mark.parametrize("size", [1 << 20, 7])
 def test_archives(spark, size):
     pages = [(1, "u", "abc" * 9), (2, None, "abc" * 9), (3, "u v", None), (4, "", ""), (5, "u", "é\r\n\r\n" * 5), (6, "u", "x")]
