@@ -38,8 +38,8 @@ _WORD = re.compile(r"\w+")
 SKETCH = 64
 BRANCHING = 1.25
 SMALL = 64
-#: Sketches that agree on fewer positions are no candidates: four standard errors below 0.8.
-NEAR = 0.6
+#: Sketches that agree on fewer positions (34 of 64) are no candidates; see recall_of.
+NEAR = 34 / SKETCH
 BLOCK_SETS, BLOCK_TOKENS = 2048, 1 << 21
 MARK_WORDS = 1 << 18
 _rng = np.random.default_rng(20240607)
@@ -74,10 +74,41 @@ def shingles(text: str, n: int = 5) -> np.ndarray:
     return np.unique(made)
 
 
+def _sketch_loss(threshold: float) -> float:
+    """The probability that the sketches of a pair at the threshold agree on too few positions."""
+    needed = math.ceil(NEAR * SKETCH - 1e-9)
+    # Values of one byte: positions with different minima agree by chance as well.
+    same = threshold + (1 - threshold) / 256
+    return sum(math.comb(SKETCH, k) * same**k * (1 - same) ** (SKETCH - k) for k in range(needed))
+
+
+def _run_loss(threshold: float) -> float:
+    """The probability that a pair at the threshold meets in no bucket of one run, at its greatest.
+
+    Sets of a and b tokens, c of them shared, meet by a shared token that both pick, which the
+    larger set does with probability BRANCHING / max(a, b): c / max(a, b) is least, for a given
+    similarity, where one set contains the other, and is then the similarity itself.
+    """
+    return math.exp(-BRANCHING * threshold)
+
+
 def runs_for(recall: float, threshold: float) -> int:
-    """Runs after which a pair at the threshold has met in a bucket with probability ``recall``."""
-    missed = math.exp(-BRANCHING * 2 * threshold / (1 + threshold))
-    return math.ceil(math.log(1 - recall) / math.log(missed))
+    """Runs after which a pair at the threshold is a candidate with probability ``recall``.
+
+    The loss that the sketches cause is the same in all runs; the runs have what is left of it.
+    """
+    left = 1 - recall - _sketch_loss(threshold)
+    if left <= 0:
+        raise ValueError(f"sketches of {SKETCH} positions do not reach a recall of {recall} at {threshold}")
+    return math.ceil(math.log(left) / math.log(_run_loss(threshold)))
+
+
+def recall_of(runs: int, threshold: float) -> float:
+    """The least probability that a pair at the threshold is found: meets in a bucket and is alike there.
+
+    Holds for buckets of up to ``BLOCK_SETS`` members; larger ones that split lose some more.
+    """
+    return 1 - _sketch_loss(threshold) - _run_loss(threshold) ** runs
 
 
 def describe(tokens: np.ndarray, runs: int) -> tuple[bytes, int, bytes, list[int]]:

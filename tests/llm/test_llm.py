@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -191,6 +192,17 @@ def test_near_duplicates(spark, empty, monkeypatch, block):
         assert {r["doc_id"] for r in kept.collect()} == {c for c, _ in brute_classes(texts).values()}
 
 
+def test_candidates_reach_the_recall():
+    """A shared token of sets of 800 and 1,000 (one contains the other: 0.8) is picked in time, and sketches let the pair pass."""
+    runs = jaccard_join.runs_for(0.99999, 0.8)
+    needed = next(k for k in range(65) if k >= jaccard_join.NEAR * jaccard_join.SKETCH)
+    same = 0.8 + 0.2 / 256
+    unlike = sum(math.comb(64, k) * same**k * (1 - same) ** (64 - k) for k in range(needed))
+    assert unlike < 1e-6
+    assert unlike + (1 - jaccard_join.BRANCHING / 1000) ** (800 * runs) <= 1e-5
+    assert runs <= len(jaccard_join._SALT) - 128 and jaccard_join.recall_of(runs, 0.8) >= 0.99999
+
+
 def test_marks_keep_members(spark):
     ids = [None, *range(-50, 950), 7]
     docs = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
