@@ -226,6 +226,24 @@ def test_signatures(spark, odd, empty):
     assert spot_signatures.compare_edits(empty).count() == 0
 
 
+def test_texts_with_few_anchors_have_signatures(spark):
+    rng = random.Random(11)
+    russian = ["Старый капитан долго смотрел на тёмное море и молчал.", "Старый капитан продал лодку соседу за мешок муки."]
+    many = [f"Слово{rng.randint(0, 999)} и дом{rng.randint(0, 999)} на горе{rng.randint(0, 999)} не стоит" for _ in range(60)]
+    words = [f"item{rng.randint(0, 9999)}" for _ in range(60)]
+    table = "\n".join(f"{w}\t{rng.randint(0, 9999)}" for w in words)
+    listed, other = " ".join(words), " ".join(["new", "begin", *words[2:]])
+    texts = [*russian, table, listed, other, *many]
+    docs = spark.createDataFrame([(i, t, "ru" if i < 2 or i > 4 else "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    anchors = spot_signatures.corpus_anchors(docs)
+    assert {"и", "на", "не"} <= set(anchors) and "капитан" not in anchors
+    rows = {r["doc_id"]: r for r in spot_signatures.compare_edits(docs).collect()}
+    sizes = {i: int(rows[i]["fingerprint"].split(":")[0]) for i in rows}
+    assert rows[0]["near_next"] < 1 and rows[0]["near_edited"] < 1
+    assert sizes[2] > 40 and sizes[3] > 8 and rows[3]["near_edited"] < 1
+    assert 0.5 < rows[3]["near_next"] < 1
+
+
 def test_similar_fingerprints(spark):
     texts = copies(8)[len(ODD) : len(ODD) + 60]
     texts = [" the ".join(t.split()) for t in texts]
