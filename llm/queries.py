@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, jaccard_join, kd_topk, license_scan, source_mix, spot_signatures, token_counts, token_files, toxicity, warc_chunks
+from llm import byte_bpe, conversation_trie, filter_audit, jaccard_join, kd_topk, license_scan, source_mix, spot_signatures
+from llm import token_counts, token_files, toxicity, url_filter, warc_chunks
 from shelf.staging import stage_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -75,12 +76,33 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(source_mix.sized(documents(spark, sf_dir)))
 
 
+URL_RULES = [
+    url_filter.Rule(url_filter.BLOCK, "net", "/"), url_filter.Rule(url_filter.ALLOW, "example.net", "/en/"),
+    url_filter.Rule(url_filter.BLOCK, "example.com", "/de/"), url_filter.Rule(url_filter.ALLOW, "org", "/fr/"),
+]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URLs that the rules decide are the labelled table for the others."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    model = url_filter.train(url_filter.ruled(pages.select("url"), URL_RULES))
+    return url_filter.judge(pages, URL_RULES, model)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_token_files, op3_spot_signatures, op4_license_scan, op5_jaccard_join,
         op6_warc_chunks, op7_token_counts, op8_byte_bpe,
-        op9_kd_topk, op10_source_mix,
+        op9_kd_topk, op10_source_mix, op11_url_filter, op12_conversation_trie, op13_filter_audit,
     )
 }
 
@@ -106,4 +128,84 @@ WITH v AS (
   FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS "rank", vec_id, score FROM r WHERE n <= 5""",
+    "op12_conversation_trie": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+    sha256(length(role) || ':' || role || text)) AS n FROM t
+), c AS (
+  SELECT conv_id, list_reduce(list_transform(split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda crc, byte: list_reduce([1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[],
+      lambda v, i: xor(v >> 1, (v & 1) * 3988292384), xor(crc, byte)), 4294967295::BIGINT) AS crc
+  FROM (SELECT DISTINCT conv_id FROM t)
+), h AS (SELECT conv_id, xor(crc, 4294967295::BIGINT) % 4 AS h FROM c),
+r AS (
+  SELECT h.conv_id, o.n, o.role, o.text FROM h JOIN o ON o.conv_id = h.conv_id - h.conv_id % 20 AND o.n <= h.h
+  UNION ALL
+  SELECT h.conv_id, o.n + 1000000, o.role, o.text FROM h JOIN o ON o.conv_id = h.conv_id AND o.n > h.h
+), p AS (
+  SELECT conv_id, list(sha256(length(role) || ':' || role || text) ORDER BY n) AS path,
+    list(CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) ORDER BY n) AS words
+  FROM r GROUP BY conv_id
+), w AS (
+  SELECT h.conv_id, coalesce(path, []) AS path, coalesce(words, []) AS words FROM h LEFT JOIN p USING (conv_id)
+), m AS (
+  SELECT conv_id, d AS depth, array_to_string(path[1:d], '') AS node, array_to_string(path[1:d - 1], '') AS above,
+    CASE WHEN d = 0 THEN 0 ELSE words[d] END AS words, d = len(path) AS ends
+  FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM w)
+), g AS (
+  SELECT node, depth, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM m GROUP BY node, depth
+), k AS (
+  SELECT g.*, (SELECT count(*) FROM g x WHERE x.above = g.node AND x.depth = g.depth + 1) AS n_children FROM g
+), s AS (
+  SELECT k.node, k.n, k.words, k.n_children, unnest(range(k.depth + 1)) AS d FROM k
+), u AS (
+  SELECT substr(node, 1, CAST(64 * d AS INT)) AS top, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+    CAST(sum((n - 1) * words) AS BIGINT) AS saved_tokens
+  FROM s GROUP BY 1
+)
+SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, k.n AS n_convs, k.n_children, u.n_leaves,
+  u.saved_tokens, k.ends_sha256
+FROM k JOIN u ON u.top = k.node LEFT JOIN g a ON a.node = k.above AND a.depth = k.depth - 1""",
+    "op13_filter_audit": r"""
+WITH l AS (
+  SELECT doc_id, bool_or(quality IS NOT DISTINCT FROM 1) AS good, bool_or(toxic IS NOT DISTINCT FROM 1) AS toxic FROM labels GROUP BY doc_id
+), t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM t
+), m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+     regexp_matches(text, '[#$%&*|]'), coalesce(w.doc_id > least, false)] AS f
+  FROM w LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, list_sum(list_transform(range(5), lambda i: CASE WHEN f[i + 1] THEN 1 << CAST(i AS INT) ELSE 0 END)) AS mask,
+    count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m GROUP BY ALL
+), a AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM a, a b, a c, a d, a e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), s AS (
+  SELECT filter_order, CAST(k AS INTEGER) AS step, 1 << CAST(ascii(filter_order[k]) - 65 AS INT) AS own,
+    coalesce(list_sum(list_transform(range(1, k), lambda j: 1 << CAST(ascii(filter_order[j]) - 65 AS INT))), 0) AS earlier
+  FROM (SELECT *, unnest(range(1, 6)) AS k FROM o)
+), r AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN mask & (own | earlier) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & own <> 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & own <> 0 AND mask & earlier <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & own <> 0 AND mask & earlier = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & own <> 0 AND mask & earlier = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r""",
 }
