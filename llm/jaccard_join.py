@@ -7,8 +7,10 @@
    A bucket that fits one block is brute-forced on sketches (64 minhash bytes). A larger one draws
    a leader and links all members whose sketch is near it. If these are at least half, the bucket
    is dense and splitting would not help; then the other members are brute-forced against all, in
-   blocks. Else the bucket splits by sampled sketch positions; a bucket whose members are already
-   linked to each other ends at once, however large. The number of runs follows from the target recall.
+   blocks. Else the bucket splits: a sketch position holds (in a byte) the token that the position's
+   hash order puts first, a sampled token that similar sets share, and the members go to the buckets
+   of ``CHILDREN`` sampled tokens. A bucket whose members are already linked to each other ends at
+   once, however large. The number of runs follows from the target recall, splits included.
 3. Candidates that hang together form clusters. The shingle sets of each cluster are compared
    exactly, all against all in blocks of bounded size, on bit rows over the shared shingles. This
    gives the number of links of every set and the final groups.
@@ -25,6 +27,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +44,9 @@ SMALL = 64
 #: Sketches that agree on fewer positions (34 of 64) are no candidates; see recall_of.
 NEAR = 34 / SKETCH
 BLOCK_SETS, BLOCK_TOKENS = 2048, 1 << 21
+#: Children of a member of a splitting bucket; and the splits in a row that the number of runs allows
+#: for: each leaves about one in 256, so four of them take a bucket of 2048 * 256 ** 4 sets.
+CHILDREN, SPLITS, MOST_RUNS = 3, 4, 64
 MARK_WORDS = 1 << 18
 _rng = np.random.default_rng(20240607)
 _ODD = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -74,41 +80,43 @@ def shingles(text: str, n: int = 5) -> np.ndarray:
     return np.unique(made)
 
 
-def _sketch_loss(threshold: float) -> float:
-    """The probability that the sketches of a pair at the threshold agree on too few positions."""
+def _loss(threshold: float, runs: int, splits: int) -> float:
+    """The probability that a pair at the threshold is never a candidate, at its greatest.
+
+    Sets of a and b tokens, c of them shared, meet in a bucket of a run by a shared token that both
+    pick, which the larger set does with probability BRANCHING / max(a, b): c / max(a, b) is least,
+    for a given similarity, where one set contains the other, and is then the similarity itself.
+    A bucket that splits keeps the pair together if one of ``CHILDREN`` drawn sketch positions agrees.
+    The sketch is the same in all runs, so the loss is summed over how many positions agree; with
+    fewer than NEAR of them the pair is no candidate in any run.
+    """
     needed = math.ceil(NEAR * SKETCH - 1e-9)
     # Values of one byte: positions with different minima agree by chance as well.
     same = threshold + (1 - threshold) / 256
-    return sum(math.comb(SKETCH, k) * same**k * (1 - same) ** (SKETCH - k) for k in range(needed))
-
-
-def _run_loss(threshold: float) -> float:
-    """The probability that a pair at the threshold meets in no bucket of one run, at its greatest.
-
-    Sets of a and b tokens, c of them shared, meet by a shared token that both pick, which the
-    larger set does with probability BRANCHING / max(a, b): c / max(a, b) is least, for a given
-    similarity, where one set contains the other, and is then the similarity itself.
-    """
-    return math.exp(-BRANCHING * threshold)
+    meet = 1 - math.exp(-BRANCHING * threshold)
+    total = 0.0
+    for k in range(SKETCH + 1):
+        share = math.comb(SKETCH, k) * same**k * (1 - same) ** (SKETCH - k)
+        stays = (1 - (1 - k / SKETCH) ** CHILDREN) ** splits
+        total += share * ((1 - meet * stays) ** runs if k >= needed else 1.0)
+    return total
 
 
-def runs_for(recall: float, threshold: float) -> int:
+def runs_for(recall: float, threshold: float, splits: int = SPLITS) -> int:
     """Runs after which a pair at the threshold is a candidate with probability ``recall``.
 
-    The loss that the sketches cause is the same in all runs; the runs have what is left of it.
+    Holds for pairs that share only buckets which split ``splits`` times, as those of tokens that very
+    many sets have; other pairs are found with a higher probability.
     """
-    left = 1 - recall - _sketch_loss(threshold)
-    if left <= 0:
-        raise ValueError(f"sketches of {SKETCH} positions do not reach a recall of {recall} at {threshold}")
-    return math.ceil(math.log(left) / math.log(_run_loss(threshold)))
+    for runs in range(1, MOST_RUNS + 1):
+        if _loss(threshold, runs, splits) <= 1 - recall:
+            return runs
+    raise ValueError(f"{MOST_RUNS} runs on sketches of {SKETCH} positions do not reach a recall of {recall} at {threshold}")
 
 
-def recall_of(runs: int, threshold: float) -> float:
-    """The least probability that a pair at the threshold is found: meets in a bucket and is alike there.
-
-    Holds for buckets of up to ``BLOCK_SETS`` members; larger ones that split lose some more.
-    """
-    return 1 - _sketch_loss(threshold) - _run_loss(threshold) ** runs
+def recall_of(runs: int, threshold: float, splits: int = SPLITS) -> float:
+    """The least probability that a pair at the threshold is found, where its buckets split ``splits`` times."""
+    return 1 - _loss(threshold, runs, splits)
 
 
 def describe(tokens: np.ndarray, runs: int) -> tuple[bytes, int, bytes, list[int]]:
@@ -172,8 +180,9 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Record
         while batch.num_rows:
             ends = [c[batch.num_rows - 1].as_py() for c in batch.columns[:keys]]
             same = np.ones(batch.num_rows, bool)
-            for c, e in zip(batch.columns, ends):
-                same &= c.to_numpy(zero_copy_only=False) == e
+            for c in batch.columns[:keys]:
+                # Arrow compares whole byte strings; NumPy would drop zero bytes at their ends.
+                same &= pc.equal(c, c[batch.num_rows - 1]).to_numpy(zero_copy_only=False)
             start = batch.num_rows - int(same[::-1].argmin() if not same.all() else batch.num_rows)
             heads = [c[0].as_py() for c in batch.columns[:keys]]
             if held and heads != last and start == 0:
@@ -258,7 +267,7 @@ def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = [b if x else a for x, a, b in zip(near, own, leader)]
         unsigned = path.view(np.uint64)
         children = []
-        for salt in (1, 2):
+        for salt in range(1, CHILDREN + 1):
             at = (_mix(unsigned + _SALT[200 + salt]) % np.uint64(SKETCH)).astype(np.int64)
             value = sketch[np.arange(len(path)), at].astype(np.uint64)
             children.append(_mix(_mix(unsigned + _SALT[210 + salt]) + value * np.uint64(1 << 20) + at.astype(np.uint64)))
