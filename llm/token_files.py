@@ -42,15 +42,15 @@ class WordEncoder:
 
     The vocabulary's normaliser turns white space into one space, which its splitter drops, so no
     token and no normalisation reaches across a space or a line feed: the ids of a text are those
-    of its chunks in order. ASCII words and the marks after them are cached apart.
+    of its chunks in order. ASCII words and the marks after them are cached apart. Special tokens
+    spelt out in a text are found by the library, as it does by default.
     """
 
-    def __init__(self, path: str, end_id: int, cache_size: int = 250_000):
+    def __init__(self, path: str, end_id: int, cache_size: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
         self.type = np.dtype("<u2" if max(self.lib.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.type).tobytes()
         self.cache: dict[str, bytes] = {"": b""}
@@ -127,12 +127,17 @@ def train_dictionary(
 ) -> bytes:
     """A zstandard dictionary trained on the serialised ids of at most ``sample_docs`` documents.
 
-    The sample takes the documents of at most ``sample_chars`` code points with the smallest hash
-    of their id; it bounds only the training. Too few samples to train on become the dictionary's
-    plain content; no sample gives no dictionary (empty bytes).
+    The sample takes the documents with the smallest hash of their id, without those of more than
+    ``sample_chars`` code points; it bounds only the training. Ids are drawn first, thinned out in
+    every task, so texts of the sample alone are moved. Too few samples to train on become the
+    dictionary's plain content; no sample gives no dictionary (empty bytes).
     """
-    order = F.xxhash64("doc_id")
-    sample = docs.where(F.length("text") <= sample_chars).select("text").orderBy(order, "doc_id", "text").limit(sample_docs)
+    order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    ids = docs.select("doc_id").where("doc_id is not null")
+    share = min(1.0, 4 * sample_docs / max(1, ids.count()))
+    drawn = ids.where(order < int(share * (1 << 40))).distinct().orderBy(order, "doc_id").limit(sample_docs)
+    chosen = docs.where(F.col("doc_id").isin([r["doc_id"] for r in drawn.collect()])).where(F.length("text") <= sample_chars)
+    sample = chosen.select("text").orderBy(F.xxhash64("text"), "text").limit(sample_docs)
 
     def compute(texts):
         return [list(word_encoder(vocabulary, end_id).encode([t or "" for t in texts]))]

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -89,9 +90,22 @@ def test_counts_with_odd_rows(odd, empty):
     assert token_counts.count_with_edits(token_counts.self_edits(empty), RANKS).count() == 0
 
 
+def test_word_ids_are_those_of_the_library():
+    """Special tokens spelt out, odd spaces and marks: the plain library with its defaults decides."""
+    rng = random.Random(31)
+    pool = [
+        "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "it's", "Don't", "...", "\t", "\n", " ", "  ", "12a", "é", "e\u0301",
+        "漢字", "<|", "|>", "\u00a0", "\x1c", "a", "B", "İ", "ǅ", "\0",
+    ]
+    texts = ["".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    lib = Tokenizer.from_file(WORDS)
+    made = token_files.WordEncoder(WORDS, 1, cache_size=50).encode(texts)
+    for text, ids in zip(texts, made):
+        assert np.frombuffer(ids, "<u2").tolist() == [*lib.encode(text, add_special_tokens=False).ids, 1], text
+
+
 def test_token_files(spark, odd, empty):
     lib = Tokenizer.from_file(WORDS)
-    lib.encode_special_tokens = True
     folder = stage_path(spark, "files")
     token_files.write_token_files(odd, folder, WORDS, block_bytes=40)
     rows = token_files.read_token_files(spark, folder).orderBy("doc_id").collect()
@@ -192,6 +206,50 @@ def test_near_duplicates(spark, empty, monkeypatch, block):
         assert {r["doc_id"] for r in kept.collect()} == {c for c, _ in brute_classes(texts).values()}
 
 
+def test_group_keys_that_end_in_zero_bytes():
+    """A label is a digest; two of its last bytes may be zero, and its rows may come in several batches."""
+    def batch(labels):
+        return pa.RecordBatch.from_arrays([pa.array(labels, pa.binary()), pa.array(range(len(labels)))], names=["label", "n"])
+
+    a, b, c = b"x" * 14 + b"\0\0", b"x" * 14 + b"\0\1", b"x" * 14
+    batches = [batch([c, a, a]), batch([a]), batch([]), batch([a, a, b]), batch([b]), batch([b])]
+    groups = [g.column(0).to_pylist() for g in jaccard_join._grouped(iter(batches), 1)]
+    assert [x for g in groups for x in g] == [c, *[a] * 5, *[b] * 3]
+    for key in (a, b, c):
+        assert sum(key in g for g in groups) == 1
+
+
+def test_links_of_a_cluster_in_several_batches(spark, monkeypatch):
+    """Every label ends in a zero byte, and batches hold two rows: links are those of brute force."""
+    digest = jaccard_join.xxhash.xxh3_128_digest
+    monkeypatch.setattr(jaccard_join.xxhash, "xxh3_128_digest", lambda x: digest(x)[:15] + b"\0")
+    words = [f"w{i}" for i in range(40)]
+    sets = [jaccard_join.shingles(" ".join([*words, *[f"x{k}"] * (k % 2)])) for k in range(7)]
+    names = [jaccard_join.xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+    rows = sorted({(min(names), 0, 0, 0, n, 1, s.tobytes()) for n, s in zip(names, sets)})
+    types = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
+    table = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
+    whole = pa.RecordBatch.from_arrays(table, names=["label", "low", "high", "block", "digest", "copies", "tokens"])
+    parts = [whole.slice(k, 2) for k in range(0, len(rows), 2)]
+    made = list(jaccard_join._compare(0.8)(iter(parts)))
+    links = {d: n for b in made for d, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    assert links == {r[4]: len(rows) - 1 for r in rows} and len(rows) > 3
+
+
+def test_links_are_found_under_a_hot_token(spark, monkeypatch):
+    """Pairs of 0.8 that meet in buckets which all texts share, and which split several times."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 64)
+    rng = random.Random(23)
+    head, texts = [f"head{i}" for i in range(12)], []
+    for k in range(500):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(70)]
+        other = list(own)
+        other[60 + k % 10] = f"y{k}"
+        texts += [" ".join([*head, *own]), " ".join([*head, *other])]
+    rows = jaccard_join.near_duplicates(frame(spark, texts)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == brute_classes(texts)
+
+
 def test_candidates_reach_the_recall():
     """A shared token of sets of 800 and 1,000 (one contains the other: 0.8) is picked in time, and sketches let the pair pass."""
     runs = jaccard_join.runs_for(0.99999, 0.8)
@@ -200,7 +258,10 @@ def test_candidates_reach_the_recall():
     unlike = sum(math.comb(64, k) * same**k * (1 - same) ** (64 - k) for k in range(needed))
     assert unlike < 1e-6
     assert unlike + (1 - jaccard_join.BRANCHING / 1000) ** (800 * runs) <= 1e-5
-    assert runs <= len(jaccard_join._SALT) - 128 and jaccard_join.recall_of(runs, 0.8) >= 0.99999
+    assert runs <= jaccard_join.MOST_RUNS < len(jaccard_join._SALT) - 128
+    assert jaccard_join.recall_of(runs, 0.8) >= 0.99999 and jaccard_join.recall_of(runs, 0.8, 0) >= 0.999995
+    with pytest.raises(ValueError):
+        jaccard_join.runs_for(0.99999, 0.5)
 
 
 def test_marks_keep_members(spark):
