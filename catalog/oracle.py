@@ -34,8 +34,8 @@ raw AS (
   FROM sold)"""
 
 
-def fill(source: str, name: str, columns: str = "") -> str:
-    """Gap fill of ``source``; ``columns`` are further columns that stay null in gaps."""
+def fill(source: str, name: str, columns: str = "", zeroed: str = "") -> str:
+    """Gap fill of ``source``; further ``columns`` stay null in gaps, ``zeroed`` ones become zero."""
     extra = "".join(f", d.{c}" for c in columns.split())
     carry = "".join(
         f", last_value({c} IGNORE NULLS) OVER w AS {c}"
@@ -44,7 +44,8 @@ def fill(source: str, name: str, columns: str = "") -> str:
     zero = "".join(
         f", coalesce(d.{c}, 0) AS {c}"
         for c in (
-            "actual_sales", "demand", "revenue", "is_promotion", "stockout_flag", "discount_pct"
+            "actual_sales", "demand", "revenue", "is_promotion", "stockout_flag", "discount_pct",
+            *zeroed.split(),
         )
     )
     return f"""
@@ -63,12 +64,12 @@ DAILY = f"""
 daily AS (
   SELECT date, store, category, product,
          CAST(sum(actual_sales) AS BIGINT) AS actual_sales, CAST(sum(demand) AS BIGINT) AS demand,
-         sum(revenue) AS revenue, last(current_stock ORDER BY {SEQ}) AS current_stock,
+         sum(revenue) AS revenue, CAST(sum(lost_sales) AS BIGINT) AS lost_sales, last(current_stock ORDER BY {SEQ}) AS current_stock,
          max(is_promotion) AS is_promotion, max(stockout_flag) AS stockout_flag,
          first(unit_price ORDER BY {SEQ}) AS unit_price, avg(discount_pct) AS discount_pct
   FROM raw GROUP BY date, store, category, product)"""
 
-PANEL = DAILY + "," + fill("daily", "panel")
+PANEL = DAILY + "," + fill("daily", "panel", zeroed="lost_sales")
 
 CALENDAR = """CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month,
   CAST(day(date) AS INT) AS day, CAST(isodow(date) - 1 AS INT) AS day_of_week,
@@ -239,7 +240,11 @@ nulled AS (
                     CASE WHEN l_orderkey % 23 <> 0 THEN category END AS category)
   FROM raw)"""
 
-MEDIAN_FILLED = ("unit_price", "discount_pct", "demand", "actual_sales", "revenue", "current_stock")
+# The numeric columns of the raw rows without the keys that order them.
+NUMERIC = (
+    "unit_price discount_pct effective_price demand actual_sales lost_sales revenue current_stock "
+    "is_promotion stockout_flag"
+).split()
 
 IMPUTED = """
 dated_rows AS (SELECT * FROM nulled WHERE date IS NOT NULL),
@@ -247,15 +252,17 @@ medians AS (SELECT {medians} FROM dated_rows),
 imputed AS (
   SELECT d.* REPLACE ({filled}, coalesce(category, 'Unknown') AS category)
   FROM dated_rows AS d, medians)""".format(
-    medians=", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in MEDIAN_FILLED),
-    filled=", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in MEDIAN_FILLED),
+    medians=", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in NUMERIC),
+    filled=", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in NUMERIC),
 )
 
 TYPED = """
 typed AS (
   SELECT * REPLACE (CAST(trunc(actual_sales) AS BIGINT) AS actual_sales,
                     CAST(trunc(demand) AS BIGINT) AS demand,
-                    CAST(trunc(current_stock) AS BIGINT) AS current_stock)
+                    CAST(trunc(current_stock) AS BIGINT) AS current_stock,
+                    CAST(trunc(is_promotion) AS INTEGER) AS is_promotion,
+                    CAST(trunc(stockout_flag) AS INTEGER) AS stockout_flag)
   FROM imputed)"""
 
 
@@ -319,17 +326,16 @@ series_test AS (
   SELECT t.*, p, CAST(actual_sales AS DOUBLE) AS y
   FROM test AS t LEFT JOIN naive_series USING (store, product))"""
 
-PROFILED = ("unit_price", "discount_pct", "demand", "actual_sales", "revenue", "current_stock",
-            "is_promotion", "stockout_flag")
-
-
 def _profile() -> str:
+    """All columns; numbers and dates have their ends in columns of their own."""
     parts = []
-    for c in PROFILED:
+    for c in (*NUMERIC, *SEQ.split(", ")):
         parts.append(
             f"""SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS missing,
   (count(*) - count({c})) / count(*) * 100 AS missing_pct, avg({c}) AS mean,
-  stddev_samp({c}) AS std, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25,
+  stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min_number, CAST(max({c}) AS DOUBLE) AS max_number,
+  CAST(NULL AS VARCHAR) AS min_date, CAST(NULL AS VARCHAR) AS max_date,
+  quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25,
   quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75,
   CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq
   FROM nulled"""
@@ -337,18 +343,39 @@ def _profile() -> str:
     for c in ("store", "category", "product"):
         parts.append(
             f"""SELECT '{c}', count({c}), count(*) - count({c}),
-  (count(*) - count({c})) / count(*) * 100, NULL, NULL, NULL, NULL, NULL, count(DISTINCT {c}),
+  (count(*) - count({c})) / count(*) * 100, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT {c}),
   (SELECT {c} FROM nulled WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1),
   (SELECT max(n) FROM (SELECT count(*) AS n FROM nulled WHERE {c} IS NOT NULL GROUP BY {c}))
   FROM nulled"""
         )
+    parts.append(
+        """SELECT 'date', count(date), count(*) - count(date), (count(*) - count(date)) / count(*) * 100,
+  NULL, NULL, NULL, NULL, CAST(min(date) AS VARCHAR), CAST(max(date) AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL FROM nulled"""
+    )
     return " UNION ALL ".join(parts)
 
 
+def _kpis(facts: str) -> str:
+    return f"""SELECT (SELECT count(*) FROM inv) AS store_product_pairs,
+  round_even(avg(stockout_flag) * 100, 2) AS stockout_rate_before_pct,
+  round_even(avg(stockout_flag) * 100 * (1 - 0.6), 2) AS stockout_rate_after_pct,
+  (SELECT count(*) FROM inv WHERE stockout_risk) AS high_risk_items,
+  (SELECT count(*) FROM inv WHERE overstock_flag) AS overstock_items,
+  CAST(sum(lost_sales) AS BIGINT) AS total_lost_units,
+  round_even(sum(lost_sales * unit_price), 0) AS estimated_lost_revenue,
+  round_even(sum(lost_sales * unit_price) * 0.6, 0) AS projected_recovery,
+  round_even(sum(revenue) / (SELECT avg(current_stock * unit_price) FROM inv), 2)
+    AS inventory_turnover,
+  round_even(sum(revenue), 0) AS total_revenue FROM {facts}"""
+
+
+# The numeric columns of the feature table besides the target.
 CORRELATED = (
     "year month day day_of_week week_of_year quarter is_weekend is_month_start is_month_end "
     "day_of_year lag_1d lag_7d lag_14d lag_30d rolling_mean_7d rolling_mean_14d rolling_mean_30d "
-    "expanding_mean is_promotion promo_x_weekend promo_lag1 unit_price discount_pct demand revenue"
+    "rolling_std_7d rolling_std_14d rolling_std_30d expanding_mean is_promotion promo_x_weekend "
+    "promo_x_month promo_lag1 unit_price discount_pct demand revenue lost_sales current_stock stockout_flag "
+    "store_enc category_enc product_enc"
 ).split()
 
 
@@ -399,7 +426,7 @@ seasons(category, m, season) AS (
          ('CAT_4', 4, 1.3), ('CAT_4', 5, 1.3), ('CAT_4', 6, 1.2))"""
 
 PANEL_COLUMNS = (
-    "date, store, category, product, actual_sales, demand, revenue, current_stock, is_promotion, "
+    "date, store, category, product, actual_sales, demand, revenue, lost_sales, current_stock, is_promotion, "
     "stockout_flag, unit_price, discount_pct"
 )
 PRICES = "unit_price discount_pct"
@@ -505,7 +532,7 @@ def oracle_sql() -> dict[str, str]:
             ) + " FROM raw GROUP BY is_promotion",
             RAW, doubles="min q1 median q3 max"),
         "column_profile": sql(_profile(), RAW, NULLED,
-                              doubles="missing_pct mean std q25 q50 q75"),
+                              doubles="missing_pct mean std min_number max_number q25 q50 q75"),
         "kpi_overview": sql(
             "SELECT sum(revenue) AS total_revenue, CAST(sum(actual_sales) AS BIGINT) AS total_units, "
             "avg(stockout_flag) * 100 AS stockout_rate_pct, count(DISTINCT product) AS products, "
@@ -609,18 +636,8 @@ def oracle_sql() -> dict[str, str]:
         "stockout_by_category": sql(
             "SELECT category, avg(stockout_rate_pct) AS stockout_rate_pct FROM inv GROUP BY 1",
             *stock, doubles="stockout_rate_pct"),
-        "business_kpis": sql(
-            """SELECT (SELECT count(*) FROM inv) AS store_product_pairs,
-  round_even(avg(stockout_flag) * 100, 2) AS stockout_rate_before_pct,
-  round_even(avg(stockout_flag) * 100 * (1 - 0.6), 2) AS stockout_rate_after_pct,
-  (SELECT count(*) FROM inv WHERE stockout_risk) AS high_risk_items,
-  (SELECT count(*) FROM inv WHERE overstock_flag) AS overstock_items,
-  CAST(sum(lost_sales) AS BIGINT) AS total_lost_units,
-  round_even(sum(lost_sales * unit_price), 0) AS estimated_lost_revenue,
-  round_even(sum(lost_sales * unit_price) * 0.6, 0) AS projected_recovery,
-  round_even(sum(revenue) / (SELECT avg(current_stock * unit_price) FROM inv), 2)
-    AS inventory_turnover,
-  round_even(sum(revenue), 0) AS total_revenue FROM raw""", *stock),
+        "business_kpis": sql(_kpis("raw"), *stock),
+        "business_kpis_by_day": sql(_kpis("panel"), *stock),
         # forecasting
         "time_split": sql(
             "SELECT 'train' AS part, count(*) AS rows, min(date) AS first_date, max(date) AS last_date "

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import tables as t
-from catalog.oracle import CORRELATED, MEDIAN_FILLED, PROFILED, shift
+from catalog.oracle import shift
 from shelf.operators import features as feat
 from shelf.operators import forecast as fc
 from shelf.operators import inventory as inv
@@ -18,6 +18,7 @@ from shelf.operators.partitioning import by_series
 from shelf.operators.rollup import daily_rollup
 from shelf.plans.forecast import BOOSTED, FOREST, NAIVE, scored_test
 from shelf.plans.preprocess import preprocess
+from shelf.schema import present
 from shelf.sources.io import export_filtered, read_table, write_table
 from shelf.sources.retail import SEQ, retail_sales
 from shelf.staging import stage, stage_path
@@ -110,12 +111,12 @@ def nulled(spark, d):
 
 @query()
 def impute(spark, d):
-    return quality.impute(nulled(spark, d), numeric=MEDIAN_FILLED)
+    return quality.impute(nulled(spark, d), keys=SEQ)
 
 
 @query()
 def fix_types(spark, d):
-    return quality.fix_types(quality.impute(nulled(spark, d), numeric=MEDIAN_FILLED))
+    return quality.fix_types(quality.impute(nulled(spark, d), keys=SEQ))
 
 
 @query()
@@ -135,7 +136,8 @@ def outlier_counts(spark, d):
 
 @query(revenue=4)
 def fill_date_gaps(spark, d):
-    return quality.fill_date_gaps(daily_rollup(t.raw(spark, d), order_by=SEQ))
+    daily = daily_rollup(t.raw(spark, d), order_by=SEQ)
+    return quality.fill_date_gaps(daily, zeroed=(*quality.ZEROED, "lost_sales"))
 
 
 @query()
@@ -158,7 +160,7 @@ def quality_audit(spark, d):
 
 @query(name="preprocess")
 def clean_rows(spark, d):
-    return preprocess(nulled(spark, d), order_by=SEQ, numeric=MEDIAN_FILLED)
+    return preprocess(nulled(spark, d), order_by=SEQ)
 
 
 # --- roll-up and reports -----------------------------------------------------
@@ -231,8 +233,11 @@ def box_stats(spark, d):
 
 @query()
 def column_profile(spark, d):
-    columns = ["store", "category", "product", *PROFILED]
-    return reports.column_profile(nulled(spark, d), columns).drop("min", "max")
+    profile = reports.column_profile(nulled(spark, d))
+    is_date = F.col("column") == "date"
+    ends = {f"{c}_date": F.when(is_date, F.col(c)) for c in ("min", "max")}
+    ends |= {f"{c}_number": F.when(~is_date, F.col(c)).cast("double") for c in ("min", "max")}
+    return profile.withColumns(ends).drop("min", "max")
 
 
 @query(total_revenue=2)
@@ -274,7 +279,7 @@ def last_rows(spark, d):
 
 @query()
 def target_correlation(spark, d):
-    return reports.target_correlation(t.features(spark, d), columns=CORRELATED)
+    return reports.target_correlation(t.features(spark, d))
 
 
 # --- features ----------------------------------------------------------------
@@ -416,6 +421,12 @@ def business_kpis(spark, d):
     return inv.business_kpis(t.raw(spark, d), t.stock_table(spark, d))
 
 
+@query(None)
+def business_kpis_by_day(spark, d):
+    """The KPIs of the documented flow, over the daily panel."""
+    return inv.business_kpis(t.panel(spark, d), t.stock_table(spark, d))
+
+
 # --- forecasting -------------------------------------------------------------
 
 
@@ -474,16 +485,7 @@ def residual_stats(spark, d):
 @query(8)
 def future_features(spark, d):
     future = fc.future_features(t.features(spark, d))
-    return future.select(
-        "store", "product", "category", "date", "unit_price", "discount_pct",
-        "store_enc", "category_enc", "product_enc",
-        *[f"lag_{n}d" for n in (1, 7, 14, 30)],
-        *[f"rolling_mean_{n}d" for n in (7, 14, 30)],
-        "rolling_std_7d", "rolling_std_14d", "expanding_mean",
-        "year", "month", "day", "day_of_week", "week_of_year", "quarter", "is_weekend",
-        "is_month_start", "is_month_end", "day_of_year",
-        "is_promotion", "promo_x_weekend", "promo_lag1",
-    )
+    return future.select("store", "product", "category", "date", *present(future, feat.MODEL_FEATURES))
 
 
 # The trained models have no SQL twin; these queries are checked by row counts and tests.

@@ -105,7 +105,7 @@ def first_appearance_codes(
     """Table (column, value, code): values numbered from 0 as they first appear.
 
     One pass serves all columns. The first rows are found by a minimum
-    aggregate; the numbering falls back to ranges when there are many values.
+    aggregate; the numbering goes by ranges of the first rows.
     """
     entries = [
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns

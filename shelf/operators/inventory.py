@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelf.functions import stock
 from shelf.functions.numeric import percent
-from shelf.operators.running import ONE_TASK_ROWS, ranged_running_total
+from shelf.operators.running import ranged_running_total
 from shelf.schema import SERIES
 from shelf.staging import stage
 
@@ -32,14 +32,15 @@ def abc_analysis(
     b: float = 0.90,
     pct_scale: int | None = None,
     keys: Sequence[str] = ("product", "category"),
-    one_task_rows: int = ONE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Class products by their place in the revenue ranking.
 
     A product belongs to A while the revenue share up to and including it stays
     within ``a``, to B within ``b``, else to C; so a product that passes ``a``
     alone is not in A. ``pct_scale`` rounds shares before they are summed: with
-    many products small shares then vanish, hence the exact default.
+    many products small shares then vanish, hence the exact default. ``ranges``
+    cuts the ranking, by size if not given.
     """
     revenue = stage(product_revenue(df, keys), "product_revenue")
     whole = revenue.agg(F.sum("total_revenue")).scalar()
@@ -49,7 +50,7 @@ def abc_analysis(
         revenue.withColumn("revenue_pct", share),
         {"cumulative_pct": F.col("revenue_pct")},
         order_by=[F.desc("total_revenue"), *[F.col(k) for k in keys]],
-        one_task_rows=one_task_rows,
+        ranges=ranges,
     )
     if pct_scale is not None:
         ranked = ranked.withColumn("cumulative_pct", F.bround("cumulative_pct", pct_scale))

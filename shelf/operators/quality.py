@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelf.functions.numeric import clip
-from shelf.operators.quantiles import ACCURACY, exact_quantiles
+from shelf.operators.quantiles import exact_quantiles
 from shelf.schema import SERIES, columns_of, numeric_columns, present
 
 KEY = ("date", *SERIES)
@@ -42,22 +42,24 @@ def impute(
     df: DataFrame,
     *,
     numeric: Sequence[str] | None = None,
+    keys: Sequence[str] = (),
     label: str = "Unknown",
     date: str = "date",
-    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Drop rows without a date, fill numeric nulls and NaN with the median and text nulls with ``label``.
 
+    All numeric columns are filled if ``numeric`` names none, except ``keys``: numbers that
+    identify or order rows have no median.
     Imputed numeric columns come out as double, since a median may lie between
     two integers; :func:`fix_types` restores the declared types.
     """
     dated = drop_null_dates(df, date)
-    numeric = numeric_columns(df) if numeric is None else list(numeric)
+    numeric = [c for c in (numeric_columns(df) if numeric is None else numeric) if c not in keys]
     filled = dated.fillna(label, subset=columns_of(df, T.StringType))
     if not numeric:
         return filled
     nothing = F.lit(None).cast("double")
-    medians = exact_quantiles(dated, {c: F.col(c) for c in numeric}, [0.5], accuracy=accuracy)
+    medians = exact_quantiles(dated, {c: F.col(c) for c in numeric}, [0.5])
     return filled.withColumns(
         {
             c: F.coalesce(F.nanvl(F.col(c).cast("double"), nothing), F.lit(medians[c, 0.5]))
@@ -92,10 +94,9 @@ def fences(
     columns: Sequence[str] = CAPPED,
     *,
     multiplier: float = FENCE,
-    accuracy: int = ACCURACY,
 ) -> dict[str, tuple[float | None, float | None]]:
     """Per column the lower and the upper outlier fence from its quartiles."""
-    found = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.75], accuracy=accuracy)
+    found = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.75])
     result = {}
     for name in columns:
         q1, q3 = found[name, 0.25], found[name, 0.75]
@@ -110,13 +111,12 @@ def cap_outliers(
     columns: Sequence[str] = CAPPED,
     *,
     multiplier: float = FENCE,
-    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Move values outside the quartile fences onto them; capped columns become double.
 
     The quartiles of all columns are found together, before the result is used.
     """
-    bounds = fences(df, columns, multiplier=multiplier, accuracy=accuracy)
+    bounds = fences(df, columns, multiplier=multiplier)
     return df.withColumns(
         {c: clip(F.col(c).cast("double"), *map(F.lit, bounds[c])) for c in columns}
     )
@@ -127,11 +127,10 @@ def outlier_counts(
     columns: Sequence[str] = CAPPED,
     *,
     multiplier: float = FENCE,
-    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Per column the fences and the number of rows outside them."""
     entries = []
-    for name, bounds in fences(df, columns, multiplier=multiplier, accuracy=accuracy).items():
+    for name, bounds in fences(df, columns, multiplier=multiplier).items():
         lower, upper = (F.lit(b).cast("double") for b in bounds)
         value = F.col(name).cast("double")
         entries.append(

@@ -1,154 +1,156 @@
-"""Exact quantiles in bounded memory.
+"""Exact quantiles by counted buckets.
 
 The built-in exact percentile keeps every distinct value of a group in one
-buffer. Here a sketch first brackets each quantile; only the values inside the
-brackets are then counted and ranked.
+buffer. Here a quantile is selected by radix: rows are counted by the first
+digit of their value, then only the rows of the bucket that holds the wanted
+rank by the next digit, until a bucket holds a single value. The first digit is
+sign and exponent of the double, the others are ``BITS`` bits of its mantissa
+each, so five passes decide any value, and buckets of one value end earlier.
+Every pass is a hash aggregate; tasks send counts, never values of all rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from shelf.operators.running import ONE_TASK_ROWS, running_total
+BITS = 13
 
-ACCURACY = 20_000
+# Exponents of doubles lie between -1074 and 1023; infinity comes after them.
+SHIFT, ENDLESS = 1100, 5000
 
-# The sketch errs by at most 1/accuracy of the rows; three times that leaves room
-# for both neighbours of an interpolated quantile.
-MARGIN = 3
 
-BLOCKS = 4096
+class Bracket(NamedTuple):
+    """A bucket that holds wanted ranks: its column, values and the rows below it."""
 
+    column: int
+    low: float
+    high: float
+    before: int
 
-class Slot(NamedTuple):
-    """One wanted quantile and the bounds that enclose it."""
 
-    slot: int
-    name: str
-    prob: float
-    n: int
-    low: float | None
-    high: float | None
+def _exponent(value: Column) -> Column:
+    """Sign and exponent as an integer that grows with the value."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size))
+    # The logarithm may err by one at a power of two; powers themselves are exact.
+    right = guess + F.when(size < F.pow(F.lit(2.0), guess), -1).when(
+        size >= F.pow(F.lit(2.0), guess + 1), 1
+    ).otherwise(0)
+    digit = F.when(size == math.inf, F.lit(ENDLESS)).otherwise(right + SHIFT)
+    return F.when(value == 0, F.lit(0)).when(value < 0, -digit).otherwise(digit).cast("int")
 
 
-def _slots(
-    flat: DataFrame, names: Sequence[str], probs: Sequence[float], accuracy: int
-) -> list[Slot]:
-    """One pass; a single row of bounds reaches the driver."""
-    lows = [max(p - MARGIN / accuracy, 0.0) for p in probs]
-    highs = [min(p + MARGIN / accuracy, 1.0) for p in probs]
-    ranges = [
-        F.struct(
-            F.count(c).alias("n"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-            F.percentile_approx(c, lows + highs, accuracy).alias("sketch"),
-        )
-        for c in flat.columns
-    ]
-    found = flat.agg(F.array(*ranges).alias("ranges")).first()["ranges"]
-    slots = []
-    for name, r in zip(names, found):
-        for i, prob in enumerate(probs):
-            # A sketch of few rows has no room for its margin.
-            few = r["n"] <= accuracy
-            low = r["min"] if few else r["sketch"][i]
-            high = r["max"] if few else r["sketch"][i + len(probs)]
-            slots.append(Slot(len(slots), name, float(prob), r["n"], low, high))
-    return slots
-
-
-def _ranked(flat: DataFrame, open_slots: Sequence[Slot], width: int, accuracy: int) -> DataFrame:
-    """Table (slot, value, upto): rows up to and including each value in a bracket."""
-
-    def value(s: Slot) -> Column:
-        return F.col(flat.columns[s.slot // width])
-
-    entries = [
-        F.when(
-            value(s).between(s.low, s.high),
-            F.struct(
-                F.lit(s.slot).alias("slot"),
-                value(s).alias("value"),
-                F.floor((value(s) - s.low) / (s.high - s.low) * BLOCKS).alias("block"),
-            ),
-        )
-        for s in open_slots
-    ]
+def _mantissa(value: Column, bracket: Bracket, digit: int) -> Column:
+    """The ``digit``-th bits of the mantissa; all values of a bracket share sign and exponent."""
+    exponent = math.frexp(bracket.low)[1] - 1
+    half = -exponent // 2
+    scaled = F.abs(value) * F.lit(2.0**half) * F.lit(2.0 ** (-exponent - half))
+    bits = F.floor((scaled - 1) * F.lit(2.0 ** (BITS * digit))).bitwiseAND((1 << BITS) - 1)
+    return (-bits if bracket.low < 0 else bits).cast("int")
+
+
+def _counted(flat: DataFrame, entries: Sequence[Column]) -> dict[int, list[Row]]:
+    """Rows, least and largest value by (bracket, digit), digits ascending."""
     counts = (
         flat.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.slot", "e.value", "e.block")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    # A bracket holds at most this share of the rows besides copies of one value.
-    largest = max(s.n if s.n <= accuracy else s.n * 2 * MARGIN // accuracy for s in open_slots)
-    ranked = running_total(
-        counts,
-        {"upto": F.col("rows")},
-        partition_by=["slot"],
-        order_by=["value"],
-        blocks={"_block": F.col("block")} if largest > ONE_TASK_ROWS else None,
+        .groupBy("e.bracket", "e.digit")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min("e.value").alias("low"),
+            F.max("e.value").alias("high"),
+        )
     )
-    before = flat.agg(F.array(*[F.count_if(value(s) < s.low) for s in open_slots])).scalar()
-    place = F.array_position(F.array(*[F.lit(s.slot) for s in open_slots]), F.col("slot"))
-    offset = before[(place - 1).cast("int")]
-    return ranked.select("slot", "value", (F.col("upto") + offset).alias("upto"))
+    found: dict[int, list[Row]] = {}
+    # A bracket has at most 2 ** BITS digits.
+    for row in counts.collect():
+        found.setdefault(row["bracket"], []).append(row)
+    return {k: sorted(rows, key=lambda r: r["digit"]) for k, rows in found.items()}
+
+
+def _entry(bracket: int, digit: Column, value: Column, where: Column) -> Column:
+    fields = F.struct(F.lit(bracket).alias("bracket"), digit.alias("digit"), value.alias("value"))
+    return F.when(where, fields)
+
+
+def _ranked(flat: DataFrame, probs: Sequence[float]):
+    """(column, rank) -> value, and the rows by column, for the ranks that ``probs`` need."""
+    values = [F.col(c) for c in flat.columns]
+    first = _counted(flat, [_entry(i, _exponent(v), v, v.isNotNull()) for i, v in enumerate(values)])
+    sizes = {i: sum(r["rows"] for r in first.get(i, [])) for i in range(len(values))}
+    done: dict[tuple[int, int], float] = {}
+    waiting: dict[Bracket, list[int]] = {}
+
+    def place(column: int, ranks: Sequence[int], rows: Sequence[Row], before: int) -> None:
+        for rank in ranks:
+            below = before
+            for row in rows:
+                if rank < below + row["rows"]:
+                    break
+                below += row["rows"]
+            if row["low"] == row["high"]:
+                done[column, rank] = row["low"]
+            else:
+                waiting.setdefault(Bracket(column, row["low"], row["high"], below), []).append(rank)
+
+    for column, n in sizes.items():
+        place(column, sorted({r for p in probs for r in _ranks(n, p)}), first.get(column, []), 0)
+    digit = 1
+    while waiting:
+        opened, waiting = list(waiting.items()), {}
+        entries = [
+            _entry(k, _mantissa(values[b.column], b, digit), values[b.column], values[b.column].between(b.low, b.high))
+            for k, (b, _) in enumerate(opened)
+        ]
+        counted = _counted(flat, entries)
+        for k, (bracket, ranks) in enumerate(opened):
+            place(bracket.column, ranks, counted[k], bracket.before)
+        digit += 1
+    return done, sizes
+
+
+def _ranks(n: int, prob: float) -> list[int]:
+    """The ranks between which the quantile of ``n`` values is interpolated."""
+    if not n:
+        return []
+    lower = math.floor((n - 1) * prob)
+    return [lower, min(lower + 1, n - 1)]
 
 
-def quantile_table(
-    df: DataFrame,
-    values: Mapping[str, Column],
-    probs: Sequence[float],
-    *,
-    accuracy: int = ACCURACY,
-) -> DataFrame:
-    """One row per (name, prob): the linearly interpolated quantile; null and NaN are skipped.
+def exact_quantiles(
+    df: DataFrame, values: Mapping[str, Column], probs: Sequence[float]
+) -> dict[tuple[str, float], float | None]:
+    """The linearly interpolated quantile by (name, prob); null and NaN are skipped, no value gives None.
 
     ``values`` maps a name to an expression, so a group becomes a conditional
-    expression: ``{"promo": when(flag == 1, sales)}``. The sketch runs at once;
-    pass a stored table, it is read three times.
+    expression: ``{"promo": when(flag == 1, sales)}``. The passes run at once;
+    pass a stored table. Infinite values have their place in the order.
     """
     names = list(values)
     nothing = F.lit(None).cast("double")
+    # Adding zero turns the negative zero into the other.
     flat = df.select(
-        *[F.nanvl(values[n].cast("double"), nothing).alias(f"v{i}") for i, n in enumerate(names)]
+        *[(F.nanvl(values[n].cast("double"), nothing) + 0.0).alias(f"v{i}") for i, n in enumerate(names)]
     )
-    slots = _slots(flat, names, probs, accuracy)
-    wanted = df.sparkSession.createDataFrame(
-        slots, "slot int, name string, prob double, n bigint, low double, high double"
-    )
-    # Equal bounds are the answer already, as for flags and other frequent values.
-    open_slots = [s for s in slots if s.n and s.low < s.high]
-    if not open_slots:
-        return wanted.select("name", "prob", F.col("low").alias("quantile"))
-
-    position = (F.col("n") - 1) * F.col("prob")
-    lower = F.floor(position)
-    upper = F.least(lower + 1, F.col("n") - 1)
-    joined = _ranked(flat, open_slots, len(probs), accuracy).join(F.broadcast(wanted), "slot")
-    picked = joined.groupBy("slot").agg(
-        F.min(F.when(F.col("upto") > lower, F.col("value"))).alias("a"),
-        F.min(F.when(F.col("upto") > upper, F.col("value"))).alias("b"),
-    )
-    between = F.col("a") + (F.col("b") - F.col("a")) * (position - lower)
-    missed = F.raise_error(F.concat(F.lit("no value in the bracket of "), F.col("name")))
-    exact = F.when(F.col("low") < F.col("high"), F.coalesce(between, missed.cast("double")))
-    return wanted.join(picked, "slot", "left").select(
-        "name", "prob", exact.otherwise(F.col("low")).alias("quantile")
-    )
-
-
-def exact_quantiles(
-    df: DataFrame,
-    values: Mapping[str, Column],
-    probs: Sequence[float],
-    *,
-    accuracy: int = ACCURACY,
-) -> dict[tuple[str, float], float | None]:
-    """The quantiles as plain numbers by (name, prob), to be used as constants."""
-    rows = quantile_table(df, values, probs, accuracy=accuracy).collect()
-    return {(r["name"], r["prob"]): r["quantile"] for r in rows}
+    done, sizes = _ranked(flat, probs)
+    found: dict[tuple[str, float], float | None] = {}
+    for i, name in enumerate(names):
+        for prob in probs:
+            ranks = _ranks(sizes[i], prob)
+            if not ranks:
+                found[name, prob] = None
+                continue
+            low, high = (done[i, r] for r in ranks)
+            part = (sizes[i] - 1) * prob - ranks[0]
+            found[name, prob] = low if low == high or part == 0 else low + (high - low) * part
+    return found
+
+
+def quantile_table(df: DataFrame, values: Mapping[str, Column], probs: Sequence[float]) -> DataFrame:
+    """:func:`exact_quantiles` as a table with one row per (name, prob)."""
+    rows = [(n, float(p), q) for (n, p), q in exact_quantiles(df, values, probs).items()]
+    return df.sparkSession.createDataFrame(rows, "name string, prob double, quantile double")

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from shelf.functions.calendar import WEEKDAYS, weekday_name, year_month
 from shelf.functions.numeric import millions, percent
-from shelf.operators.quantiles import ACCURACY, quantile_table
+from shelf.operators.quantiles import quantile_table
 from shelf.schema import columns_of, numeric_columns
 
 # Short month names, January first.
@@ -116,12 +116,10 @@ def _flags(measure: str, flag: str, labels: Mapping[int, str]) -> dict[str, Colu
 PROMO_LABELS = {0: "No Promotion", 1: "Promotion"}
 
 
-def promotion_impact(
-    df: DataFrame, *, measure: str = "actual_sales", accuracy: int = ACCURACY
-) -> DataFrame:
+def promotion_impact(df: DataFrame, *, measure: str = "actual_sales") -> DataFrame:
     """Mean, median, sum and deviation of sales with and without promotion."""
     groups = _flags(measure, "is_promotion", PROMO_LABELS)
-    medians = quantile_table(df, groups, [0.5], accuracy=accuracy)
+    medians = quantile_table(df, groups, [0.5])
     labels = F.create_map(*[F.lit(x) for item in PROMO_LABELS.items() for x in item])
     return (
         df.groupBy("is_promotion")
@@ -136,14 +134,11 @@ def promotion_impact(
     )
 
 
-def box_stats(
-    df: DataFrame, *, measure: str = "actual_sales", accuracy: int = ACCURACY
-) -> DataFrame:
+def box_stats(df: DataFrame, *, measure: str = "actual_sales") -> DataFrame:
     """Five-number summary of sales with and without promotion."""
     quartiles = quantile_table(
-        df, _flags(measure, "is_promotion", PROMO_LABELS), [0.0, 0.25, 0.5, 0.75, 1.0],
-        accuracy=accuracy,
-    )
+        df, _flags(measure, "is_promotion", PROMO_LABELS), [0.0, 0.25, 0.5, 0.75, 1.0]
+    )
     names = {0.0: "min", 0.25: "q1", 0.5: "median", 0.75: "q3", 1.0: "max"}
     return quartiles.groupBy(F.col("name").alias("label")).agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for p, n in names.items()]
@@ -227,9 +222,7 @@ def type_counts(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(ordered, "type string, count bigint")
 
 
-def column_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, *, accuracy: int = ACCURACY
-) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, missing share and, by type, top values or moments and quartiles per column."""
     columns = list(columns or df.columns)
     df = df.select(*columns)
@@ -262,7 +255,7 @@ def column_profile(
     wide = df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
 
     quartiles = (
-        quantile_table(df, {c: F.col(c) for c in numbers}, [0.25, 0.5, 0.75], accuracy=accuracy)
+        quantile_table(df, {c: F.col(c) for c in numbers}, [0.25, 0.5, 0.75])
         .groupBy(F.col("name").alias("column"))
         .agg(
             *[

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelf.schema import present
+
 
 def _picked(pick, value: str, order: Column) -> Column:
     """First or last non-null value in the given order."""
@@ -17,9 +19,11 @@ def daily_rollup(df: DataFrame, *, order_by: Sequence[str]) -> DataFrame:
     """Sums, flags, first price, last stock and mean discount per day and series.
 
     ``order_by`` orders the rows within a day. Rows are combined before the
-    shuffle, so neither a busy day nor a busy series concentrates them.
+    shuffle, so neither a busy day nor a busy series concentrates them. Lost
+    sales are summed where the rows have them.
     """
     order = F.struct(*order_by)
+    lost = present(df, ["lost_sales"])
     # Series and day come first: input sorted that way needs no second sort.
     return (
         df.groupBy("store", "product", "date", "category")
@@ -27,6 +31,7 @@ def daily_rollup(df: DataFrame, *, order_by: Sequence[str]) -> DataFrame:
             F.sum("actual_sales").alias("actual_sales"),
             F.sum("demand").alias("demand"),
             F.sum("revenue").alias("revenue"),
+            *[F.sum(c).alias(c) for c in lost],
             _picked(F.max_by, "current_stock", order),
             F.max("is_promotion").alias("is_promotion"),
             F.max("stockout_flag").alias("stockout_flag"),
@@ -35,6 +40,6 @@ def daily_rollup(df: DataFrame, *, order_by: Sequence[str]) -> DataFrame:
         )
         .select(
             "date", "store", "category", "product", "actual_sales", "demand", "revenue",
-            "current_stock", "is_promotion", "stockout_flag", "unit_price", "discount_pct",
+            *lost, "current_stock", "is_promotion", "stockout_flag", "unit_price", "discount_pct",
         )
     )

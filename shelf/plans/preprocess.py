@@ -24,13 +24,16 @@ def preprocess(
 ) -> DataFrame:
     """Impute, type, dedupe, cap and fill the gaps.
 
-    Deduplicated rows are written once: the outlier fences read them twice more.
+    ``order_by`` orders the rows of a day and is not imputed. The rows are written as they come and
+    again without duplicates: medians and outlier fences read them several times.
     """
-    typed = fix_types(impute(validate_columns(raw), numeric=numeric))
+    stored = stage(validate_columns(raw), "raw-rows")
+    typed = fix_types(impute(stored, numeric=numeric, keys=order_by))
     single = stage(dedupe_first(typed, order_by=order_by), "deduplicated")
     return fill_date_gaps(cap_outliers(single), zeroed=ZEROED)
 
 
 def daily_panel(raw: DataFrame, *, order_by: Sequence[str]) -> DataFrame:
     """Sum the rows of a day instead of dropping all but the first, then fill the gaps."""
-    return fill_date_gaps(daily_rollup(validate_columns(raw), order_by=order_by))
+    daily = daily_rollup(validate_columns(raw), order_by=order_by)
+    return fill_date_gaps(daily, zeroed=(*ZEROED, "lost_sales"))

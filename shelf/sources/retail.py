@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelf.operators.measures import derive_sales_measures
 from shelf.operators.running import running_total
 from shelf.schema import SERIES
+from shelf.staging import stage
 
 LOT = 500
 
@@ -91,11 +92,12 @@ def retail_sales(
 ) -> DataFrame:
     """Raw sales rows with stock, sales and promotion columns.
 
-    The running sum goes by (day, order block): a series may hold a third of all
-    rows, yet no task sorts more than one of its blocks.
+    The running sum goes by days and by order blocks within a day: a series may
+    hold a third of all rows, yet no task sorts more than one of its blocks. The
+    lines are joined together and stored once.
     """
     summed = running_total(
-        sales_lines(spark, sf_dir),
+        stage(sales_lines(spark, sf_dir), "sales-lines"),
         {"cum": F.col("demand").cast("long")},
         partition_by=SERIES,
         order_by=("date", *SEQ),

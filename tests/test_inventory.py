@@ -18,11 +18,11 @@ def classes(abc):
     return {r["product"]: r["abc_class"] for r in abc.collect()}
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 1])
-def test_abc_thresholds(spark, limit):
-    abc = inv.abc_analysis(sales(spark, {"x": 70, "y": 20, "z": 10}), one_task_rows=limit)
+@pytest.mark.parametrize("ranges", [None, 3])
+def test_abc_thresholds(spark, ranges):
+    abc = inv.abc_analysis(sales(spark, {"x": 70, "y": 20, "z": 10}), ranges=ranges)
     assert classes(abc) == {"x": "A", "y": "B", "z": "C"}
-    abc = inv.abc_analysis(sales(spark, {"x": 95, "y": 5}), one_task_rows=limit)
+    abc = inv.abc_analysis(sales(spark, {"x": 95, "y": 5}), ranges=ranges)
     assert classes(abc) == {"x": "C", "y": "C"}
 
 
@@ -30,7 +30,7 @@ def test_abc_ranges_equal_window_with_ties(spark):
     revenue = {f"p{i:04d}": 100.0 if i < 400 else float(i % 97) for i in range(1000)}
     df = sales(spark, revenue)
     one = inv.abc_analysis(df).toPandas().sort_values("product")
-    many = inv.abc_analysis(df, one_task_rows=50).toPandas().sort_values("product")
+    many = inv.abc_analysis(df, ranges=20).toPandas().sort_values("product")
     assert one["cumulative_pct"].tolist() == pytest.approx(many["cumulative_pct"].tolist())
     assert one["abc_class"].tolist() == many["abc_class"].tolist()
     assert one["cumulative_pct"].max() == pytest.approx(100)

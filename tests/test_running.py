@@ -46,12 +46,12 @@ def test_blocks_equal_plain_window(skewed):
 
 
 @pytest.mark.parametrize("keys", [[], ["k"]])
-@pytest.mark.parametrize("limit", [10, 1_000_000])
-def test_ranges_equal_plain_window(skewed, keys, limit):
+@pytest.mark.parametrize("ranges", [1, 7, None])
+def test_ranges_equal_plain_window(skewed, keys, ranges):
     frame, df = skewed
     run = ranged_running_total(
         stage(df), {"run": F.col("v")}, partition_by=keys,
-        order_by=[F.col("rank"), F.col("id")], one_task_rows=limit, range_partitions=7,
+        order_by=[F.col("rank"), F.col("id")], ranges=ranges,
     )
     assert (got(run) == expected(frame, keys, ["rank", "id"])).all()
 
