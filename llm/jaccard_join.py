@@ -44,9 +44,8 @@ SMALL = 64
 #: Sketches that agree on fewer positions (34 of 64) are no candidates; see recall_of.
 NEAR = 34 / SKETCH
 BLOCK_SETS, BLOCK_TOKENS = 2048, 1 << 21
-#: Children of a member of a splitting bucket; and the splits in a row that the number of runs allows
-#: for: each leaves about one in 256, so four of them take a bucket of 2048 * 256 ** 4 sets.
-CHILDREN, SPLITS, MOST_RUNS = 3, 4, 64
+#: Children of a member of a splitting bucket, and the share of a bucket that a child is taken to keep.
+CHILDREN, KEPT, MOST_RUNS = 2, 1 / 64, 64
 MARK_WORDS = 1 << 18
 _rng = np.random.default_rng(20240607)
 _ODD = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,7 +101,12 @@ def _loss(threshold: float, runs: int, splits: int) -> float:
     return total
 
 
-def runs_for(recall: float, threshold: float, splits: int = SPLITS) -> int:
+def splits_for(rows: int) -> int:
+    """Splits in a row that bring a bucket of all ``rows`` down to one block."""
+    return max(0, math.ceil(math.log(max(1, rows) / BLOCK_SETS) / -math.log(KEPT)))
+
+
+def runs_for(recall: float, threshold: float, splits: int) -> int:
     """Runs after which a pair at the threshold is a candidate with probability ``recall``.
 
     Holds for pairs that share only buckets which split ``splits`` times, as those of tokens that very
@@ -114,7 +118,7 @@ def runs_for(recall: float, threshold: float, splits: int = SPLITS) -> int:
     raise ValueError(f"{MOST_RUNS} runs on sketches of {SKETCH} positions do not reach a recall of {recall} at {threshold}")
 
 
-def recall_of(runs: int, threshold: float, splits: int = SPLITS) -> float:
+def recall_of(runs: int, threshold: float, splits: int) -> float:
     """The least probability that a pair at the threshold is found, where its buckets split ``splits`` times."""
     return 1 - _loss(threshold, runs, splits)
 
@@ -456,7 +460,7 @@ def near_duplicates(
     each other; a null doc_id takes part but names no class unless all ids of the class are null.
     An empty table gives no rows. Other columns are ignored.
     """
-    runs = runs_for(recall, threshold)
+    runs = runs_for(recall, threshold, splits_for(docs.count()))
     own = stage(sets(docs, n, runs), "shingle-sets")
     reps = stage(
         own.where("size > 0").groupBy("digest").agg(
