@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import islice
 
@@ -33,7 +34,11 @@ from pyspark.sql.types import BinaryType, LongType, StructField
 from llm.common import add_columns, text_or_empty
 from shelf.staging import stage
 
-_PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?|*%&$#)]*)")
+# Words of Latin letters that are their own normal form, and marks after them.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*%&$#)]*)")
+# Byte-level vocabularies spell each byte as a printable character: Latin-1 where it is one, else from 256 on.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SPELT = {b: chr(b) if b in _PRINTED else chr(256 + sum(x not in _PRINTED for x in range(b))) for b in range(256)}
 BLOCK_BYTES = 1 << 20
 
 
@@ -42,7 +47,7 @@ class WordEncoder:
 
     The vocabulary's normaliser turns white space into one space, which its splitter drops, so no
     token and no normalisation reaches across a space or a line feed: the ids of a text are those
-    of its chunks in order. ASCII words and the marks after them are cached apart. Special tokens
+    of its chunks in order. Latin words and the marks after them are cached apart. Special tokens
     spelt out in a text are found by the library, as it does by default.
     """
 
@@ -51,7 +56,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.type = np.dtype("<u2" if max(self.lib.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+        self.code = "H" if max(self.lib.get_vocab_size(), end_id + 1) <= 1 << 16 else "I"
+        self.type = np.dtype("<u2" if self.code == "H" else "<u4")
         self.end = np.array([end_id], self.type).tobytes()
         self.cache: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {"": b""}
@@ -61,11 +67,9 @@ class WordEncoder:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
     def _part(self, part: str) -> bytes:
-        """Ids of a lower-case ASCII word or a run of marks, which need no normalisation."""
-        ids = self.parts.get(part)
-        if ids is None:
-            ids = np.array([t.id for t in self.lib.model.tokenize(part)], self.type).tobytes()
-            self.parts[part] = ids
+        """Ids of a lower-case Latin word or a run of marks, which need no normalisation."""
+        spelt = part if part.isascii() else part.encode().decode("latin-1").translate(_SPELT)
+        ids = self.parts[part] = array(self.code, [t.id for t in self.lib.model.tokenize(spelt)]).tobytes()
         return ids
 
     def _trim(self, cache: dict, keep: set) -> None:
@@ -76,16 +80,24 @@ class WordEncoder:
             cache[""] = b""
 
     def learn(self, chunks: set[str]) -> None:
-        missing = chunks.difference(self.cache)
-        self._trim(self.cache, chunks)
-        missing |= chunks.difference(self.cache)
+        if len(self.cache) > self.cache_size:
+            self._trim(self.cache, chunks)
+        cache, known, part = self.cache, self.parts.get, self._part
         odd = []
-        for chunk in missing:
+        for chunk in chunks.difference(cache):
             plain = _PLAIN.fullmatch(chunk)
-            if plain:
-                self.cache[chunk] = self._part(plain[1].lower()) + self._part(plain[2])
-            else:
+            if plain is None:
                 odd.append(chunk)
+                continue
+            word, marks = plain.groups()
+            word = word.lower()
+            ids = known(word)
+            if ids is None:
+                ids = part(word)
+            if marks:
+                after = known(marks)
+                ids += part(marks) if after is None else after
+            cache[chunk] = ids
         self._trim(self.parts, set())
         for k in range(0, len(odd), 4096):
             self._learn_odd(odd[k : k + 4096])

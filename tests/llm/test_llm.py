@@ -95,7 +95,7 @@ def test_word_ids_are_those_of_the_library():
     rng = random.Random(31)
     pool = [
         "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "it's", "Don't", "...", "\t", "\n", " ", "  ", "12a", "é", "e\u0301",
-        "漢字", "<|", "|>", "\u00a0", "\x1c", "a", "B", "İ", "ǅ", "\0",
+        "漢字", "<|", "|>", "\u00a0", "\x1c", "a", "B", "İ", "ǅ", "\0", "Été.", "größe,", "ÀÖØß", "×", "÷", "ÿ", "µ", "ªº", "\u0301",
     ]
     texts = ["".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
     lib = Tokenizer.from_file(WORDS)
@@ -250,18 +250,21 @@ def test_links_are_found_under_a_hot_token(spark, monkeypatch):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == brute_classes(texts)
 
 
-def test_candidates_reach_the_recall():
+@pytest.mark.parametrize("rows", [1_000, 10**6, 10**10])
+def test_candidates_reach_the_recall(rows):
     """A shared token of sets of 800 and 1,000 (one contains the other: 0.8) is picked in time, and sketches let the pair pass."""
-    runs = jaccard_join.runs_for(0.99999, 0.8)
+    splits = jaccard_join.splits_for(rows)
+    runs = jaccard_join.runs_for(0.99999, 0.8, splits)
     needed = next(k for k in range(65) if k >= jaccard_join.NEAR * jaccard_join.SKETCH)
     same = 0.8 + 0.2 / 256
     unlike = sum(math.comb(64, k) * same**k * (1 - same) ** (64 - k) for k in range(needed))
     assert unlike < 1e-6
     assert unlike + (1 - jaccard_join.BRANCHING / 1000) ** (800 * runs) <= 1e-5
     assert runs <= jaccard_join.MOST_RUNS < len(jaccard_join._SALT) - 128
-    assert jaccard_join.recall_of(runs, 0.8) >= 0.99999 and jaccard_join.recall_of(runs, 0.8, 0) >= 0.999995
+    assert jaccard_join.recall_of(runs, 0.8, splits) >= 0.99999
+    assert splits == 0 or jaccard_join.recall_of(runs - 1, 0.8, splits) < 0.99999
     with pytest.raises(ValueError):
-        jaccard_join.runs_for(0.99999, 0.5)
+        jaccard_join.runs_for(0.99999, 0.5, splits)
 
 
 def test_marks_keep_members(spark):
