@@ -2,10 +2,11 @@
 
 A signature is an anchor, a very common word, and the content words that follow it, common words
 skipped. Anchors are the words in the most documents of each language of the corpus and a built-in
-list. The start of a text is an anchor as well, and chains end with the text, so every text with a
-content word has a signature. Where a text has few anchors, chains also start at lines, sentences
-and one content word in ``STARTS``, chosen by its hash. A document's fingerprint stands for the set
-of its signatures and depends on the anchors; sets are compared by Jaccard, within and between
+list. Chains also start with the text, its lines, sentences and cells, and at one content word in
+``STARTS``, chosen by its hash, so texts without anchors have signatures too, and an edit changes
+only the chains that it touches. A document's fingerprint stands for the set of its signatures and
+depends on the anchors: keep the list that :func:`corpus_anchors` returns to compare fingerprints of
+different corpora. Sets are compared by Jaccard, in :func:`near_pairs` within and between
 neighbouring length partitions.
 """
 
@@ -13,6 +14,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,29 +29,33 @@ ANCHORS = (
     "au aux dans du en est et la le les ou par pas pour que qui sur un une "
     "con del el los las no por se su una y"
 ).split()
-CHAIN = 2
-#: A text has few anchors with less than FEWEST of them or less than one in SPARSE words.
-FEWEST, SPARSE, STARTS = 4, 8, 4
-_MARK = "¶"
-_NEXT = 512
+CHAIN, STARTS = 2, 4
+_MARK, _ENDS = "¶", "\n\r\t.!?;|。！？；"
+_SINGLE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}"
+_TOKEN = rf"[a-z0-9[\p{{L}}\p{{N}}&&[^{_SINGLE}]]]+|{_MARK}|[{_SINGLE}]"
+#: Rows of a range of neighbouring ids, on average; the most ranges; rows drawn for each range.
+RANGE_ROWS, MOST_RANGES, DRAWN = 2048, 1 << 14, 16
 
 
 def _words(text: Column) -> Column:
     """Words in lower case; marks where lines, cells and sentences end; Han characters one by one."""
-    ends = F.regexp_replace(F.lower(text), r"[\n\r\t.!?;|。！？；]", _MARK)
-    plain = F.regexp_replace(ends, rf"[^\p{{L}}\p{{N}}{_MARK}]+", " ")
-    split = F.regexp_replace(plain, rf"([{_MARK}\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}])", " $1 ")
-    return F.split(F.trim(split), " +")
+    marked = F.translate(F.lower(text), _ENDS, _MARK * len(_ENDS))
+    return F.regexp_extract_all(marked, F.lit(_TOKEN), 0)
+
+
+def word_hash(word: str) -> int:
+    """What xxhash64 gives for a word, as a signed number."""
+    return int(np.uint64(xxhash.xxh64_intdigest(word.encode(), 42)).astype(np.int64))
 
 
 def corpus_anchors(docs: DataFrame, per_language: int = 25, share: float = 0.2, languages: int = 200) -> list[str]:
     """The built-in anchors and the commonest words of each language (column ``lang``, if there is one).
 
     Up to ``per_language`` words that at least ``share`` of the language's documents have, ten at
-    least, among the first 200 words of each; for the ``languages`` with the most documents.
+    least, anywhere in their texts; for the ``languages`` with the most documents.
     """
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    heads = docs.select(lang.alias("lang"), F.array_distinct(F.slice(_words(text_or_empty()), 1, 200)).alias("words"))
+    heads = docs.select(lang.alias("lang"), F.array_distinct(_words(text_or_empty())).alias("words"))
     # The word null counts the documents.
     rows = heads.select("lang", F.explode(F.concat(F.array(F.lit(None).cast("string")), "words")).alias("word"))
     counts = rows.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -65,43 +72,36 @@ def corpus_anchors(docs: DataFrame, per_language: int = 25, share: float = 0.2,
 def signatures(text: Column, chain: int = CHAIN, anchors: list[str] = ANCHORS) -> Column:
     """The sorted distinct 64-bit signatures of ``text``; null counts as empty.
 
-    A text without content words is its own signature; an empty text has none. The further chain
-    starts of a text with few anchors only add signatures.
+    A signature is the hash of a start and ``chain`` content words, fewer at the end of the text. The
+    start is the anchor or mark right before the first word, else a sign of its own for the text's
+    first word and for words whose hash is a multiple of ``STARTS``. A text without content words is
+    its own signature; an empty text has none.
     """
     text = F.coalesce(text, F.lit(""))
+    mark, first, drawn = (word_hash(x) for x in (_MARK, "^", "~"))
+    skipped = sorted({mark, *map(word_hash, anchors)})
+    words = F.transform(_words(text), lambda w: F.xxhash64(w))
+    before = F.concat(F.array(F.lit(first)), words)
 
-    def links(words: Column) -> Column:
-        # Anchors stick to the word that follows: "the cat sat on a mat" -> "the#cat", "sat", "on#a#mat".
-        spots = F.size(F.filter(words, lambda w: w.isin(anchors)))
-        total = F.size(F.filter(words, lambda w: w != _MARK))
-        few = (spots < FEWEST) | (spots * SPARSE < total)
-
-        def link(w: Column) -> Column:
-            own = F.when(few & (F.pmod(F.xxhash64(w), F.lit(STARTS)) == 0), F.concat(F.lit("~#"), w, F.lit(" ")))
-            return F.when(w.isin(anchors), F.concat(w, F.lit("#"))).when(
-                w == _MARK, F.when(few, F.lit(f"{_MARK}#")).otherwise(F.lit(""))
-            ).otherwise(F.coalesce(own, F.concat(w, F.lit(" "))))
-
-        # Other anchors before a word name its chain as they do in a text with many anchors.
-        marked = F.replace(F.array_join(F.transform(words, link), ""), F.lit("#~#"), F.lit("#"))
-        marked = F.regexp_replace(marked, rf"([^{_MARK}# ~^]#)(?:{_MARK}#)++", "$1")
-        return F.filter(F.split(F.concat(F.lit("^#"), marked), " "), lambda w: ~w.endswith("#") & (w != ""))
+    def link(w: Column, p: Column) -> Column:
+        """A content word, and its hash with its start, null where no chain starts."""
+        start = F.when(p.isin([*skipped, first]), p).when(F.pmod(w, F.lit(STARTS)) == 0, F.lit(drawn))
+        return F.when(w.isNotNull() & ~w.isin(skipped), F.struct(F.when(start.isNotNull(), F.xxhash64(start, w)).alias("h"), w.alias("w")))
 
-    linked = F.transform(F.array(_words(text)), links)[0]
+    content = F.filter(F.zip_with(words, before, link), lambda x: x.isNotNull())
 
     def chained(links: Column) -> Column:
-        plain = F.transform(links, lambda w: F.substring_index(w, "#", -1))
-        grown = F.transform(links, lambda w: F.substring_index(w, "#", -2))
-        spotted = F.transform(links, lambda w: F.contains(w, F.lit("#")))
+        grown = links
         for i in range(1, chain):
-            later = F.slice(plain, i + 1, F.greatest(F.size(links), F.lit(1)))
-            grown = F.zip_with(grown, later, lambda a, b: F.concat_ws(" ", a, b))
-        both = F.arrays_zip(spotted.alias("spot"), grown.alias("sign"))
-        kept = F.filter(both, lambda x: x["spot"])
-        return F.array_sort(F.array_distinct(F.transform(kept, lambda x: F.xxhash64(x["sign"]))))
+            later = F.slice(links, i + 1, F.greatest(F.size(links), F.lit(1)))
+            grown = F.zip_with(grown, later, lambda x, y: F.struct(
+                F.when(x["h"].isNotNull(), F.xxhash64(x["h"], y["w"])).alias("h")
+            ))
+        started = F.filter(grown, lambda x: x["h"].isNotNull())
+        return F.array_sort(F.array_distinct(F.transform(started, lambda x: x["h"])))
 
     # An array of one binds its member, so that it is made once and not at every mention.
-    found = F.transform(F.array(linked), chained)
+    found = F.transform(F.array(content), chained)
     return F.transform(
         found, lambda signs: F.when((F.size(signs) == 0) & (text != ""), F.array(F.xxhash64(text))).otherwise(signs)
     )[0]
@@ -123,47 +123,74 @@ def likeness(a: Column, b: Column, bound: float = 0.0) -> Column:
     return F.when(small < large * bound, 0.0).otherwise(exact).cast("double")
 
 
-def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, text and the text of the next document, ascending doc_id, after the last the first.
+def in_ranges(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, text, range, sentinel: rows by ranges of neighbouring documents in ascending doc_id.
 
-    Ids share buckets of 512 neighbouring ids: one shuffle of the texts. The last document of a
-    bucket gets its text from the first of the next filled bucket; those are few and joined by
-    bucket. Null ids come first; of repeated ids the smaller text does. A lone row follows itself.
+    A row of a range besides its own, the sentinel, is the first row of the next range (of the first
+    after the last), so each row finds its successor inside its range. Null ids come first; rows that
+    share an id are ordered by hashes of text and place. The borders are rows of a sample (``DRAWN``
+    rows for each range, ``MOST_RANGES`` ranges at most); it decides how even the ranges are.
     """
-    bucket = F.coalesce(F.expr(f"floor(doc_id / {_NEXT})").cast("long"), F.lit(-(1 << 60)))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    rows = rows.withColumn("bucket", bucket)
-    ids = rows.groupBy("bucket").agg(F.count("*").alias("n"))
-    # One row for each 512 ids.
-    line = Window.orderBy("bucket")
-    least = F.min("bucket").over(Window.partitionBy())
-    after = ids.select("bucket", F.coalesce(F.lead("bucket").over(line), least).alias("follows"))
-    inside = Window.partitionBy("bucket").orderBy("doc_id", "text")
-    placed = rows.withColumn("next_text", F.lead("text").over(inside)).withColumn("row", F.row_number().over(inside))
-    firsts = placed.where("row = 1").select(F.col("bucket").alias("follows"), F.col("text").alias("first_text"))
-    seams = placed.where("next_text is null").join(after, "bucket").join(firsts, "follows")
-    return placed.where("next_text is not null").select("doc_id", "text", "next_text").unionByName(
-        seams.select("doc_id", "text", F.col("first_text").alias("next_text"))
+    order = F.struct("doc_id", "hash", "place")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(text).alias("text")).select(
+        "doc_id", "text", F.xxhash64("text").alias("hash"), F.xxhash64(F.monotonically_increasing_id()).alias("place")
     )
+    total = docs.count()
+    share = min(DRAWN / RANGE_ROWS, DRAWN * MOST_RANGES / max(1, total))
+    drawn = stage(rows.where(F.pmod(F.xxhash64("doc_id", "place"), F.lit(1 << 40)) < int(share * (1 << 40))), "drawn-borders")
+    keys = drawn.orderBy("doc_id", "hash", "place").select("doc_id", "hash", "place").limit(2 * DRAWN * MOST_RANGES)
+    borders = [tuple(r) for r in keys.collect()][DRAWN // 2 :: DRAWN]
+    step = max(1, math.isqrt(len(borders)))
+    groups = [borders[k : k + step] for k in range(0, len(borders), step)]
+    key = "struct<doc_id: bigint, hash: bigint, place: bigint>"
+    session = docs.sparkSession
+    table = session.createDataFrame([([g[0] for g in groups], groups)], f"heads array<{key}>, groups array<array<{key}>>")
+
+    def upto(borders: str) -> Column:
+        return F.size(F.filter(F.col(borders), lambda b: b <= order))
+
+    # Ranges are numbered by the borders up to a row: whole groups first, then within one.
+    ranged = rows.withColumn("heads", table.select("heads").scalar()).withColumn("group", upto("heads"))
+    ranged = ranged.withColumn("groups", table.select("groups").scalar()).withColumn(
+        "inside", F.try_element_at("groups", F.greatest("group", F.lit(1)))
+    )
+    place = F.when(F.col("group") == 0, 0).otherwise((F.col("group") - 1) * step + upto("inside"))
+    ranged = ranged.withColumn("range", place).select(*rows.columns, "range", F.lit(False).alias("sentinel"))
+    least = docs.agg(F.min("doc_id").cast("long").alias("least"), F.count("doc_id").alias("named")).first()
+    lowest = least["least"] if least["named"] == total else None
+    first = rows.where(F.col("doc_id").eqNullSafe(F.lit(lowest))).orderBy("doc_id", "hash", "place").limit(1)
+    number = session.createDataFrame(
+        [(*b, k) for k, b in enumerate(borders)], "own_id long, own_hash long, own_place long, range int"
+    )
+    opens = drawn.join(
+        number, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("hash") == F.col("own_hash"))
+        & (F.col("place") == F.col("own_place")),
+    ).select("doc_id", "text", "hash", "place", "range")
+    wraps = first.withColumn("range", F.lit(len(borders)))
+    sentinels = opens.unionByName(wraps).withColumn("sentinel", F.lit(True))
+    return ranged.unionByName(sentinels)
 
 
 def compare_edits(docs: DataFrame, anchors: list[str] | None = None) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how alike they and the next one's are.
 
-    ``anchors`` are those of :func:`corpus_anchors` if not given; they are looked up at once.
-
-    The edit replaces the last quarter of the code points by the first as many of the next text.
-    A null text counts as empty; repeated rows stay; no rows give none.
+    ``anchors`` are those of :func:`corpus_anchors` if not given; they are looked up at once. The next
+    document is that of ascending doc_id, after the last the first; a lone row follows itself. The
+    edit replaces the last quarter of the code points by the first as many of the next text. A null
+    text counts as empty; repeated rows stay; no rows give none.
     """
     anchors = corpus_anchors(docs) if anchors is None else list(anchors)
-    n = F.length("text")
-    edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))"), F.expr(
-        "left(next_text, cast(floor(length(text) / 4) as int))"
-    ))
-    rows = with_next(docs).select("doc_id", n.cast("long").alias("n_chars"), "text", "next_text", edited.alias("edited"))
-    signed = rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("text"), anchors=anchors).alias("own"),
-        signatures(F.col("edited"), anchors=anchors).alias("changed"), signatures(F.col("next_text"), anchors=anchors).alias("following"),
+    inside = Window.partitionBy("range").orderBy("sentinel", "doc_id", "hash", "place")
+    rows = in_ranges(docs).withColumn("next_text", F.lead("text").over(inside))
+    # Each text is signed once; the window takes the next one's signatures from its row.
+    own = rows.withColumn("own", signatures(F.col("text"), anchors=anchors))
+    followed = own.withColumn("following", F.lead("own").over(inside)).where(~F.col("sentinel"))
+    quarter = "cast(floor(length(text) / 4) as int)"
+    edited = F.expr(f"concat(left(text, length(text) - {quarter}), left(next_text, {quarter}))")
+    made = followed.select("doc_id", F.length("text").cast("long").alias("n_chars"), "own", "following", edited.alias("edited"))
+    signed = made.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "following",
+        signatures(F.col("edited"), anchors=anchors).alias("changed"),
     )
     return signed.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),

@@ -12,7 +12,9 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -290,6 +292,73 @@ def test_signatures(spark, odd, empty):
     assert spot_signatures.compare_edits(empty).count() == 0
 
 
+def plain_signatures(text, anchors):
+    """The definition of a signature, word by word."""
+    def longs(*xs):  # Spark's hash of several longs: each is the seed of the next
+        seed = 42
+        for x in xs:
+            seed = xxhash.xxh64_intdigest(int(x).to_bytes(8, "little", signed=True), seed)
+        return int(np.uint64(seed).astype(np.int64))
+
+    han = r"\p{Script=Han}\p{Script=Hiragana}\p{Script=Katakana}"
+    lowered = "".join("¶" if c in spot_signatures._ENDS else c for c in text.lower())
+    tokens = regex.findall(rf"[[\p{{L}}\p{{N}}]--[{han}]]+|¶|[{han}]", lowered, regex.V1)
+    hashes = [spot_signatures.word_hash(w) for w in tokens]
+    skip = {spot_signatures.word_hash(w) for w in [*anchors, "¶"]}
+    first, drawn = spot_signatures.word_hash("^"), spot_signatures.word_hash("~")
+    content = [(w, p) for w, p in zip(hashes, [first, *hashes]) if w not in skip]
+    found = set()
+    for k, (w, p) in enumerate(content):
+        start = p if p in skip or p == first else drawn if w % 4 == 0 else None
+        if start is not None:
+            h = longs(start, w)
+            found.add(longs(h, content[k + 1][0]) if k + 1 < len(content) else longs(h))
+    if not found and text:
+        found = {int(np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).astype(np.int64))}
+    return found
+
+
+def test_fingerprints_equal_the_definition(spark, monkeypatch):
+    """Sparse, repeated and null ids over many ranges; clashing columns; a very long text."""
+    monkeypatch.setattr(spot_signatures, "RANGE_ROWS", 16)
+    rng = random.Random(41)
+    pool = [*"the of and der die cat dog Été haus 漢字 かな x1 ½ a.b ... \n the\tcat".split(" "), "word", "Wort"]
+    rows = [(rng.choice([rng.randrange(-(10**15), 10**15), 7, None]), " ".join(rng.choices(pool, k=rng.randrange(40)))) for _ in range(300)]
+    rows += [(5, None), (6, ""), (6, ""), (8, "long " + " ".join(f"w{i % 9000} the" for i in range(20_000)))]
+    docs = spark.createDataFrame([(*r, 1, "x", 2, 3) for r in rows], "doc_id long, text string, range int, sentinel string, hash int, own int")
+    anchors = ["the", "of", "and", "der", "die"]
+    made = spot_signatures.compare_edits(docs, anchors).collect()
+    assert len(made) == len(rows)
+
+    def name(signs):
+        return f"{len(signs)}:{hashlib.sha256(','.join(map(str, sorted(signs))).encode()).hexdigest()}"
+
+    def alike(a, b):
+        return 1.0 if not a | b else len(a & b) / len(a | b)
+
+    least = (1 << 63) - 1
+
+    def place(r):
+        text = r[1] or ""
+        return (r[0] is not None, r[0] or 0, int(np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).astype(np.int64)))
+
+    line = [(r[0], r[1] or "") for r in sorted(rows, key=place)]
+    want = []
+    for (doc, text), (_, after) in zip(line, line[1:] + line[:1]):
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + after[:quarter]
+        own, changed, following = (plain_signatures(t, anchors) for t in (text, edited, after))
+        want.append((
+            doc if doc is not None else least, len(text), hashlib.sha256(edited.encode()).hexdigest(), name(own), name(changed),
+            round(alike(own, changed), 9), round(alike(own, following), 9),
+        ))
+    got = [
+        (r["doc_id"] if r["doc_id"] is not None else least, r["n_chars"], r["edited_sha256"], r["fingerprint"],
+         r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in made
+    ]
+    assert sorted(got) == sorted(want)
+
+
 def test_texts_with_few_anchors_have_signatures(spark):
     rng = random.Random(11)
     russian = ["Старый капитан долго смотрел на тёмное море и молчал.", "Старый капитан продал лодку соседу за мешок муки."]
