@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from llm import byte_bpe, conversation_trie, filter_audit, jaccard_join, kd_topk, license_scan, source_mix, spot_signatures
 from llm import token_counts, token_files, toxicity, url_filter, warc_chunks
-from shelf.staging import stage_path
+from shelf.staging import stage, stage_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -54,8 +54,10 @@ def op6_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edited = token_counts.self_edits(documents(spark, sf_dir))
-    return token_counts.count_with_edits(edited, RANKS).drop("text", "edits")
+    docs = documents(spark, sf_dir)
+    kept = stage(token_counts.trees(docs, RANKS), "token-trees")
+    edited = token_counts.apply_edits(token_counts.self_edits(docs), kept, RANKS)
+    return edited.drop("text", "chars", "tokens")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

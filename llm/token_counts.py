@@ -1,15 +1,21 @@
-"""Edit-aware token counts: a segment tree of pre-tokens for each document.
-
-Leaves hold runs of pre-tokens; inner nodes hold the code points and tokens below them. An edit
-descends by code points, re-encodes the leaves it touches with a few code points of context on
-either side, and updates the sums on the paths above. Other leaves keep their counts.
+"""Edit-aware token counts: a segment tree of pre-tokens for each document, kept as a table.
+
+Leaves hold runs of pre-tokens; inner nodes hold the code points and tokens below them. The table of
+trees has a row for each document: the text's digest, and the code points and tokens of its leaves in
+order; the leaves' texts are slices of the document. Edits are joined to trees and documents. An edit
+descends by code points, re-encodes the leaves it touches with a few code points of context on either
+side, and updates the sums on the paths above. Other leaves keep their counts and are never encoded
+again; a leaf that grew splits where it stands. Edited trees go back to the same kind of table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import accumulate
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
 from llm import byte_bpe
 from llm.common import add_columns, text_or_empty
@@ -20,32 +26,38 @@ CONTEXT = 3
 
 
 class TokenTree:
-    """Token counts of a text, given as its pre-tokens, under edits. Leaves end where pre-tokens do."""
+    """Token counts of a text under edits, from the text and the sums of its leaves.
 
-    def __init__(self, pieces: list[str], encoder: byte_bpe.Encoder, leaf: int = LEAF):
+    ``chars`` and ``tokens`` are those of the leaves in order; leaves end where pre-tokens do.
+    """
+
+    def __init__(self, text: str, chars: list[int], tokens: list[int], encoder: byte_bpe.Encoder, leaf: int = LEAF):
         self.encoder, self.leaf, self.encoded = encoder, leaf, 0
-        self._build(pieces)
-        self.built, self.encoded = self.encoded, 0
+        ends = list(accumulate(chars))
+        self._plant([text[b - n : b] for b, n in zip(ends, chars)], chars, tokens)
+
+    def _plant(self, texts: list[str], chars: list[int], tokens: list[int]) -> None:
+        self.leaves, self.width = len(texts), 1
+        while self.width < max(1, len(texts)):
+            self.width *= 2
+        empty = self.width - len(texts)
+        self.texts = texts + [""] * empty
+        self.chars = [0] * self.width + list(chars) + [0] * empty
+        self.tokens = [0] * self.width + list(tokens) + [0] * empty
+        for i in range(self.width - 1, 0, -1):
+            self._sum(i)
 
     def _counts(self, pieces: list[str]) -> list[int]:
         self.encoder.learn(set(pieces))
         self.encoded += len(pieces)
         return [len(self.encoder.cache[p]) // 4 for p in pieces]
 
-    def _build(self, pieces: list[str]) -> None:
-        counts = self._counts(pieces)
-        runs = range(0, max(1, len(pieces)), self.leaf)
-        self.width = 1
-        while self.width < len(runs):
-            self.width *= 2
-        self.texts = [""] * self.width
-        self.chars, self.tokens = [0] * 2 * self.width, [0] * 2 * self.width
-        for i, a in enumerate(runs):
-            self.texts[i] = "".join(pieces[a : a + self.leaf])
-            self.chars[self.width + i] = len(self.texts[i])
-            self.tokens[self.width + i] = sum(counts[a : a + self.leaf])
-        for i in range(self.width - 1, 0, -1):
-            self._sum(i)
+    def sums(self) -> tuple[str, list[int], list[int]]:
+        """The text and its leaves' code points and tokens; empty leaves are left out."""
+        kept = [i for i in range(self.width) if self.texts[i]]
+        return (
+            "".join(self.texts), [self.chars[self.width + i] for i in kept], [self.tokens[self.width + i] for i in kept]
+        )
 
     def _sum(self, i: int) -> None:
         self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
@@ -95,11 +107,21 @@ class TokenTree:
             # A pre-token reaches into the next leaf: take it in as well.
             last += 1
             new += self.texts[last]
-        if len(found) > 4 * self.leaf * (last - first + 1):
-            rest = byte_bpe.pieces(["".join(self.texts[:first]) + new + "".join(self.texts[last + 1 :])])[0]
-            self._build(rest)
+        counts = self._counts(found)
+        span = last - first + 1
+        if len(found) > 4 * self.leaf * span:
+            # The touched leaves have grown: they split, all others are taken over as they are.
+            runs = range(0, len(found), self.leaf)
+            texts = ["".join(found[a : a + self.leaf]) for a in runs]
+            sums = [sum(counts[a : a + self.leaf]) for a in runs]
+            low, high = self.width + first, self.width + last + 1
+            self._plant(
+                self.texts[:first] + texts + self.texts[last + 1 :],
+                self.chars[self.width : low] + [len(t) for t in texts] + self.chars[high:],
+                self.tokens[self.width : low] + sums + self.tokens[high:],
+            )
             return
-        counts, share = self._counts(found), -(-len(found) // (last - first + 1)) or 1
+        share = -(-len(found) // span) or 1
         for n, i in enumerate(range(first, last + 1)):
             part = slice(n * share, (n + 1) * share)
             self.texts[i] = "".join(found[part])
@@ -111,38 +133,88 @@ class TokenTree:
             low, high = low // 2, high // 2
 
 
-def count_with_edits(docs: DataFrame, ranks_path: str, text: str = "text", edits: str = "edits") -> DataFrame:
-    """``docs`` with token counts before and after the edits of each row.
+_KEY = ("tree_id", "tree_digest")
+
+
+def _key(doc_id: str, text: str) -> list[Column]:
+    """What a tree belongs to: a document, and the text it had."""
+    return [F.col(f"`{doc_id}`").cast("long").alias(_KEY[0]), F.xxhash64(text_or_empty(text)).alias(_KEY[1])]
+
+
+def trees(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str = "text", leaf: int = LEAF) -> DataFrame:
+    """The trees of ``docs``: tree_id, tree_digest, chars and tokens of the leaves, and pieces.
 
-    ``edits`` is an array of structs (start, length, replacement) in code points, applied in order,
-    each to the text that the one before left; null entries and null edits change nothing, a null
-    replacement deletes. Positions are cut to the text. New columns: ``n_tokens``,
-    ``n_tokens_edited``, ``n_chars_edited``, ``pieces`` (pre-tokens before) and ``reencoded``
-    (pre-tokens that the edits encoded anew). A null text counts as empty; rows stay as they are.
+    ``tree_id`` is the doc_id, ``tree_digest`` a hash of the text, ``pieces`` counts the pre-tokens.
+    A null text counts as empty; rows that repeat id and text have equal trees.
     """
 
-    def compute(texts, listed):
+    def compute(texts):
         encoder = byte_bpe.encoder(ranks_path)
-
-        def split():
-            # The words of many texts are merged together; each tree then finds its own in the cache.
-            for group in byte_bpe.groups([t or "" for t in texts]):
-                found = byte_bpe.pieces(group)
-                encoder.learn(set().union(*found))
-                yield from found
-
-        rows = []
-        for own, changes in zip(split(), listed):
-            tree = TokenTree(own, encoder)
-            before, pieces = tree.n_tokens, tree.built
+        chars, tokens, pieces = [], [], []
+        # The words of many texts are merged together; each tree then finds its own in the cache.
+        for group in byte_bpe.groups(texts):
+            found = byte_bpe.pieces(group)
+            encoder.learn(set().union(*found))
+            for own in found:
+                runs = np.arange(0, len(own), leaf)
+                size = np.fromiter(map(len, own), np.int64, len(own))
+                ids = np.fromiter(map(len, map(encoder.cache.__getitem__, own)), np.int64, len(own)) // 4
+                chars.append(np.add.reduceat(size, runs) if len(own) else size)
+                tokens.append(np.add.reduceat(ids, runs) if len(own) else ids)
+                pieces.append(len(own))
+        return [chars, tokens, pieces]
+
+    slim = docs.select(*_key(doc_id, text), text_or_empty(text).alias("tree_text"))
+    fields = [
+        StructField("chars", ArrayType(LongType())), StructField("tokens", ArrayType(LongType())), StructField("pieces", LongType())
+    ]
+    return add_columns(slim, ["tree_text"], fields, compute).drop("tree_text")
+
+
+def apply_edits(
+    docs: DataFrame, kept: DataFrame, ranks_path: str, edits: str = "edits", doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """doc_id, the edited text, its tree (chars, tokens), and counts, for every row of ``docs``.
+
+    ``kept`` are trees, of which each row takes the one of its id and text; a row whose tree is
+    missing raises. ``edits`` is an array of structs (start, length, replacement) in code points,
+    applied in order, each to the text that the one before left; null entries and null edits change
+    nothing, a null replacement deletes. Positions are cut to the text. ``n_tokens`` and ``pieces``
+    are those before, ``n_tokens_edited`` and ``n_chars_edited`` those after, ``reencoded`` counts the
+    pre-tokens that the edits encoded. A null text counts as empty; rows stay as they are.
+    """
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), *_key(doc_id, text), text_or_empty(text).alias("before"),
+        F.col(f"`{edits}`").alias("edits"),
+    )
+    one = kept.dropDuplicates(list(_KEY)).select(
+        *[F.col(c).alias(f"_{c}") for c in _KEY], F.col("chars").alias("own_chars"), F.col("tokens").alias("own_tokens"), "pieces"
+    )
+    met = rows.join(
+        one, F.col(_KEY[0]).eqNullSafe(F.col(f"_{_KEY[0]}")) & (F.col(_KEY[1]) == F.col(f"_{_KEY[1]}")), "left"
+    ).select("doc_id", "before", "edits", "own_chars", "own_tokens", "pieces")
+
+    def compute(texts, listed, chars, tokens):
+        encoder = byte_bpe.encoder(ranks_path)
+        made = []
+        for own, changes, size, ids in zip(texts, listed, chars, tokens):
+            if size is None or sum(size) != len(own):
+                raise ValueError("a document has no tree for its text")
+            tree = TokenTree(own, size, ids, encoder)
+            before = tree.n_tokens
             for e in changes or []:
                 if e is not None:
                     tree.edit(e["start"] or 0, e["length"] or 0, e["replacement"] or "")
-            rows.append((before, tree.n_tokens, tree.n_chars, pieces, tree.encoded))
-        return [list(c) for c in zip(*rows)] if rows else [[]] * 5
-
-    names = ["n_tokens", "n_tokens_edited", "n_chars_edited", "pieces", "reencoded"]
-    return add_columns(docs, [text, edits], [StructField(n, LongType()) for n in names], compute)
+            made.append((*tree.sums(), before, tree.n_tokens, tree.n_chars, tree.encoded))
+        return [list(c) for c in zip(*made)] if made else [[]] * 7
+
+    longs = ["n_tokens", "n_tokens_edited", "n_chars_edited", "reencoded"]
+    fields = [
+        StructField("text", StringType()), StructField("chars", ArrayType(LongType())),
+        StructField("tokens", ArrayType(LongType())), *[StructField(n, LongType()) for n in longs],
+    ]
+    done = add_columns(met, ["before", "edits", "own_chars", "own_tokens"], fields, compute)
+    return done.select("doc_id", "text", "chars", "tokens", *longs[:3], "pieces", longs[3])
 
 
 def self_edits(docs: DataFrame) -> DataFrame:
