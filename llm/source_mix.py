@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelf.staging import stage
+
 #: Words are runs of anything but the ASCII white space of this class.
 WORD = r"[^\x20\x09-\x0D]+"
 _SEAM = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
@@ -101,21 +103,28 @@ def draws(goals: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 17) -> D
     )
 
 
+def _placed(rows: DataFrame, seed: int) -> DataFrame:
+    """Each row of ``rows`` with its key and its place in its source's order: bucket and row in it."""
+    order = F.xxhash64(F.lit(seed + 3), "doc_id", "size")
+    placed = rows.withColumn("key", _key()).withColumn("order", order)
+    placed = placed.withColumn("bucket", F.pmod("order", F.lit(_BUCKETS)).cast("int"))
+    inside = Window.partitionBy("key", "bucket").orderBy("order", "doc_id", "size")
+    running = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    return placed.withColumn("inner", running).withColumn("row", F.row_number().over(inside))
+
+
 def _pieces(rows: DataFrame, block_words: int, seed: int) -> DataFrame:
     """Each row of ``rows`` (doc_id, source, size) once for each block that holds words of it.
 
     bucket and row tell rows of a source apart; ``from`` and ``words`` are the part in the block.
     Offsets come from two levels of running sums: buckets of a source, then rows of a bucket.
     """
-    order = F.xxhash64(F.lit(seed + 3), "doc_id", "size")
-    placed = rows.withColumn("key", _key()).withColumn("order", order)
-    placed = placed.withColumn("bucket", F.pmod("order", F.lit(_BUCKETS)).cast("int"))
-    sums = placed.groupBy("key", "bucket").agg(F.sum("size").alias("n"))
+    placed = _placed(rows, seed)
+    sums = rows.withColumn("key", _key()).withColumn(
+        "bucket", F.pmod(F.xxhash64(F.lit(seed + 3), "doc_id", "size"), F.lit(_BUCKETS)).cast("int")
+    ).groupBy("key", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("key", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("key", "bucket").orderBy("order", "doc_id", "size")
-    running = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    placed = placed.withColumn("inner", running).withColumn("row", F.row_number().over(inside))
     placed = placed.join(bases, ["key", "bucket"]).withColumn("start", F.col("base") + F.col("inner"))
     first = F.expr(f"start div {block_words}")
     last = F.expr(f"(start + size - 1) div {block_words}")
@@ -124,26 +133,49 @@ def _pieces(rows: DataFrame, block_words: int, seed: int) -> DataFrame:
     low = F.greatest(F.col("start"), F.col("block") * block_words)
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
     return split.select(
-        "key", "bucket", "row", "doc_id", "size", "block", (low - F.col("start")).alias("from"),
+        "key", "bucket", "row", "doc_id", "size", "start", "block", (low - F.col("start")).alias("from"),
         (high - low).alias("words"),
     )
 
 
+def packed(pieces: DataFrame) -> DataFrame:
+    """key, block and the parts of documents in it, in order; a block has ``block_words`` parts at most."""
+    part = F.struct("start", "bucket", "row", "doc_id", "size", "from", "words")
+    made = pieces.where("words > 0").groupBy("key", "block").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    return made.withColumn("parts", F.transform("parts", lambda p: p.dropFields("start")))
+
+
+def shard_blocks(
+    rows: DataFrame, goals: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 17
+) -> DataFrame:
+    """The mix as output shards: shard, slot, key, pass, block and its parts, a row for each slot.
+
+    ``rows`` are doc_id, source, size. A shard's number of slots of each source is its multinomial
+    draw; slots of a shard are ordered by source and number. Blocks are joined by index.
+    """
+    # Slots grow with the words, which the planner can't see before they are made: never broadcast.
+    slots = draws(goals, block_words, seed).hint("merge")
+    return slots.join(packed(_pieces(rows, block_words, seed)), ["key", "block"]).select(
+        "shard", "slot", "key", "pass", "block", "parts"
+    )
+
+
 def mix(rows: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target, taken for each row of ``rows`` (doc_id, source, size).
 
-    ``taken`` is the number of words that the mix takes of the document, repeats counted: at most
-    twice its size. Equal input gives equal output. Null sources are a source of their own; rows
+    ``taken`` is the number of words of the document in the blocks of all shards, repeats counted: at
+    most twice its size. Equal input gives equal output. Null sources are a source of their own; rows
     without words take part in no block and have 0 taken; repeated rows are mixed each for itself;
     without rows there are none. A source's taken words differ from its target by rounding to
-    blocks of ``block_words`` and by its last, partly filled block.
+    blocks of ``block_words`` and by its last, partly filled block. The sizes are written and read again.
     """
-    goals = targets(rows)
-    times = draws(goals, block_words, seed).groupBy("key", "block").agg(F.count("*").alias("times"))
-    taken = F.coalesce(F.sum(F.col("times") * F.col("words")), F.lit(0)).alias("taken")
-    by_row = _pieces(rows, block_words, seed).join(times, ["key", "block"], "left")
-    by_row = by_row.groupBy("key", "bucket", "row", "doc_id", "size").agg(taken)
-    return by_row.join(goals, "key").select("doc_id", "size", "source_size", "target", "taken")
+    rows = stage(rows, "sizes")
+    goals = stage(targets(rows), "mix-targets")
+    row = ["key", "bucket", "row", "doc_id", "size"]
+    held = shard_blocks(rows, goals, block_words, seed).select("key", F.inline("parts"))
+    every = _placed(rows, seed).select(*row, F.lit(0).cast("long").alias("words"))
+    taken = held.select(*row, "words").unionByName(every).groupBy(*row).agg(F.sum("words").alias("taken"))
+    return taken.join(goals, "key").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 17) -> DataFrame:
@@ -156,10 +188,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
     """
     known = docs.where("doc_id is not null")
     ids = sized(known).groupBy("doc_id").agg(F.max(F.struct("source", "size")).alias("one"))
-    rows = ids.select("doc_id", "one.source", "one.size").where("size > 0")
-    # Slots grow with the words, which the planner can't see before they are made: never broadcast.
-    slots = draws(targets(rows), block_words, seed).select("key", "block", "pass").hint("merge")
-    parts = _pieces(rows, block_words, seed).join(slots, ["key", "block"])
+    rows = stage(ids.select("doc_id", "one.source", "one.size").where("size > 0"), "sizes")
+    parts = shard_blocks(rows, stage(targets(rows), "mix-targets"), block_words, seed).select("pass", F.inline("parts"))
     part = F.struct("from", "words")
     takes = parts.groupBy("doc_id", "size", "pass").agg(
         F.sort_array(F.collect_list(part)).alias("_parts"), F.sum("words").alias("_taken")

@@ -76,20 +76,79 @@ def test_random_texts_split_like_the_pattern(rank_encoding):
 
 def test_token_trees_follow_edits():
     rng, encoder = random.Random(5), byte_bpe.encoder(RANKS)
-    for _ in range(80):
+
+    def count(text):
+        return len(encoder.encode([text])[0]) // 4
+
+    for _ in range(120):
         text = "".join(rng.choice("ab'st  \n.1é lld") for _ in range(rng.randint(0, 200)))
-        tree = token_counts.TokenTree(byte_bpe.pieces([text])[0], encoder, leaf=rng.choice([1, 4]))
+        leaf, own = rng.choice([1, 4]), byte_bpe.pieces([text])[0]
+        encoder.learn(set(own))
+        runs = [own[k : k + leaf] for k in range(0, len(own), leaf)]
+        tokens = [sum(len(encoder.cache[p]) // 4 for p in run) for run in runs]
+        tree = token_counts.TokenTree(text, [len("".join(run)) for run in runs], tokens, encoder, leaf)
         for _ in range(5):
-            a, n, new = rng.randint(0, len(text) + 2), rng.choice([0, 2, 30]), "st 'l" * rng.randint(0, 12)
+            a, n, new = rng.randint(0, len(text) + 2), rng.choice([0, 2, 30]), "st 'l" * rng.choice([0, 1, 5, 12, 90])
             tree.edit(a, n, new)
             text = text[:a] + new + text[a + n :]
-            assert tree.n_tokens == len(encoder.encode([text])[0]) // 4 and tree.n_chars == len(text)
+            assert tree.n_tokens == count(text) and tree.n_chars == len(text)
+            whole, chars, tokens = tree.sums()
+            assert whole == text and sum(chars) == len(text) and sum(tokens) == count(text)
+
+
+def test_large_edits_encode_no_other_leaf():
+    encoder = byte_bpe.encoder(RANKS)
+    text = "one two three four five six " * 400
+    own = byte_bpe.pieces([text])[0]
+    parts = ["".join(own[k : k + 16]) for k in range(0, len(own), 16)]
+    tree = token_counts.TokenTree(text, [len(p) for p in parts], [16] * len(parts), encoder)
+    tree.edit(5000, 3, "seven eight " * 500)
+    assert 1000 <= tree.encoded <= 1000 + 2 * 16 + 8 < len(own)
 
 
-def test_counts_with_odd_rows(odd, empty):
-    rows = token_counts.count_with_edits(token_counts.self_edits(odd), RANKS).collect()
-    assert len(rows) == len(ODD) and all(r["n_tokens"] >= 0 for r in rows)
-    assert token_counts.count_with_edits(token_counts.self_edits(empty), RANKS).count() == 0
+def test_kept_trees_take_edits_again_and_again(spark, odd, empty, rank_encoding):
+    """Trees are written, edited, and the edited ones edited again; counts are those of whole texts."""
+    rng = random.Random(6)
+
+    def count(text):
+        return len(rank_encoding.encode_ordinary(text))
+
+    def change(text, edits):
+        for e in edits or []:
+            if e is not None:
+                a = min(max(e[0] or 0, 0), len(text))
+                text = text[:a] + (e[2] or "") + text[a + min(max(e[1] or 0, 0), len(text) - a) :]
+        return text
+
+    texts = [*ODD, "A text of some words, repeated. " * 300, "1234567" * 400]
+    lists = [None, [], [None], [(None, None, None)], [(2, 3, None), (-5, 2, "x"), (10**9, 5, " end")], [(1, 10**9, "")]]
+    rows = []
+    for i, t in enumerate(texts):
+        edits = lists[i % 6] if i % 2 else [(rng.randrange(40), rng.randrange(9), rng.choice(["", " a'll", "99"])) for _ in range(3)]
+        rows.append((i if i not in (3, 4) else None, t, edits, "x", 5))
+    rows += [rows[0], rows[0]]
+    schema = "doc_id long, text string, edits array<struct<start: long, length: long, replacement: string>>, chars string, pieces int"
+    docs = spark.createDataFrame(rows, schema)
+    done = token_counts.apply_edits(docs, token_counts.trees(docs, RANKS), RANKS)
+    want = collections.Counter()
+    for i, t, edits, *_ in rows:
+        new = change(t or "", edits)
+        want[i, new, count(t or ""), count(new), len(new)] += 1
+    made = done.collect()
+    assert collections.Counter((r["doc_id"], r["text"], r["n_tokens"], r["n_tokens_edited"], r["n_chars_edited"]) for r in made) == want
+    assert all(sum(r["tokens"]) == r["n_tokens_edited"] and sum(r["chars"]) == r["n_chars_edited"] for r in made)
+    # The edited trees serve the next edits without any text being split again.
+    next_docs = done.select("doc_id", "text", F.expr("array(named_struct('start', 3L, 'length', 1L, 'replacement', ' and'))").alias("edits"))
+    kept = done.select(
+        F.col("doc_id").alias("tree_id"), F.xxhash64("text").alias("tree_digest"), "chars", "tokens", "pieces"
+    )
+    again = token_counts.apply_edits(next_docs, kept, RANKS).collect()
+    assert sorted((r["n_tokens"], r["n_tokens_edited"]) for r in again) == sorted(
+        (n, count(change(t, [(3, 1, " and")]))) for (_, t, _, n, _), k in want.items() for _ in range(k)
+    )
+    assert token_counts.apply_edits(token_counts.self_edits(empty), token_counts.trees(empty, RANKS), RANKS).count() == 0
+    with pytest.raises(Exception, match="no tree"):
+        token_counts.apply_edits(docs, token_counts.trees(empty, RANKS), RANKS).collect()
 
 
 def test_word_ids_are_those_of_the_library():
@@ -489,6 +548,42 @@ def test_mix(spark, odd, empty):
     assert source_mix.mix(source_mix.sized(empty)).count() == 0 and source_mix.mixed_documents(empty).count() == 0
 
 
+def test_shards_hold_multinomial_counts_and_whole_blocks(spark, monkeypatch):
+    """Every slot is in one shard, counts by source lie near their share, and blocks hold their words."""
+    monkeypatch.setattr(source_mix, "SHARD_SLOTS", 400)
+    rng = random.Random(12)
+    docs = [(i if i % 50 else None, f"s{i % 3}" if i % 4 else None, rng.randint(0, 400)) for i in range(600)]
+    docs += [(7, "s1", 100), (7, "s1", 100)]
+    rows = spark.createDataFrame(docs, "doc_id long, source string, size long")
+    goals = source_mix.targets(rows)
+    slots = source_mix.shard_blocks(rows, goals, 16).toPandas()
+    wanted = {r["key"]: r for r in source_mix._slots(goals, 16).collect()}
+    assert slots.groupby("key").size().to_dict() == {k: r["slots"] for k, r in wanted.items()}
+    assert not slots.duplicated(["key", "slot"]).any()
+    shards = -(-len(slots) // 400)
+    assert slots["shard"].nunique() == shards > 3
+    for (_, key), n in slots.groupby(["shard", "key"]).size().items():
+        mean = wanted[key]["slots"] / shards
+        assert abs(n - mean) < 5 * math.sqrt(mean)
+    assert (slots.groupby(["key", "block"])["pass"].nunique() == slots.groupby(["key", "block"]).size()).all()
+    for key, own in slots.groupby("key"):
+        last = own["block"].max()
+        for block, parts in zip(own["block"], own["parts"]):
+            held = sum(p["words"] for p in parts)
+            assert held == 16 or block == last and held == (wanted[key]["source_size"] - 1) % 16 + 1
+    taken = collections.Counter()
+    for key, parts in zip(slots["key"], slots["parts"]):
+        for p in parts:
+            taken[p["doc_id"], key, p["size"]] += p["words"]
+    made = source_mix.mix(rows, 16).collect()
+    assert len(made) == len(docs)
+    by_row = collections.Counter()
+    key_of = {r["source_size"]: k for k, r in wanted.items()}
+    for r in made:
+        by_row[r["doc_id"], key_of[r["source_size"]], r["size"]] += r["taken"]
+    assert +by_row == +taken
+
+
 def test_targets_refill(spark):
     rows = [("a", 10), ("b", 1000), ("c", 100), (None, 50)]
     got = {r["key"]: r["target"] for r in source_mix.targets(spark.createDataFrame(rows, "source string, size long")).collect()}
