@@ -29,7 +29,11 @@ def add_columns(
     bounded_batches(df)
     new = {f.name for f in fields}
     kept = [f for f in df.schema.fields if f.name not in new]
-    inputs = {c: f"_in{i}" for i, c in enumerate(read)}
+    # Names that no column of ``df`` has.
+    mark = "_in"
+    while any(f.name.lower().startswith(mark) for f in df.schema.fields):
+        mark = "_" + mark
+    inputs = {c: f"{mark}{i}" for i, c in enumerate(read)}
     shaped = df.select(
         *[F.col(f"`{f.name}`") for f in kept], *[F.col(f"`{c}`").alias(a) for c, a in inputs.items()]
     )

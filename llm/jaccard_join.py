@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
@@ -143,8 +143,14 @@ def describe(tokens: np.ndarray, runs: int) -> tuple[bytes, int, bytes, list[int
     return digest, len(tokens), sketch, made
 
 
+def _row_key() -> Column:
+    """A digest of doc_id and text: tells rows apart, also those of one id or of none."""
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit("|"), F.coalesce("text", F.lit("")))
+    return F.unhex(F.md5(named)).alias("row_key")
+
+
 def sets(docs: DataFrame, n: int, runs: int) -> DataFrame:
-    """doc_id, digest, size, sketch and paths of each row of ``docs``; the text is not kept."""
+    """doc_id, row_key, digest, size, sketch and paths of each row of ``docs``; the text is not kept."""
     fields = [
         StructField("digest", BinaryType()), StructField("size", LongType()),
         StructField("sketch", BinaryType()), StructField("paths", ArrayType(LongType())),
@@ -153,7 +159,7 @@ def sets(docs: DataFrame, n: int, runs: int) -> DataFrame:
     def compute(texts):
         return list(zip(*[describe(shingles(t or "", n), runs) for t in texts])) if texts else [[]] * 4
 
-    return add_columns(docs.select("doc_id", "text"), ["text"], fields, compute).drop("text")
+    return add_columns(docs.select("doc_id", "text", _row_key()), ["text"], fields, compute).drop("text")
 
 
 def _fixed(column: pa.Array, width: int) -> np.ndarray:
@@ -448,18 +454,8 @@ def _perhaps_in(docs: DataFrame, member: DataFrame) -> DataFrame:
     return rows.alias("d").join(F.broadcast(marks).alias("m"), met, "left_semi").select("doc_id", "text")
 
 
-def near_duplicates(
-    docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.99999
-) -> DataFrame:
-    """doc_id, class_id, n_links for every row of ``docs`` (doc_id, text).
-
-    Two documents are linked when the Jaccard similarity of their ``n``-word shingle sets is at
-    least ``threshold``; a class is a group connected by links, named by its smallest doc_id.
-    ``n_links`` counts the linked documents, copies included. A null text counts as empty; a text
-    without words links to nothing and is a class of its own. Rows that repeat a text are copies of
-    each other; a null doc_id takes part but names no class unless all ids of the class are null.
-    An empty table gives no rows. Other columns are ignored.
-    """
+def _classified(docs: DataFrame, threshold: float, n: int, recall: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' sets (doc_id, row_key, digest, size), the label of each digest, and its links."""
     runs = runs_for(recall, threshold, splits_for(docs.count()))
     own = stage(sets(docs, n, runs), "shingle-sets")
     reps = stage(
@@ -502,6 +498,22 @@ def near_duplicates(
     grouped = reps.select("digest", "copies", "doc_id").join(
         final.withColumnRenamed("node", "digest"), "digest", "left"
     ).withColumn("label", F.coalesce("label", "digest"))
+    return own, grouped, counts
+
+
+def near_duplicates(
+    docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.99999
+) -> DataFrame:
+    """doc_id, class_id, n_links for every row of ``docs`` (doc_id, text).
+
+    Two documents are linked when the Jaccard similarity of their ``n``-word shingle sets is at
+    least ``threshold``; a class is a group connected by links, named by its smallest doc_id.
+    ``n_links`` counts the linked documents, copies included. A null text counts as empty; a text
+    without words links to nothing and is a class of its own. Rows that repeat a text are copies of
+    each other; a null doc_id takes part but names no class unless all ids of the class are null.
+    An empty table gives no rows. Other columns are ignored.
+    """
+    own, grouped, counts = _classified(docs, threshold, n, recall)
     named = grouped.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     classes = grouped.join(named, "label").join(counts, "digest", "left").select(
         "digest", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
@@ -512,12 +524,22 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that name their class: one document of each group of near duplicates.
+def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.99999) -> DataFrame:
+    """One row of ``docs`` for each class of near duplicates: that with the smallest doc_id, null last.
 
-    ``doc_id`` identifies a document: of rows that repeat the id of a kept one, one stays. Rows
-    without an id cannot be told apart by it and all stay.
+    Rows are told apart by doc_id and text, so different texts under one id, and rows without an id,
+    are judged each for itself; of rows equal in both one stays. Texts without words are no near
+    duplicates of others. The columns are those of ``docs``.
     """
-    keep = near_duplicates(docs, threshold).where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    own, grouped, _ = _classified(docs, threshold, n, recall)
+    named = own.where("size > 0").select("digest", F.struct(
+        F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key"
+    ).alias("who"))
+    # One name for each digest first, so that a text with very many copies is combined before the join.
+    least = named.groupBy("digest").agg(F.min("who").alias("who")).join(grouped.select("digest", "label"), "digest")
+    chosen = least.groupBy("label").agg(F.min("who").alias("who")).select(F.col("who.row_key").alias("row_key"))
+    wordless = own.where("size = 0").select("row_key").distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    # The key is the join's and the aggregate's, so rows move once.
+    kept = docs.select(whole, _row_key()).join(chosen.unionByName(wordless).hint("merge"), "row_key", "left_semi")
+    return kept.dropDuplicates(["row_key"]).select("row.*")

@@ -182,12 +182,15 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
     """The mix itself, with the columns of ``docs``: for each document and pass the words taken.
 
     A document whose words are all taken in a pass appears whole; otherwise its text is the taken
-    parts in order, white space kept, and ``n_chars`` counts them. ``doc_id`` identifies a
-    document: rows that repeat one share its draws, rows without an id or without words are not
-    mixed and do not appear.
+    parts in order, white space kept, and ``n_chars`` counts them. Rows are told apart by doc_id,
+    source and text; rows that repeat all three share their draws. Rows without words are not mixed and
+    do not appear.
     """
-    known = docs.where("doc_id is not null")
-    ids = sized(known).groupBy("doc_id").agg(F.max(F.struct("source", "size")).alias("one"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    named = F.xxhash64("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")), "text").alias("_id")
+    known = docs.where("text is not null").select(whole, "text", named)
+    ids = sized(docs.where("text is not null").select(named.alias("doc_id"), "source", "text"))
+    ids = ids.groupBy("doc_id").agg(F.max(F.struct("source", "size")).alias("one"))
     rows = stage(ids.select("doc_id", "one.source", "one.size").where("size > 0"), "sizes")
     parts = shard_blocks(rows, stage(targets(rows), "mix-targets"), block_words, seed).select("pass", F.inline("parts"))
     part = F.struct("from", "words")
@@ -195,7 +198,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
         F.sort_array(F.collect_list(part)).alias("_parts"), F.sum("words").alias("_taken")
     )
     takes = takes.select(F.col("doc_id").alias("_doc"), F.col("size").alias("_size"), "_parts", "_taken")
-    texts = known.join(takes, F.col("doc_id") == F.col("_doc"))
+    texts = known.join(takes, F.col("_id") == F.col("_doc"))
     words = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), _SEAM)
     # The array of one binds the split text, so that it is split once and not for each part.
     cut = F.transform(
@@ -207,7 +210,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
         ),
     )[0]
     text = F.when(F.col("_taken") >= F.col("_size"), F.col("text")).otherwise(cut)
-    made = texts.withColumn("text", text)
+    made = texts.select("_row", text.alias("_text"))
+    columns = {c: F.col(f"_row.`{c}`") for c in docs.columns} | {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return made.select(*[F.col(f"`{c}`") for c in docs.columns])
+        columns["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return made.select(*[value.alias(c) for c, value in columns.items()])

@@ -601,9 +601,79 @@ def test_targets_refill(spark):
     assert got == pytest.approx({"null" if s is None else f"={s}": t for s, t in goal.items()})
 
 
+CLASH = (
+    "doc_id long, text string, lang string, source string, score string, predicted string, flagged long, row string, "
+    "_in0 int, _doc string, _size string, _parts string, _taken int, row_key string, digest int, label string"
+)
+
+
+def test_stages_keep_clashing_columns_and_rows_of_one_id(spark):
+    """Different texts under one id, no id, repeated rows, and columns that bear the operators' names."""
+    rng = random.Random(51)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(400)], k=60)) for _ in range(6)]
+    near = texts[0].replace(texts[0].split()[30], "other", 1)
+    ids = [(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[3]), (None, texts[2]), (3, near), (5, ""), (5, None), (6, ""), (9, texts[4]), (9, texts[4])]
+    rows = [(i, t, "en", f"s{k % 2}", "mine", "p", 4, "r", 1, "d", "z", "q", 2, "k", 3, "l") for k, (i, t) in enumerate(ids)]
+    docs = spark.createDataFrame(rows, CLASH).repartition(3)
+    kept = jaccard_join.keep_one(docs)
+    assert kept.schema == docs.schema
+    found = kept.collect()
+    assert collections.Counter((r["doc_id"], r["text"] or "") for r in found) == collections.Counter(
+        [(7, texts[1]), (None, texts[2]), (None, texts[3]), (3, near), (5, ""), (6, ""), (9, texts[4])]
+    )
+    assert {(r["score"], r["_in0"], r["row_key"], r["_taken"]) for r in found} == {("mine", 1, "k", 2)}
+    labels = spark.createDataFrame([(i, 0, int(i % 2)) for i in range(8)], "doc_id long, quality int, toxic int")
+    clean = toxicity.keep_clean(docs, toxicity.train(docs, labels))
+    assert clean.schema == docs.schema and {r["score"] for r in clean.collect()} <= {"mine"}
+    mixed = source_mix.mixed_documents(docs, block_words=8)
+    assert mixed.columns == docs.columns
+    made = mixed.collect()
+    assert {(r["score"], r["_doc"], r["_size"], r["_parts"], r["_taken"]) for r in made} == {("mine", "d", "z", "q", 2)}
+    assert {r["doc_id"] for r in made} >= {None, 7, 9}
+    scored = toxicity.score(docs.drop("score", "predicted", "flagged"), toxicity.train(docs, labels))
+    assert {r["_in0"] for r in scored.collect()} == {1}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
     docs = "/root/testdata/sf0.001"
     rows = corpus_pipeline.run(spark, docs).collect()
     assert len(corpus_pipeline.STAGES) == 4 and rows and all(len(r["ids"]) == 4 * r["n_tokens"] for r in rows)
+
+
+def test_pipeline_stages_against_brute_force(spark, rank_encoding):
+    """What each stage keeps follows from what the one before it wrote."""
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    clean, distinct, mixed, encoded = (f for _, f in corpus_pipeline.STAGES)
+    first = clean(spark, docs, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), toxicity.train(docs, labels))
+    assert {r["doc_id"] for r in first.collect()} == {r["doc_id"] for r in scored.collect() if not r["flagged"]}
+    rows = first.orderBy("doc_id").collect()
+    classes = brute_classes([r["text"] for r in rows])
+    wordless = {k for k, r in enumerate(rows) if not re.search(r"\w", r["text"] or "")}
+    want = {rows[c]["doc_id"] for c, _ in classes.values()} | {rows[k]["doc_id"] for k in wordless}
+    second = distinct(spark, first, folder)
+    assert {r["doc_id"] for r in second.collect()} == want
+    third = mixed(spark, second, folder)
+    taken = collections.Counter()
+    texts = {r["doc_id"]: r["text"] or "" for r in second.collect()}
+    parts = third.collect()
+    for r in parts:
+        own, whole = re.findall(source_mix.WORD, r["text"]), collections.Counter(re.findall(source_mix.WORD, texts[r["doc_id"]]))
+        assert not collections.Counter(own) - whole and r["n_chars"] == len(r["text"])
+        taken[r["source"]] += len(own)
+    sized = source_mix.sized(second)
+    size_of = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    goal = {r["key"]: r["target"] for r in source_mix.targets(sized).collect()}
+    for source, n in size_of.items():
+        assert abs(taken[source] - goal["null" if source is None else f"={source}"]) <= 2 * source_mix.BLOCK_WORDS
+        assert taken[source] <= 2 * n
+    last = encoded(spark, third, folder).collect()
+    assert collections.Counter((r["doc_id"], bytes(r["ids"])) for r in last) == collections.Counter(
+        (r["doc_id"], np.array(rank_encoding.encode_ordinary(r["text"]), "<u4").tobytes()) for r in parts
+    )
