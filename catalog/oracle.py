@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelf.operators.features import MODEL_FEATURES
+
 SEQ = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_tax"
 
 RAW = f"""
@@ -311,6 +313,34 @@ METRICS = """'{name}' AS model, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y -
   avg(CASE WHEN y <> 0 THEN abs((y - p) / y) END) * 100 AS mape_pct,
   1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2"""
 
+
+
+def _jittered(replicas: int = 2, noise: float = 0.05, seed: int = 42) -> str:
+    """Box-Muller over the 52-bit halves of an MD5 of (key, replica, pair of features, seed)."""
+
+    def uniform(digest: str, place: int) -> str:
+        return f"CAST(CAST('0x' || substr({digest}, {1 + 13 * place}, 13) AS BIGINT) AS DOUBLE)"
+
+    hashes, moved = [], []
+    for i, name in enumerate(MODEL_FEATURES):
+        digest = f"h{i // 2}"
+        if i % 2 == 0:
+            hashes.append(
+                f"md5(concat_ws('|', store, product, CAST(date AS VARCHAR), CAST(_replica AS VARCHAR), '{i // 2}', "
+                f"'{seed}')) AS {digest}"
+            )
+        radius = f"sqrt(-2 * ln(({uniform(digest, 0)} + 1) / 4503599627370496))"
+        turn = "sin" if i % 2 else "cos"
+        normal = f"{radius} * {turn}(2 * pi() * {uniform(digest, 1)} / 4503599627370496)"
+        moved.append(
+            f"coalesce(CAST({name} AS DOUBLE), 0) + CASE _replica WHEN 0 THEN 0 ELSE {normal} * {noise} END AS {name}"
+        )
+    return (
+        f"SELECT store, product, date, _replica, {', '.join(moved)} FROM (SELECT *, {', '.join(hashes)} FROM ("
+        f"SELECT test.*, CAST(r AS INTEGER) AS _replica FROM test, range(0, {replicas + 1}) AS x(r)))"
+    )
+
+
 NAIVE = """
 naive AS (
   SELECT avg(actual_sales) AS p
@@ -486,6 +516,33 @@ def oracle_sql() -> dict[str, str]:
                  "l_suppkey l_extendedprice l_tax"),
             doubles="unit_price effective_price actual_sales demand revenue l_extendedprice",
         ),
+        "preprocess_audit": sql(
+            "SELECT 'rows_in' AS measure, CAST(NULL AS VARCHAR) AS \"column\", count(*) AS rows FROM nulled "
+            "UNION ALL SELECT 'null_dates', NULL, count(*) FILTER (WHERE date IS NULL) FROM nulled "
+            "UNION ALL SELECT 'duplicates', NULL, (SELECT count(*) FROM imputed) - (SELECT count(*) FROM firsts) "
+            "UNION ALL SELECT 'rows_out', NULL, count(*) FROM firsts "
+            + "".join(
+                f"UNION ALL SELECT 'filled', '{c}', count(*) - count({c}) FROM dated_rows "
+                for c in (*NUMERIC, "store", "category", "product")
+            )
+            + " ".join(
+                f"UNION ALL SELECT 'capped', '{c}', count(*) FILTER (WHERE CAST({c} AS DOUBLE) < lo_{c} "
+                f"OR CAST({c} AS DOUBLE) > hi_{c}) FROM firsts, capped_bounds"
+                for c in ("actual_sales", "demand", "revenue")
+            ),
+            RAW, NULLED, IMPUTED, TYPED, first_rows("typed", "firsts"), fenced("firsts", "capped", 3.0)),
+        "accepted_rows": sql(
+            "SELECT store, count(*) AS rows, CAST(sum(demand) AS BIGINT) AS demand, min(date) AS first_date, "
+            "max(date) AS last_date, avg(unit_price) AS unit_price FROM raw "
+            "WHERE l_orderkey % 31 <> 0 AND l_orderkey % 37 <> 0 AND l_orderkey % 41 <> 0 GROUP BY store",
+            RAW, doubles="unit_price"),
+        "rejected_rows": sql(
+            "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, "
+            "CASE WHEN l_orderkey % 31 = 0 THEN 'yesterday' ELSE CAST(date AS VARCHAR) END AS date, "
+            "CASE WHEN l_orderkey % 37 = 0 THEN 'many' ELSE CAST(demand AS VARCHAR) END AS demand, "
+            "concat_ws(' ', CASE WHEN l_orderkey % 31 = 0 THEN 'date' END, CASE WHEN l_orderkey % 41 = 0 THEN "
+            "'unit_price' END, CASE WHEN l_orderkey % 37 = 0 THEN 'demand' END) AS problems FROM raw "
+            "WHERE l_orderkey % 31 = 0 OR l_orderkey % 37 = 0 OR l_orderkey % 41 = 0", RAW),
         # roll-up and reports
         "daily_rollup": sql("SELECT * FROM daily", RAW, DAILY, doubles=PRICES, revenue=4),
         "dataset_summary": sql(
@@ -567,6 +624,7 @@ def oracle_sql() -> dict[str, str]:
         # features
         "date_features": sql(f"SELECT date, store, product, {CALENDAR} FROM panel", *base),
         "lag_features": sql(f"SELECT date, store, product, actual_sales, {LAGS} FROM panel {SERIES}", *base),
+        "bucketed_lags": sql(f"SELECT date, store, product, actual_sales, {LAGS} FROM panel {SERIES}", *base),
         "rolling_features": sql(f"SELECT date, store, product, {ROLLING} FROM panel {SERIES}",
                                 *base, digits=8, doubles=STATS),
         "expanding_mean": sql(f"SELECT date, store, product, {EXPANDING} FROM panel {SERIES}",
@@ -639,6 +697,7 @@ def oracle_sql() -> dict[str, str]:
         "business_kpis": sql(_kpis("raw"), *stock),
         "business_kpis_by_day": sql(_kpis("panel"), *stock),
         # forecasting
+        "jittered_features": sql(_jittered(), *split, doubles=" ".join(MODEL_FEATURES)),
         "time_split": sql(
             "SELECT 'train' AS part, count(*) AS rows, min(date) AS first_date, max(date) AS last_date "
             "FROM train UNION ALL SELECT 'test', count(*), min(date), max(date) FROM test", *split),

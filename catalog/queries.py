@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,13 @@ from shelf.operators import forecast as fc
 from shelf.operators import inventory as inv
 from shelf.operators import promotions, quality, reports
 from shelf.operators.arima import arima_by_series
+from shelf.operators.arima import arima_metrics as by_series_metrics
 from shelf.operators.partitioning import by_series
 from shelf.operators.rollup import daily_rollup
 from shelf.plans.forecast import BOOSTED, FOREST, NAIVE, scored_test
-from shelf.plans.preprocess import preprocess
+from shelf.plans.preprocess import preprocess, preprocess_audited
 from shelf.schema import present
-from shelf.sources.io import export_filtered, read_table, write_table
+from shelf.sources.io import export_filtered, read_table, read_with_rejects, write_series_table, write_table
 from shelf.sources.retail import SEQ, retail_sales
 from shelf.staging import stage, stage_path
 
@@ -163,6 +165,41 @@ def clean_rows(spark, d):
     return preprocess(nulled(spark, d), order_by=SEQ)
 
 
+@query()
+def preprocess_audit(spark, d):
+    return preprocess_audited(nulled(spark, d), order_by=SEQ)[1]
+
+
+def _damaged(spark, d):
+    """A CSV export of the raw rows with text in number columns and dates at fixed places."""
+    def with_text(name: str, every: int, text: str):
+        return F.when(F.col("l_orderkey") % every == 0, F.lit(text)).otherwise(F.col(name).cast("string")).alias(name)
+
+    broken = {"date": with_text("date", 31, "yesterday"), "demand": with_text("demand", 37, "many"),
+              "unit_price": with_text("unit_price", 41, "12,50")}
+    rows = t.raw(spark, d)
+    path = stage_path(spark, "damaged_csv")
+    write_table(rows.select(*[broken.get(c, F.col(c)) for c in rows.columns]), path)
+    return read_with_rejects(spark, path)
+
+
+@query()
+def accepted_rows(spark, d):
+    accepted, _ = _damaged(spark, d)
+    return accepted.groupBy("store").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("demand").alias("demand"), F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"), F.avg("unit_price").alias("unit_price"),
+    )
+
+
+@query()
+def rejected_rows(spark, d):
+    _, rejected = _damaged(spark, d)
+    return rejected.select(
+        "l_orderkey", "l_linenumber", "date", "demand", F.array_join("_problems", " ").alias("problems")
+    )
+
+
 # --- roll-up and reports -----------------------------------------------------
 
 
@@ -295,6 +332,14 @@ def lag_features(spark, d):
     return feat.lag_features(t.panel(spark, d).select(*KEYS, "actual_sales"))
 
 
+@query()
+def bucketed_lags(spark, d):
+    """Lags over a panel that is stored by series, without an exchange."""
+    name = f"series_panel_{uuid.uuid4().hex}"
+    panel = write_series_table(t.panel(spark, d).select(*KEYS, "actual_sales"), name, stage_path(spark, name), buckets=8)
+    return feat.lag_features(panel)
+
+
 @query(8)
 def rolling_features(spark, d):
     panel = t.panel(spark, d).select(*KEYS, "actual_sales")
@@ -488,18 +533,25 @@ def future_features(spark, d):
     return future.select("store", "product", "category", "date", *present(future, feat.MODEL_FEATURES))
 
 
+@query()
+def jittered_features(spark, d):
+    """The noisy copies of the test rows that intervals are made of."""
+    _, test = fc.time_split(t.features(spark, d))
+    return fc.jittered(test, fc.feature_names(test), replicas=2)
+
+
 # The trained models have no SQL twin; these queries are checked by row counts and tests.
 
 
 @query(None)
 def test_predictions(spark, d):
     _, test = fc.time_split(t.features(spark, d))
-    return scored_test(test, t.models(spark, d)[FOREST])
+    return scored_test(test, t.model(spark, d, FOREST))
 
 
 @query(None)
 def feature_importance(spark, d):
-    return fc.feature_importance(spark, t.models(spark, d)[FOREST])
+    return fc.feature_importance(spark, t.model(spark, d, FOREST), 15)
 
 
 @query(None)
@@ -517,10 +569,15 @@ def model_improvement(spark, d):
 
 @query(None)
 def future_forecast(spark, d):
-    model = t.models(spark, d)[BOOSTED]
+    model = t.model(spark, d, BOOSTED)
     return fc.future_forecast(t.features(spark, d), model, model_name=BOOSTED)
 
 
 @query(None)
 def arima_forecast(spark, d):
     return arima_by_series(t.panel(spark, d))
+
+
+@query(None)
+def arima_metrics(spark, d):
+    return by_series_metrics(arima_by_series(t.panel(spark, d)))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelf.operators.features import last_rows
-from shelf.operators.forecast import boosted_trees, random_forest, time_split
+from shelf.operators.forecast import Model, boosted_trees, random_forest, time_split
 from shelf.operators.inventory import recommendations
 from shelf.plans.features import build_features
-from shelf.plans.forecast import BOOSTED, FOREST
+from shelf.plans.forecast import BOOSTED, FOREST, fit_models
 from shelf.plans.preprocess import daily_panel
 from shelf.schema import SERIES
 from shelf.sources.retail import SEQ, retail_sales
@@ -59,16 +58,22 @@ def stock_table(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
     return recommendations(panel(spark, sf_dir), recent_forecast(spark, sf_dir), **settings)
 
 
-_fitted: dict[tuple[str, str], dict[str, PipelineModel]] = {}
+_fitted: dict[tuple[str, str, str], Model] = {}
 
 
-def models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
-    """Both tree models, fitted once per session on the training rows."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def model(spark: SparkSession, sf_dir: str, name: str) -> Model:
+    """A tree model, fitted at full size on the training rows once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _fitted:
         train, _ = time_split(features(spark, sf_dir))
-        _fitted[key] = {
-            FOREST: random_forest(train),
-            BOOSTED: boosted_trees(train),
-        }
+        _fitted[key] = {FOREST: random_forest, BOOSTED: boosted_trees}[name](train)
     return _fitted[key]
+
+
+def models(spark: SparkSession, sf_dir: str) -> dict[str, Model]:
+    """Both tree models; those not fitted yet are fitted side by side."""
+    keys = {name: (spark.sparkContext.applicationId, sf_dir, name) for name in (FOREST, BOOSTED)}
+    if not any(key in _fitted for key in keys.values()):
+        train, _ = time_split(features(spark, sf_dir))
+        _fitted.update({keys[name]: fitted for name, fitted in fit_models(train).items()})
+    return {name: model(spark, sf_dir, name) for name in keys}

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelf.functions.noise import hashed_key, normal_pair
 from shelf.functions.numeric import non_negative
+from shelf.operators.boosting import BoostedModel, fit_boosted
 from shelf.operators.features import MODEL_FEATURES, date_features, series_window
 from shelf.operators.partitioning import by_series, spread
 from shelf.schema import SERIES, present
@@ -19,6 +21,8 @@ from shelf.schema import SERIES, present
 TARGET = "actual_sales"
 KEY = (*SERIES, "date")
 
+Model = PipelineModel | BoostedModel
+
 
 def split_date(df: DataFrame, ratio: float = 0.8, *, date: str = "date") -> DataFrame:
     """One row: the date found ``ratio`` of the way through the rows in date order.
@@ -41,9 +45,12 @@ def split_date(df: DataFrame, ratio: float = 0.8, *, date: str = "date") -> Data
 def time_split(
     df: DataFrame, ratio: float = 0.8, *, date: str = "date"
 ) -> tuple[DataFrame, DataFrame]:
-    """Train before the split date, test from it on; a day is never divided."""
-    cut = split_date(df, ratio, date=date)
-    return df.where(F.col(date) < cut.scalar()), df.where(F.col(date) >= cut.scalar())
+    """Train before the split date, test from it on; a day is never divided.
+
+    The date is looked up at once; as a constant it reaches the scan of a stored table.
+    """
+    cut = F.lit(split_date(df, ratio, date=date).first()["split_date"])
+    return df.where(F.col(date) < cut), df.where(F.col(date) >= cut)
 
 
 def metrics(
@@ -101,17 +108,17 @@ def model_input(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def model_features(model: PipelineModel) -> list[str]:
+def model_features(model: Model) -> list[str]:
+    if isinstance(model, BoostedModel):
+        return model.features
     return [name.removeprefix(INPUT) for name in model.stages[0].getInputCols()]
 
 
-def _fit(train: DataFrame, regressor, features: Sequence[str] | None) -> PipelineModel:
-    features = list(features or feature_names(train))
-    assembler = VectorAssembler(inputCols=[INPUT + f for f in features], outputCol="_features")
-    regressor = regressor.setFeaturesCol("_features").setPredictionCol("_prediction")
+def _training_rows(train: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The features as doubles without nulls and the label, spread over all cores."""
     label = F.col(TARGET).cast("double").alias("label")
     rows = spread(train, *present(train, KEY)).select(*features, label)
-    return Pipeline(stages=[assembler, regressor]).fit(model_input(rows, features))
+    return model_input(rows, features).select(*[INPUT + f for f in features], "label")
 
 
 def random_forest(
@@ -123,12 +130,14 @@ def random_forest(
     seed: int = 42,
     bins: int = 64,
 ) -> PipelineModel:
+    features = list(features or feature_names(train))
+    assembler = VectorAssembler(inputCols=[INPUT + f for f in features], outputCol="_features")
     # Without caching of node ids a deep tree is traversed again on every level.
     regressor = RandomForestRegressor(
         numTrees=trees, maxDepth=depth, seed=seed, maxBins=bins, featureSubsetStrategy="all",
-        cacheNodeIds=True, maxMemoryInMB=1024,
+        cacheNodeIds=True, maxMemoryInMB=1024, featuresCol="_features", predictionCol="_prediction",
     )
-    return _fit(train, regressor, features)
+    return Pipeline(stages=[assembler, regressor]).fit(_training_rows(train, features))
 
 
 def boosted_trees(
@@ -138,65 +147,112 @@ def boosted_trees(
     rounds: int = 100,
     rate: float = 0.1,
     depth: int = 6,
-    seed: int = 42,
     bins: int = 64,
-) -> PipelineModel:
-    regressor = GBTRegressor(
-        maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed, maxBins=bins, cacheNodeIds=True,
-        maxMemoryInMB=1024,
+    penalty: float = 1.0,
+) -> BoostedModel:
+    """Newton boosting with an L2 penalty on the leaves' values; see :mod:`shelf.operators.boosting`."""
+    features = list(features or feature_names(train))
+    model = fit_boosted(
+        _training_rows(train, features), [INPUT + f for f in features], "label",
+        rounds=rounds, rate=rate, depth=depth, bins=bins, penalty=penalty,
     )
-    return _fit(train, regressor, features)
+    model.features = features
+    return model
 
 
-def predict(df: DataFrame, model: PipelineModel, *, output: str = "predicted_sales") -> DataFrame:
+def predict(df: DataFrame, model: Model, *, output: str = "predicted_sales") -> DataFrame:
     """Add the model's prediction, never below zero."""
+    if isinstance(model, BoostedModel):
+        inputs = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in model.features]
+        return df.select(*df.columns, non_negative(model.prediction(inputs)).alias(output))
     scored = model.transform(model_input(df, model_features(model)))
     return scored.select(*df.columns, non_negative(F.col("_prediction")).alias(output))
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Table (feature, importance), most important first."""
+def feature_importance(spark: SparkSession, model: Model, n: int | None = None) -> DataFrame:
+    """Table (feature, importance), most important first; the first ``n`` if given."""
     names = model_features(model)
-    weights = model.stages[-1].featureImportances.toArray()
+    if isinstance(model, BoostedModel):
+        weights = model.importance()
+    else:
+        weights = model.stages[-1].featureImportances.toArray()
     rows = [(n, float(w)) for n, w in zip(names, weights)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
+    table = spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
+    return table if n is None else table.limit(n)
 
 
-def noise_interval(
+def jittered(
     df: DataFrame,
-    model: PipelineModel,
+    features: Sequence[str],
     *,
     replicas: int = 50,
-    level: float = 0.95,
     noise: float = 0.05,
     seed: int = 42,
     key: Sequence[str] = KEY,
+    keep: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Per row the spread of predictions when the features are jittered.
+    """Each row once as it is (``_replica`` 0) and ``replicas`` times with noise on its features.
 
-    Rows are distributed by key before they are repeated, so the replicas are
-    scored and reduced where they are made and never shuffled. The order within a
-    partition is fixed as well: a repeated task draws the same noise.
+    Noise is a function of the row's key, the replica and the feature's place, so it does not depend
+    on how the rows are distributed. Null features count as zero; ``keep`` names further columns.
     """
-    features = model_features(model)
-    rows = spread(df.select(*key, *[f for f in features if f not in key]), *key)
-    copies = rows.sortWithinPartitions(*key).withColumn(
-        "_replica", F.explode(F.sequence(F.lit(1), F.lit(replicas)))
-    )
-    jittered = copies.select(
-        *key,
+    rows = df.select(
+        *key, *[c.alias(f"_keep_{n}") for n, c in (keep or {}).items()],
+        *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"_f{i}") for i, f in enumerate(features)],
+    ).withColumn("_replica", F.explode(F.sequence(F.lit(0), F.lit(replicas))))
+    # Two features share a hash.
+    pairs = range(0, len(features), 2)
+    drawn = rows.withColumns({f"_h{i}": hashed_key([*key, "_replica", F.lit(i // 2)], seed) for i in pairs})
+    moves = {}
+    for i in pairs:
+        moves |= dict(zip((i, i + 1), normal_pair(F.col(f"_h{i}"))))
+    return drawn.select(
+        *key, "_replica", *[F.col(f"_keep_{n}").alias(n) for n in keep or {}],
         *[
-            (F.coalesce(F.col(f).cast("double"), F.lit(0.0)) + F.randn(seed + i) * noise).alias(f)
+            F.when(F.col("_replica") == 0, F.col(f"_f{i}")).otherwise(F.col(f"_f{i}") + moves[i] * noise).alias(f)
             for i, f in enumerate(features)
         ],
+    )
+
+
+def scored_interval(
+    df: DataFrame,
+    model: Model,
+    *,
+    replicas: int = 50,
+    level: float = 0.95,
+    noise: float = 0.05,
+    seed: int = 42,
+    key: Sequence[str] = KEY,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Per row the prediction, the spread of predictions with noisy features, and the columns ``keep``.
+
+    Rows are distributed by key before they are repeated, so the replicas are scored in one pass and
+    reduced where they are made, and never shuffled. ``key`` identifies a row.
+    """
+    features = model_features(model)
+    rows = spread(df, *key)
+    copies = jittered(
+        rows, features, replicas=replicas, noise=noise, seed=seed, key=key, keep={f"_own_{c}": F.col(c) for c in keep}
     )
     tail = (1 - level) / 2
-    scored = predict(jittered, model, output="_p")
-    bounds = scored.groupBy(*key).agg(F.percentile("_p", [tail, 1 - tail]).alias("_b"))
+    scored = predict(copies, model, output="_p")
+    first = F.col("_replica") == 0
+    bounds = scored.groupBy(*key).agg(
+        F.max(F.when(first, F.col("_p"))).alias("predicted_sales"),
+        F.percentile(F.when(~first, F.col("_p")), [tail, 1 - tail]).alias("_b"),
+        *[F.max(F.when(first, F.col(f"_own_{c}"))).alias(c) for c in keep],
+    )
     low, high = F.col("_b")[0], F.col("_b")[1]
-    return bounds.select(*key, low.alias("pred_lower"), high.alias("pred_upper"))
+    return bounds.select(*key, *keep, "predicted_sales", low.alias("pred_lower"), high.alias("pred_upper"))
+
+
+def noise_interval(df: DataFrame, model: Model, **settings) -> DataFrame:
+    """Per row the spread of predictions when the features are jittered."""
+    return scored_interval(df, model, **settings).drop("predicted_sales")
 
 
 def future_features(
@@ -247,7 +303,7 @@ def future_features(
 
 
 def future_forecast(
-    df: DataFrame, model: PipelineModel, days: int = 30, *, model_name: str, target: str = TARGET
+    df: DataFrame, model: Model, days: int = 30, *, model_name: str, target: str = TARGET
 ) -> DataFrame:
     """Quantity and revenue per series and future day, scored in one batch."""
     scored = predict(future_features(df, days, target=target), model, output="_qty")

@@ -184,22 +184,26 @@ def fill_date_gaps(
 
 def missing_counts(df: DataFrame, *, only_missing: bool = True) -> DataFrame:
     """Rows per column that hold no value: null, or NaN in a fractional column."""
-    fractional = columns_of(df, T.DoubleType, T.FloatType)
     entries = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.count_if(F.col(c).isNull() | (F.isnan(c) if c in fractional else F.lit(False))).alias(
-                "missing"
-            ),
-        )
-        for c in df.columns
+        F.struct(F.lit(c).alias("column"), F.count_if(missing(df, c)).alias("missing")) for c in df.columns
     ]
     counts = df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
     return counts.where(F.col("missing") > 0) if only_missing else counts
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` with a row counter that fills while the next action runs; it adds no job."""
+def observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with counters that fill while the next action runs; they add no job.
+
+    ``rows`` and the nulls of each column (``null_<column>``) are counted if ``counts`` names none.
+    """
     seen = Observation(name)
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns]
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls), seen
+    if not counts:
+        nulls = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in df.columns}
+        counts = {"rows": F.count(F.lit(1)), **nulls}
+    return df.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen
+
+
+def missing(df: DataFrame, column: str) -> Column:
+    """Whether a row holds no value: null, or NaN in a fractional column."""
+    fractional = column in columns_of(df, T.DoubleType, T.FloatType)
+    return F.col(column).isNull() | (F.isnan(column) if fractional else F.lit(False))

@@ -150,6 +150,43 @@ def exact_quantiles(
     return found
 
 
+def even_borders(df: DataFrame, columns: Sequence[str], bins: int, *, bits: int = 10) -> list[list[float]]:
+    """For each column, values that part it into at most ``bins`` bins of like size.
+
+    One pass counts rows by sign, exponent and the first ``bits`` bits of the mantissa; a border is the
+    greatest value of such a bucket, so it does not depend on how the rows are distributed. Null and
+    NaN are skipped.
+    """
+    entries = []
+    for k, name in enumerate(columns):
+        value = F.col(name).cast("double") + 0.0
+        first = _exponent(value)
+        scaled = F.abs(value) / F.pow(F.lit(2.0), (F.abs(first) - SHIFT).cast("double"))
+        code = F.floor((scaled - 1) * F.lit(2.0**bits)).cast("int")
+        code = F.when((value == 0) | (F.abs(value) == math.inf), 0).when(value < 0, -code).otherwise(code)
+        fields = (F.lit(k).alias("column"), first.alias("first"), code.alias("code"), value.alias("value"))
+        entries.append(F.when(value.isNotNull() & ~F.isnan(value), F.struct(*fields)))
+    counts = (
+        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        .groupBy("e.column", "e.first", "e.code")
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("e.value").alias("high"))
+    )
+    found: list[list[Row]] = [[] for _ in columns]
+    # At most 2 ** bits buckets for each power of two that a column spans.
+    for row in counts.collect():
+        found[row["column"]].append(row)
+    borders = []
+    for rows in found:
+        rows.sort(key=lambda r: r["high"])
+        total, upto, own = sum(r["rows"] for r in rows), 0, []
+        for row in rows[:-1]:
+            before, upto = upto * bins // total, upto + row["rows"]
+            if upto * bins // total > before or len(rows) <= bins:
+                own.append(row["high"])
+        borders.append(own)
+    return borders
+
+
 def quantile_table(df: DataFrame, values: Mapping[str, Column], probs: Sequence[float]) -> DataFrame:
     """:func:`exact_quantiles` as a table with one row per (name, prob)."""
     rows = [(n, float(p), q) for (n, p), q in exact_quantiles(df, values, probs).items()]

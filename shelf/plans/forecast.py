@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from shelf.operators import forecast as ops
@@ -22,19 +23,30 @@ class ForecastResult:
     forecast: DataFrame
     importance: DataFrame
     best_name: str
-    models: dict[str, PipelineModel]
+    models: dict[str, ops.Model]
 
 
-def scored_test(test: DataFrame, model: PipelineModel, *, replicas: int = 50) -> DataFrame:
-    """Test rows with prediction, interval and residual."""
-    interval = ops.noise_interval(test, model, replicas=replicas)
-    scored = residual(ops.predict(test, model)).join(interval, list(ops.KEY))
+def scored_test(test: DataFrame, model: ops.Model, *, replicas: int = 50) -> DataFrame:
+    """Test rows with prediction, interval and residual, scored in one pass."""
+    scored = residual(ops.scored_interval(test, model, replicas=replicas, keep=("category", ops.TARGET)))
     return scored.select(
         "date", "store", "product", "category", ops.TARGET,
         "predicted_sales", "pred_lower", "pred_upper", "residual",
     )
 
 
+def fit_models(
+    train: DataFrame, *, forest: dict | None = None, boosted: dict | None = None
+) -> dict[str, ops.Model]:
+    """Both tree models, fitted side by side: one waits for the driver while the other computes."""
+    with ThreadPoolExecutor(2) as pool:
+        fits = {
+            FOREST: pool.submit(ops.random_forest, train, **(forest or {})),
+            BOOSTED: pool.submit(ops.boosted_trees, train, **(boosted or {})),
+        }
+        return {name: fit.result() for name, fit in fits.items()}
+
+
 def run_forecast(
     features: DataFrame,
     *,
@@ -49,19 +61,16 @@ def run_forecast(
     Pass a stored feature table: every tree level reads the training rows.
     """
     train, test = ops.time_split(features, ratio)
-    models = {
-        FOREST: ops.random_forest(train, **(forest or {})),
-        BOOSTED: ops.boosted_trees(train, **(boosted or {})),
-    }
+    models = fit_models(train, forest=forest, boosted=boosted)
     rows = [ops.metrics(ops.naive_forecast(train, test), NAIVE)]
     rows += [ops.metrics(ops.predict(test, m), name) for name, m in models.items()]
-    comparison = stage(ops.compare(*rows), "comparison")
-    # The boosted model must beat the forest to be chosen; one row reaches the driver.
-    candidates = comparison.where(comparison["model"].isin(list(models)))
-    best = candidates.orderBy("mae", comparison["model"].desc()).first()["model"]
+    exact = stage(reduce(DataFrame.unionByName, rows), "comparison")
+    # The boosted model must beat the forest to be chosen, by the figures before they are rounded.
+    candidates = exact.where(exact["model"].isin(list(models)))
+    best = candidates.orderBy("mae", exact["model"].desc()).first()["model"]
     model = models[best]
     return ForecastResult(
-        comparison=comparison,
+        comparison=ops.compare(exact),
         test_predictions=scored_test(test, model, replicas=replicas),
         forecast=ops.future_forecast(features, model, days, model_name=best),
         importance=ops.feature_importance(features.sparkSession, model),

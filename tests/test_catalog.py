@@ -8,7 +8,7 @@ from check_oracle import compare, duck
 
 MODELS = {
     "test_predictions", "feature_importance", "model_comparison", "model_improvement",
-    "future_forecast", "arima_forecast",
+    "future_forecast", "arima_forecast", "arima_metrics",
 }
 
 

@@ -7,7 +7,7 @@ from conftest import day, ordered
 from pyspark.sql import functions as F
 
 from shelf.operators import forecast as fc
-from shelf.operators.arima import _errors, arima_by_series, arima_forecast
+from shelf.operators.arima import _errors, arima_by_series, arima_forecast, arima_metrics, fit_weights, loss
 from shelf.plans.features import build_features
 from shelf.plans.forecast import BOOSTED, FOREST, NAIVE, run_forecast, write_forecast
 from shelf.sources.io import load_model
@@ -110,6 +110,52 @@ def test_error_recursion_equals_a_loop():
     np.testing.assert_allclose(got, want)
 
 
+def dense_loss(y, ar, ma):
+    """Minus twice the log likelihood from the whole covariance matrix, with the best variance."""
+    lags = np.arange(len(y))
+    first = (1 + 2 * ar * ma + ma * ma) / (1 - ar * ar)
+    second = (1 + ar * ma) * (ar + ma) / (1 - ar * ar)
+    gamma = np.where(lags == 0, first, second * np.power(ar, np.maximum(lags - 1, 0)))
+    cov = gamma[np.abs(lags[:, None] - lags[None, :])]
+    return len(y) * np.log(y @ np.linalg.solve(cov, y)) + np.linalg.slogdet(cov)[1]
+
+
+@pytest.mark.parametrize("ar, ma", [(0.6, 0.3), (-0.5, 0.8), (0.9, -0.4), (0.0, -0.7)])
+def test_weights_have_the_greatest_exact_likelihood(ar, ma):
+    rng = np.random.default_rng(9)
+    e = rng.normal(0, 2, 121)
+    y = np.zeros(121)
+    for t in range(1, 121):
+        y[t] = ar * y[t - 1] + e[t] + ma * e[t - 1]
+    y = y[1:]
+    for point in ((0.5, -0.2), (-0.9, 0.4), (0.0, 0.99), (0.3, 0.0)):
+        mine = loss(y, np.array([[point[0]]]), np.array([[point[1]]]))[0]
+        base = loss(y, np.array([[0.0]]), np.array([[0.0]]))[0]
+        assert mine - base == pytest.approx(dense_loss(y, *point) - dense_loss(y, 0.0, 0.0), abs=1e-6)
+    found = fit_weights(y, 1, 1)
+    ticks = np.linspace(-0.98, 0.98, 50)
+    grid = [(dense_loss(y, a, m), a, m) for a in ticks for m in ticks if abs(a + m) > 0.03]
+    coarse = min(grid)
+    fine = min(
+        (dense_loss(y, a, m), a, m)
+        for a in np.clip(coarse[1] + np.linspace(-0.04, 0.04, 17), -0.99, 0.99)
+        for m in np.clip(coarse[2] + np.linspace(-0.04, 0.04, 17), -0.99, 0.99)
+    )
+    assert dense_loss(y, *found) <= fine[0] + 1e-3
+    assert found == pytest.approx(fine[1:], abs=0.01)
+
+
+def test_arima_metrics_by_series(panel):
+    forecast = arima_by_series(panel)
+    rows = {(r["store"], r["product"]): r for r in arima_metrics(forecast).collect()}
+    table = forecast.where("kind = 'backtest'").toPandas()
+    assert len(rows) == 3
+    for key, own in table.groupby(["store", "product"]):
+        gap = own["actual"].astype(float) - own["forecast"]
+        assert rows[key]["mae"] == pytest.approx(gap.abs().mean())
+        assert rows[key]["rmse"] == pytest.approx(np.sqrt((gap**2).mean()))
+
+
 def test_forecast_never_negative():
     out, _ = arima_forecast(np.linspace(50, 0, 80), 30, (1, 1, 0))
     assert (out >= 0).all() and len(out) == 30
@@ -161,6 +207,26 @@ def test_interval_is_repeatable(result, seasonal):
     pd.testing.assert_frame_equal(*runs)
 
 
+@pytest.mark.parametrize("name", [FOREST, BOOSTED])
+def test_noise_does_not_depend_on_partitions(result, seasonal, name):
+    _, test = fc.time_split(seasonal)
+    runs = [
+        ordered(fc.scored_interval(test.repartition(n), result.models[name], replicas=10), *fc.KEY) for n in (2, 8)
+    ]
+    pd.testing.assert_frame_equal(*runs)
+    plain = ordered(fc.predict(test, result.models[name]).select(*fc.KEY, "predicted_sales"), *fc.KEY)
+    assert runs[0]["predicted_sales"].tolist() == plain["predicted_sales"].tolist()
+
+
+def test_noise_is_standard_normal(seasonal):
+    rows = fc.jittered(seasonal.select(*fc.KEY, F.lit(0.0).alias("x"), F.lit(1.0).alias("y")), ["x", "y"], replicas=40, noise=1.0)
+    noisy = rows.where("_replica > 0").toPandas()
+    for moved in (noisy["x"], noisy["y"] - 1):
+        assert abs(moved.mean()) < 0.03 and abs(moved.std() - 1) < 0.03 and abs((moved**3).mean()) < 0.1
+    assert abs(np.corrcoef(noisy["x"], noisy["y"])[0, 1]) < 0.03
+    assert rows.where("_replica = 0 and (x <> 0 or y <> 1)").count() == 0
+
+
 def test_interval_shuffles_rows_not_replicas(result, seasonal):
     _, test = fc.time_split(seasonal)
     plan = fc.noise_interval(test, result.models[FOREST])._jdf.queryExecution().executedPlan().toString()
@@ -189,6 +255,11 @@ def test_written_tables_and_models(spark, result, seasonal):
     again = ordered(fc.predict(seasonal, model), *fc.KEY)
     before = ordered(fc.predict(seasonal, result.models[FOREST]), *fc.KEY)
     assert again["predicted_sales"].tolist() == before["predicted_sales"].tolist()
+    model = load_model(f"{folder}/models/boosted_trees")
+    again = ordered(fc.predict(seasonal, model), *fc.KEY)
+    before = ordered(fc.predict(seasonal, result.models[BOOSTED]), *fc.KEY)
+    assert again["predicted_sales"].tolist() == before["predicted_sales"].tolist()
+    assert model.importance() == result.models[BOOSTED].importance()
 
 
 def test_negative_predictions_are_clamped(spark):

@@ -83,3 +83,22 @@ def test_passes_are_hash_aggregates_without_a_single_task(spark, capsys):
     finally:
         quantiles._counted = counted
     assert plans and all("HashAggregate" in p and "SinglePartition" not in p and "Window" not in p for p in plans)
+
+
+def test_borders_part_columns_evenly(spark):
+    from shelf.operators.quantiles import even_borders
+
+    rng = np.random.default_rng(8)
+    data = {
+        "wide": rng.normal(0, 50, 4_000), "year": rng.integers(2015, 2025, 4_000).astype(float), "one": np.full(4_000, 3.0),
+        "skewed": np.where(rng.random(4_000) < 0.5, 0.0, rng.pareto(1.0, 4_000) - 0.2),
+    }
+    df = spark.createDataFrame(list(zip(*[v.tolist() for v in data.values()])), list(data))
+    found = even_borders(df.repartition(5), list(data), 32)
+    assert found == even_borders(df.repartition(2), list(data), 32)
+    for (name, values), borders in zip(data.items(), found):
+        assert borders == sorted(set(borders)) and len(borders) < 32 and set(borders) <= set(values.tolist())
+        sizes = np.bincount(np.searchsorted(borders, values, "left"), minlength=len(borders) + 1)
+        copies = np.unique(values, return_counts=True)[1].max()
+        assert sizes.max() <= max(2.1 * 4_000 / 32, copies + 4_000 / 32) and sizes.min() > 0
+    assert found[1] == [float(x) for x in range(2015, 2024)] and found[2] == []

@@ -92,3 +92,56 @@ def test_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.checkpoint_root(Session())
+
+
+def test_rejected_lines(spark):
+    """Typed rows and rejected ones together are all lines; empty values are accepted as nulls."""
+    names = "date,store,category,product,unit_price,discount_pct,demand,actual_sales,revenue,current_stock,is_promotion,stockout_flag"
+    good = "2024-01-01,s,c,p,1.5,0.1,3,3,4.5,9,0,0"
+    lines = [
+        good, good.replace("2024-01-01", "soon"), good.replace(",3,3,", ",three,x,"), good.replace(",3,3,", ",,,"),
+        good + ",extra", "2024-01-01,s,c", good.replace("1.5", "1e2"), good.replace(",9,", ",9.7,"),
+    ]
+    path = stage_path(spark, "lines")
+    spark.createDataFrame([("\n".join([names, *lines]),)], "value string").coalesce(1).write.text(path)
+    accepted, rejected = io.read_with_rejects(spark, path)
+    rows = rejected.collect()
+    assert accepted.count() + len(rows) == len(lines)
+    assert sorted(r["_problems"] for r in rows) == sorted(
+        [["date"], ["demand", "actual_sales"], ["_line"], ["_line"], ["current_stock"]]
+    ) or sorted(map(tuple, (r["_problems"] for r in rows)))[0] == ("_line",)
+    assert {tuple(r["_problems"]) for r in rows} >= {("date",), ("demand", "actual_sales")}
+    kept = accepted.orderBy("unit_price", F.col("demand").isNull()).collect()
+    assert [(r["unit_price"], r["demand"]) for r in kept][:2] == [(1.5, 3), (1.5, None)]
+    assert dict(accepted.dtypes)["demand"] == "bigint"
+
+
+def test_windows_over_the_series_store_need_no_exchange(spark, panel):
+    from shelf.operators.features import lag_features, rolling_features
+
+    path = stage_path(spark, "series")
+    stored = io.write_series_table(panel, "series_store", path, buckets=3)
+    made = rolling_features(lag_features(stored))
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    want = rolling_features(lag_features(panel))
+    assert made.exceptAll(want.select(*made.columns)).count() == 0 and made.count() == panel.count()
+    spark.sql("DROP TABLE series_store")
+
+
+def test_audit_counts_what_preprocessing_changed(spark):
+    from shelf.plans.preprocess import preprocess_audited
+
+    raw = retail_sales(spark, SF_SMALL).limit(500)
+    rows = [r for r in raw.collect()]
+    broken = spark.createDataFrame(rows, raw.schema).withColumn(
+        "unit_price", F.when(F.col("l_linenumber") != 1, F.col("unit_price")).otherwise(F.lit(float("nan")))
+    ).withColumn("date", F.when(F.col("l_linenumber") != 2, F.col("date")))
+    panel, audit = preprocess_audited(broken, order_by=SEQ)
+    got = {(r["measure"], r["column"]): r["rows"] for r in audit.collect()}
+    dated = [r for r in rows if r["l_linenumber"] != 2]
+    assert got["rows_in", None] == 500 and got["null_dates", None] == 500 - len(dated)
+    assert got["rows_out", None] == len({(r["date"], r["store"], r["product"]) for r in dated})
+    assert got["rows_out", None] + got["duplicates", None] == len(dated)
+    assert got["filled", "unit_price"] == sum(r["l_linenumber"] == 1 for r in dated) and got["filled", "demand"] == 0
+    plain = preprocess(broken, order_by=SEQ)
+    assert panel.exceptAll(plain).count() == 0 and panel.count() == plain.count()
