@@ -82,22 +82,33 @@ def whole_vectors(df: DataFrame, scale: int = 256) -> DataFrame:
     return kept.select("vec_id", F.size("embedding").alias("dim"), vector.alias("vector"))
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    made = np.array(column.tolist(), np.int64)
-    # Products of small integers are exact in double precision, which multiplies faster.
-    return made.astype(np.float64) if np.abs(made).max(initial=0) ** 2 * made.shape[1] < 2**52 else made
+def _exact_type(vectors: DataFrame, queries: DataFrame) -> str:
+    """The type in which every product and sum is exact: double, which multiplies faster, or long."""
+    largest = F.max(F.array_max(F.transform("vector", lambda x: F.greatest(x, -(x + 1)))))
+    sizes = [df.agg(largest.alias("top"), F.max("dim").alias("dim")).first() for df in (vectors, queries)]
+    # Python's integers have no end; a component of -2 ** 63 counts as its neighbour and one more.
+    most = max((sizes[0]["dim"] or 0), 1)
+    for size in sizes:
+        most *= (size["top"] or 0) + 1
+    if most >= 2**63:
+        raise ValueError("scores of these vectors do not fit 64-bit integers")
+    return "float64" if most < 2**52 else "int64"
 
 
-def _hits(vectors: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
+def _matrix(column: pd.Series, kind: str) -> np.ndarray:
+    return np.array(column.tolist(), np.int64).astype(kind)
+
+
+def _hits(vectors: pd.DataFrame, asked: pd.DataFrame, k: int, kind: str) -> pd.DataFrame:
     rows = []
     if len(vectors) and len(asked):
-        tree = Tree(vectors["vec_id"].to_numpy(np.int64), _matrix(vectors["vector"]))
-        queries = _matrix(asked["query"]).astype(tree.vectors.dtype)
-        floors = zip(asked["floor_score"].tolist(), asked["floor_id"].tolist())
-        for own, query, (score, vec) in zip(asked["query_id"].tolist(), queries, floors):
+        tree = Tree(vectors["vec_id"].to_numpy(np.int64), _matrix(vectors["vector"], kind))
+        queries = _matrix(asked["query"], kind)
+        floors = zip(asked["floor_score"].astype("Int64"), asked["floor_id"].astype("Int64"))
+        for own, row, query, (score, vec) in zip(asked["query_id"].tolist(), asked["q_row"].tolist(), queries, floors):
             floor = None if pd.isna(score) else (int(score), -int(vec))
-            rows += [(own, -i, int(s)) for s, i in tree.search(own, query, k, floor)]
-    return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+            rows += [(own, row, -i, int(s)) for s, i in tree.search(own, query, k, floor)]
+    return pd.DataFrame(rows, columns=["query_id", "q_row", "vec_id", "score"]).astype("int64")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -105,9 +116,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     ``vectors`` and ``queries`` are of :func:`whole_vectors`. Ties go to the smaller vec_id; the
     query's own id is no candidate; vectors of another dimension are none either. Fewer candidates
-    give fewer rows, an empty table none. Equal vectors under several ids all count.
+    give fewer rows, an empty table none. Equal vectors under several ids all count. Rows of ``vectors``
+    that repeat an id are candidates of their own; queries that share an id but differ have a ranking
+    each, equal ones have one. Vectors whose scores could leave 64 bits raise an error.
     Shards and query blocks have bounded size; their number grows with the tables.
     """
+    kind = _exact_type(vectors, queries)
     shards = max(1, -(-vectors.count() // SHARD_ROWS))
     groups = max(1, -(-queries.count() // QUERY_ROWS))
     hashed = F.xxhash64("vec_id")
@@ -117,28 +131,29 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     asked = queries.select(
         F.col("vec_id").alias("query_id"), F.col("dim").alias("q_dim"), F.col("vector").alias("query"),
         F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).cast("int").alias("q_block"),
-    )
+        F.xxhash64("vector").alias("q_row"),
+    ).dropDuplicates(["query_id", "q_row"])
     home = F.pmod(F.xxhash64("query_id", F.lit(2)), F.lit(shards)).cast("int")
 
     def search(rows: DataFrame) -> DataFrame:
         asking = rows.groupBy("q_dim", "q_shard", "q_block")
         return sharded.groupBy("dim", "shard", "block").cogroup(asking).applyInPandas(
-            lambda v, q: _hits(v, q, k), "query_id long, vec_id long, score long"
+            lambda v, q: _hits(v, q, k, kind), "query_id long, q_row long, vec_id long, score long"
         )
 
     nothing = F.lit(None).cast("long")
     first = asked.withColumn("q_shard", home).withColumn("floor_score", nothing).withColumn("floor_id", nothing)
     found = stage(search(first), "home-hits")
     worst = F.min(F.struct("score", (-F.col("vec_id")).alias("id")))
-    floors = found.groupBy("query_id").agg(F.count("*").alias("n"), worst.alias("worst")).where(F.col("n") >= k)
+    floors = found.groupBy("query_id", "q_row").agg(F.count("*").alias("n"), worst.alias("worst")).where(F.col("n") >= k)
     floors = floors.select(
-        "query_id", F.col("worst.score").alias("floor_score"), (-F.col("worst.id")).alias("floor_id")
+        "query_id", "q_row", F.col("worst.score").alias("floor_score"), (-F.col("worst.id")).alias("floor_id")
     )
-    others = asked.join(floors, "query_id", "left").withColumn(
+    others = asked.join(floors, ["query_id", "q_row"], "left").withColumn(
         "q_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     ).where(F.col("q_shard") != home)
     every = found.unionByName(search(others))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "q_row").orderBy(F.desc("score"), "vec_id")
     return every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
     )

@@ -528,6 +528,42 @@ def test_top_k(spark, monkeypatch):
     assert 1050 not in got
 
 
+def test_top_k_is_exact_for_large_components(spark):
+    """Products beyond 53 bits, repeated ids of queries, and scores that no long can hold."""
+    rng = np.random.default_rng(19)
+    rows = [(i, rng.integers(-(2**29), 2**29, 4).tolist()) for i in range(120)]
+    rows += [(0, [1, 2, 3, 4]), (50, rows[50][1]), (121, rows[50][1])]
+    vectors = spark.createDataFrame([(i, 4, v) for i, v in rows], "vec_id long, dim int, vector array<long>")
+    got = collections.defaultdict(list)
+    for r in kd_topk.top_k(vectors, vectors.where("vec_id % 50 = 0")).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    want = collections.defaultdict(list)
+    for q, own in {(i, tuple(v)) for i, v in rows if i % 50 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows if i != q)[:5]
+        want[q] += [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
+    assert len(got[0]) == 10 and len(got[50]) == 5
+    huge = spark.createDataFrame([(0, 1, [2**40]), (1, 1, [2**40])], "vec_id long, dim int, vector array<long>")
+    with pytest.raises(ValueError):
+        kd_topk.top_k(huge, huge)
+
+
+MENTIONS = [
+    "The cc0 bit of the status register was set.", "The project does not accept code under the LGPL.",
+    "This file is *not* licensed under the MIT License.", "Yesterday the unlicense plate was lost.",
+    "The BSD License debate of 1999 went on for months.", "GPLv3", "A MIT professor spoke.",
+]
+
+
+def test_mentions_and_denials_are_not_confirmed(spark):
+    given = "Nothing else. This library is distributed under the BSD license, as many others are."
+    docs = frame(spark, [*MENTIONS, "\n\n".join(MENTIONS), given, ("word " * 30_000) + "\n\nReleased under the MIT License.\n", given])
+    rows = license_scan.train(docs).scan(docs).collect()
+    assert {(r["doc_id"], r["family"]) for r in rows if r["confirmed"]} == {
+        (len(MENTIONS) + 1, "BSD"), (len(MENTIONS) + 2, "MIT"), (len(MENTIONS) + 3, "BSD")
+    }
+
+
 def test_mix(spark, odd, empty):
     rng = random.Random(10)
     texts = [" ".join(["w"] * rng.randint(0, 900)) for _ in range(400)]
