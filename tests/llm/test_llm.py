@@ -548,6 +548,30 @@ def test_top_k_is_exact_for_large_components(spark):
         kd_topk.top_k(huge, huge)
 
 
+def test_shards_that_cannot_beat_the_floor_are_not_asked(spark, monkeypatch):
+    """Clusters far apart, a third of all vectors equal, one vector of another dimension."""
+    monkeypatch.setattr(kd_topk, "SHARD_ROWS", 50)
+    rng = np.random.default_rng(29)
+    rows = [(i, (rng.normal(0, 3, 5) + 400 * np.eye(5)[i % 5]).round().astype(int).tolist()) for i in range(600)]
+    rows += [(600 + i, [7] * 5) for i in range(300)] + [(5000, [1, 2])]
+    vectors = spark.createDataFrame([(i, len(v), v) for i, v in rows], "vec_id long, dim int, vector array<long>")
+    pairs = []
+    asked = kd_topk._asked
+    monkeypatch.setattr(kd_topk, "_asked", lambda *a: pairs.append(asked(*a)) or pairs[-1])
+    got = collections.defaultdict(list)
+    for r in kd_topk.top_k(vectors, vectors.where("vec_id % 20 = 0")).orderBy("rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for q, own in rows:
+        if q % 20 == 0 and len(own) == 5:
+            scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows if i != q and len(v) == 5)[:5]
+            assert got[q] == [(i, -s) for s, i in scores]
+    assert 5000 not in got
+    queries, cells = len([1 for i, v in rows if i % 20 == 0 and len(v) == 5]), pairs[0].count()
+    assert cells == queries + 1
+    # A query of a cluster asks some parts of about twenty; the equal vectors lie between all clusters.
+    assert pairs[1].where("query_id < 600").count() < 30 * 10
+
+
 MENTIONS = [
     "The cc0 bit of the status register was set.", "The project does not accept code under the LGPL.",
     "This file is *not* licensed under the MIT License.", "Yesterday the unlicense plate was lost.",
