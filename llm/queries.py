@@ -54,9 +54,8 @@ def op6_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    kept = stage(token_counts.trees(docs, RANKS), "token-trees")
-    edited = token_counts.apply_edits(token_counts.self_edits(docs), kept, RANKS)
+    kept = stage(token_counts.trees(documents(spark, sf_dir), RANKS), "token-trees")
+    edited = token_counts.apply_edits(token_counts.self_edits(kept), RANKS)
     return edited.drop("text", "chars", "tokens")
 
 

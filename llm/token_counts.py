@@ -1,11 +1,11 @@
 """Edit-aware token counts: a segment tree of pre-tokens for each document, kept as a table.
 
 Leaves hold runs of pre-tokens; inner nodes hold the code points and tokens below them. The table of
-trees has a row for each document: the text's digest, and the code points and tokens of its leaves in
-order; the leaves' texts are slices of the document. Edits are joined to trees and documents. An edit
-descends by code points, re-encodes the leaves it touches with a few code points of context on either
-side, and updates the sums on the paths above. Other leaves keep their counts and are never encoded
-again; a leaf that grew splits where it stands. Edited trees go back to the same kind of table.
+trees has a row for each document: its text, and the code points and tokens of the leaves in order;
+a leaf's text is a slice. Edits are joined to this table. An edit descends by code points, re-encodes
+the leaves it touches with a few code points of context on either side, and updates the sums on the
+paths above. Other leaves keep their counts and are never encoded again; a leaf that grew splits
+where it stands. Edited documents come back as rows of the same kind of table.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from itertools import accumulate
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
@@ -133,19 +133,10 @@ class TokenTree:
             low, high = low // 2, high // 2
 
 
-_KEY = ("tree_id", "tree_digest")
-
-
-def _key(doc_id: str, text: str) -> list[Column]:
-    """What a tree belongs to: a document, and the text it had."""
-    return [F.col(f"`{doc_id}`").cast("long").alias(_KEY[0]), F.xxhash64(text_or_empty(text)).alias(_KEY[1])]
-
-
 def trees(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str = "text", leaf: int = LEAF) -> DataFrame:
-    """The trees of ``docs``: tree_id, tree_digest, chars and tokens of the leaves, and pieces.
+    """The trees of ``docs``: doc_id, text, chars and tokens of the leaves in order, and pieces (pre-tokens).
 
-    ``tree_id`` is the doc_id, ``tree_digest`` a hash of the text, ``pieces`` counts the pre-tokens.
-    A null text counts as empty; rows that repeat id and text have equal trees.
+    A null text counts as empty; every row has a tree of its own, also rows that repeat an id.
     """
 
     def compute(texts):
@@ -164,41 +155,39 @@ def trees(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str =
                 pieces.append(len(own))
         return [chars, tokens, pieces]
 
-    slim = docs.select(*_key(doc_id, text), text_or_empty(text).alias("tree_text"))
-    fields = [
-        StructField("chars", ArrayType(LongType())), StructField("tokens", ArrayType(LongType())), StructField("pieces", LongType())
-    ]
-    return add_columns(slim, ["tree_text"], fields, compute).drop("tree_text")
+    slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(text).alias("text"))
+    longs = ArrayType(LongType())
+    fields = [StructField("chars", longs), StructField("tokens", longs), StructField("pieces", LongType())]
+    return add_columns(slim, ["text"], fields, compute)
 
 
-def apply_edits(
-    docs: DataFrame, kept: DataFrame, ranks_path: str, edits: str = "edits", doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """doc_id, the edited text, its tree (chars, tokens), and counts, for every row of ``docs``.
+def with_edits(kept: DataFrame, edits: DataFrame) -> DataFrame:
+    """The trees with the edits of their documents, from a table of edits in order.
 
-    ``kept`` are trees, of which each row takes the one of its id and text; a row whose tree is
-    missing raises. ``edits`` is an array of structs (start, length, replacement) in code points,
-    applied in order, each to the text that the one before left; null entries and null edits change
-    nothing, a null replacement deletes. Positions are cut to the text. ``n_tokens`` and ``pieces``
-    are those before, ``n_tokens_edited`` and ``n_chars_edited`` those after, ``reencoded`` counts the
-    pre-tokens that the edits encoded. A null text counts as empty; rows stay as they are.
+    ``edits`` has doc_id, place (its order), start, length and replacement; the edits of a document are
+    gathered in one row. Documents without edits have none; edits of unknown documents are left out.
+    """
+    one = F.struct("place", "start", "length", "replacement")
+    listed = edits.groupBy("doc_id").agg(F.sort_array(F.collect_list(one)).alias("edits"))
+    return kept.join(listed.hint("merge"), "doc_id", "left")
+
+
+def apply_edits(kept: DataFrame, ranks_path: str) -> DataFrame:
+    """doc_id, the edited text, its tree (chars, tokens), and counts, for every row of ``kept``.
+
+    ``kept`` are trees with a column ``edits``: an array of structs (start, length, replacement) in
+    code points, applied in order, each to the text that the one before left; null entries and null
+    edits change nothing, a null replacement deletes. Positions are cut to the text. ``n_tokens`` is
+    the number before, ``n_tokens_edited`` and ``n_chars_edited`` those after, ``pieces`` the pre-tokens
+    when the tree was built, and ``reencoded`` those that the edits encoded. Rows stay as they are; a
+    tree that does not fit its text raises an error.
     """
-    rows = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), *_key(doc_id, text), text_or_empty(text).alias("before"),
-        F.col(f"`{edits}`").alias("edits"),
-    )
-    one = kept.dropDuplicates(list(_KEY)).select(
-        *[F.col(c).alias(f"_{c}") for c in _KEY], F.col("chars").alias("own_chars"), F.col("tokens").alias("own_tokens"), "pieces"
-    )
-    met = rows.join(
-        one, F.col(_KEY[0]).eqNullSafe(F.col(f"_{_KEY[0]}")) & (F.col(_KEY[1]) == F.col(f"_{_KEY[1]}")), "left"
-    ).select("doc_id", "before", "edits", "own_chars", "own_tokens", "pieces")
 
     def compute(texts, listed, chars, tokens):
         encoder = byte_bpe.encoder(ranks_path)
         made = []
         for own, changes, size, ids in zip(texts, listed, chars, tokens):
-            if size is None or sum(size) != len(own):
+            if sum(size) != len(own):
                 raise ValueError("a document has no tree for its text")
             tree = TokenTree(own, size, ids, encoder)
             before = tree.n_tokens
@@ -209,18 +198,20 @@ def apply_edits(
         return [list(c) for c in zip(*made)] if made else [[]] * 7
 
     longs = ["n_tokens", "n_tokens_edited", "n_chars_edited", "reencoded"]
+    slim = kept.select(
+        "doc_id", "pieces", F.col("text").alias("before"), "edits", F.col("chars").alias("own_chars"), F.col("tokens").alias("own_tokens")
+    )
     fields = [
         StructField("text", StringType()), StructField("chars", ArrayType(LongType())),
         StructField("tokens", ArrayType(LongType())), *[StructField(n, LongType()) for n in longs],
     ]
-    done = add_columns(met, ["before", "edits", "own_chars", "own_tokens"], fields, compute)
+    done = add_columns(slim, ["before", "edits", "own_chars", "own_tokens"], fields, compute)
     return done.select("doc_id", "text", "chars", "tokens", *longs[:3], "pieces", longs[3])
 
 
-def self_edits(docs: DataFrame) -> DataFrame:
-    """doc_id, text and three edits made of the text itself: a replacement by its first 20 code
-    points at one third, an insertion of its last 12 at two thirds, and the loss of the first 5."""
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
+def self_edits(kept: DataFrame) -> DataFrame:
+    """``kept`` (doc_id, text, ...) with three edits made of the text itself: a replacement by its first
+    20 code points at one third, an insertion of its last 12 at two thirds, and the loss of the first 5."""
     n = F.length("text")
 
     def one(start, length, words):
@@ -228,7 +219,7 @@ def self_edits(docs: DataFrame) -> DataFrame:
             start.cast("long").alias("start"), F.lit(length).cast("long").alias("length"), words.alias("replacement")
         )
 
-    return rows.withColumn("edits", F.array(
+    return kept.withColumn("edits", F.array(
         one(F.floor(n / 3), 20, F.expr("left(text, 20)")), one(F.floor(n * 2 / 3), 0, F.expr("right(text, 12)")),
         one(F.lit(0), 5, F.lit("")),
     ))

@@ -129,7 +129,9 @@ def test_kept_trees_take_edits_again_and_again(spark, odd, empty, rank_encoding)
     rows += [rows[0], rows[0]]
     schema = "doc_id long, text string, edits array<struct<start: long, length: long, replacement: string>>, chars string, pieces int"
     docs = spark.createDataFrame(rows, schema)
-    done = token_counts.apply_edits(docs, token_counts.trees(docs, RANKS), RANKS)
+    kept = token_counts.trees(docs, RANKS).withColumn("n", F.monotonically_increasing_id())
+    numbered = docs.select("edits").withColumn("n", F.monotonically_increasing_id())
+    done = token_counts.apply_edits(kept.join(numbered, "n"), RANKS)
     want = collections.Counter()
     for i, t, edits, *_ in rows:
         new = change(t or "", edits)
@@ -137,18 +139,17 @@ def test_kept_trees_take_edits_again_and_again(spark, odd, empty, rank_encoding)
     made = done.collect()
     assert collections.Counter((r["doc_id"], r["text"], r["n_tokens"], r["n_tokens_edited"], r["n_chars_edited"]) for r in made) == want
     assert all(sum(r["tokens"]) == r["n_tokens_edited"] and sum(r["chars"]) == r["n_chars_edited"] for r in made)
-    # The edited trees serve the next edits without any text being split again.
-    next_docs = done.select("doc_id", "text", F.expr("array(named_struct('start', 3L, 'length', 1L, 'replacement', ' and'))").alias("edits"))
-    kept = done.select(
-        F.col("doc_id").alias("tree_id"), F.xxhash64("text").alias("tree_digest"), "chars", "tokens", "pieces"
-    )
-    again = token_counts.apply_edits(next_docs, kept, RANKS).collect()
+    # The edited trees take the next edits, from a table, without any text being split again.
+    table = [(i, p, 3 * p, 1, " and") for i in range(len(texts)) for p in (2, 1)] + [(999, 1, 0, 0, "x"), (0, 3, None, None, None)]
+    more = spark.createDataFrame(table, "doc_id long, place int, start long, length long, replacement string")
+    again = token_counts.apply_edits(token_counts.with_edits(done, more), RANKS).collect()
     assert sorted((r["n_tokens"], r["n_tokens_edited"]) for r in again) == sorted(
-        (n, count(change(t, [(3, 1, " and")]))) for (_, t, _, n, _), k in want.items() for _ in range(k)
+        (n, count(t if i is None else change(t, [(3, 1, " and"), (6, 1, " and")]))) for (i, t, _, n, _), k in want.items() for _ in range(k)
     )
-    assert token_counts.apply_edits(token_counts.self_edits(empty), token_counts.trees(empty, RANKS), RANKS).count() == 0
+    assert token_counts.apply_edits(token_counts.self_edits(token_counts.trees(empty, RANKS)), RANKS).count() == 0
+    wrong = token_counts.trees(docs, RANKS).withColumn("text", F.lit("other")).withColumn("edits", F.lit(None).cast(docs.schema["edits"].dataType))
     with pytest.raises(Exception, match="no tree"):
-        token_counts.apply_edits(docs, token_counts.trees(empty, RANKS), RANKS).collect()
+        token_counts.apply_edits(wrong, RANKS).collect()
 
 
 def test_word_ids_are_those_of_the_library():
