@@ -667,6 +667,7 @@ def oracle_sql() -> dict[str, str]:
             RAW, abc("raw", "product, category"), total_revenue=2, revenue_pct=6),
         "inventory_recommendations": sql("SELECT * FROM inv", *stock, doubles=INV_DOUBLES,
                                          total_revenue=2),
+        "inventory_files": sql("SELECT * FROM inv", *base, inventory(5e6), doubles=INV_DOUBLES, total_revenue=2),
         "inventory_by_forecast": sql(
             "SELECT * FROM inv", *base, inventory(5e6, "forecast_avg_daily"),
             doubles=INV_DOUBLES, total_revenue=2),
@@ -705,6 +706,10 @@ def oracle_sql() -> dict[str, str]:
                              *split, NAIVE, doubles="mae rmse mape_pct r2"),
         "naive_series_metrics": sql(f"SELECT {METRICS.format(name='Naive Series')} FROM series_test",
                                     *split, NAIVE_SERIES, doubles="mae rmse mape_pct r2"),
+        "naive_residuals": sql(
+            "SELECT date, store, product, actual_sales, p AS predicted_sales, y - p AS residual, "
+            "CASE WHEN y - p < 0 THEN 0.0 ELSE y - p END AS clamped FROM series_test",
+            *split, NAIVE_SERIES, doubles="predicted_sales residual clamped"),
         "metrics_by_store": sql(
             f"SELECT store, {METRICS.format(name='Naive Series')} FROM series_test GROUP BY store",
             *split, NAIVE_SERIES, doubles="mae rmse mape_pct r2"),

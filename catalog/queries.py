@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from catalog import tables as t
 from catalog.oracle import shift
+from shelf.functions.numeric import non_negative
 from shelf.operators import features as feat
 from shelf.operators import forecast as fc
 from shelf.operators import inventory as inv
 from shelf.operators import promotions, quality, reports
 from shelf.operators.arima import arima_by_series
 from shelf.operators.arima import arima_metrics as by_series_metrics
+from shelf.operators.measures import residual
 from shelf.operators.partitioning import by_series
 from shelf.operators.rollup import daily_rollup
 from shelf.plans.forecast import BOOSTED, FOREST, NAIVE, scored_test
+from shelf.plans.inventory import run_inventory, write_inventory
 from shelf.plans.preprocess import preprocess, preprocess_audited
 from shelf.schema import present
 from shelf.sources.io import export_filtered, read_table, read_with_rejects, write_series_table, write_table
@@ -451,6 +454,14 @@ def inventory_averages(spark, d):
     return inv.inventory_averages(t.stock_table(spark, d))
 
 
+@query(total_revenue=2)
+def inventory_files(spark, d):
+    """The plan from panel and forecast to its files, read back."""
+    folder = stage_path(spark, "inventory")
+    write_inventory(run_inventory(t.panel(spark, d), t.recent_forecast(spark, d), ordering_cost=5e6), folder, fmt="parquet")
+    return read_table(spark, f"{folder}/recommendations", fmt="parquet")
+
+
 @query()
 def stock_levels(spark, d):
     return inv.stock_levels(t.stock_table(spark, d))
@@ -503,6 +514,13 @@ def naive_series_metrics(spark, d):
     return fc.metrics(_naive(spark, d, True), "Naive Series")
 
 
+@query()
+def naive_residuals(spark, d):
+    """What the forecast of each test row misses, and the forecast cut at zero."""
+    rows = residual(_naive(spark, d, True)).withColumn("clamped", non_negative(F.col("residual")))
+    return rows.select(*KEYS, "actual_sales", "predicted_sales", "residual", "clamped")
+
+
 @query()
 def metrics_by_store(spark, d):
     return fc.metrics(_naive(spark, d, True), "Naive Series", by=["store"])
