@@ -129,3 +129,12 @@ def test_sales_measures(spark):
     got = derive_sales_measures(df).collect()
     assert [(r["actual_sales"], r["lost_sales"], r["stockout_flag"]) for r in got] == [(4, 6, 1), (3, 0, 0)]
     assert [r["revenue"] for r in got] == [300.0, 30.0]
+
+
+def test_correlation_of_a_constant_column(spark):
+    """A column without variance has no correlation; it must not end the query."""
+    rows = [(1.0, 5, 2.0, None), (2.0, 5, 4.5, None), (4.0, 5, 7.0, 1.0), (None, 5, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "x double, same int, actual_sales double, rare double")
+    got = {r["feature"]: r["correlation"] for r in reports.target_correlation(df).collect()}
+    assert np.isnan(got["same"]) and got["rare"] == pytest.approx(-1.0)
+    assert got["x"] == pytest.approx(np.corrcoef([1.0, 2.0, 4.0], [2.0, 4.5, 7.0])[0, 1])
