@@ -102,3 +102,14 @@ def test_borders_part_columns_evenly(spark):
         copies = np.unique(values, return_counts=True)[1].max()
         assert sizes.max() <= max(2.1 * 4_000 / 32, copies + 4_000 / 32) and sizes.min() > 0
     assert found[1] == [float(x) for x in range(2015, 2024)] and found[2] == []
+
+
+def test_counting_is_reduced_in_the_tasks(spark):
+    """Each task sends a digit once, however many batches it reads; a row makes no row of its own."""
+    from shelf.operators.quantiles import MANTISSA, _entry, _tallied
+
+    df = spark.range(0, 60_000, numPartitions=2).select((F.col("id") % 1000 + 1).cast("double").alias("v0"))
+    made = _tallied(df, [_entry(0, MANTISSA, F.col("v0"), F.lit(True))])
+    rows = {r["low"]: (r["rows"], r["high"]) for r in made.collect()}
+    assert rows[512.0] == (60 * 489, 1000.0) and rows[1.0] == (60, 1.0)
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
