@@ -66,3 +66,18 @@ def test_ranges_split_a_hot_group(skewed):
         .toPandas()["count"]
     )
     assert sizes.max() < 2 * 3_000 / 7
+
+
+def test_blocks_spread_with_the_rows_and_sort_once(spark, skewed, monkeypatch):
+    """More rows make more partitions, and rows are sorted for the window only, not for a join."""
+    from shelf.operators import partitioning
+
+    frame, df = skewed
+    monkeypatch.setattr(partitioning, "TASK_ROWS", 100)
+    blocks = {"_day": F.col("day")}
+    run = running_total(df, {"run": F.col("v")}, blocks=blocks, partition_by=["k"], order_by=["day", "rank", "id"])
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    wide = plan[: plan.index("BuildRight")]
+    assert "ShuffledHashJoin" in wide and wide.count("Sort [") == 1
+    assert run.rdd.getNumPartitions() >= 30
+    assert (got(run) == expected(frame, ["k"], ["day", "rank", "id"])).all()
