@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +30,14 @@ from shelf.staging import stage
 # Ship the histograms with the task: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rounds after which the margins are written, so that passes do not walk all trees again.
-KEEP = 10
+# Rounds after which the margins are written, so that a lost block is not made from all trees again.
+KEEP = 25
+
+# Rows of a block, at least, where a task has that many.
+BLOCK = 1 << 15
+
+# Tasks whose histograms the driver adds up itself.
+DIRECT = 32
 
 # Bits below the labels' scale to which gradients are rounded.
 UNIT_BITS = 20
@@ -128,78 +134,74 @@ class BoostedModel:
         return model
 
 
-def _bins_of(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    """The binary column ``x`` as a matrix, without a copy."""
-    column = batch.column(0)
-    data = np.frombuffer(column.buffers()[2], np.uint8)
-    start = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
-    return data[start : start + len(column) * width].reshape(-1, width)
-
-
 def _store(rows: DataFrame, features: Sequence[str], label: str, borders: list[np.ndarray], base: float) -> DataFrame:
-    """Rows as (x: a byte for each feature's bin, y, m: the margin)."""
+    """Blocks of rows as bytes: x (a byte for each row and feature, its bin), y and m (the margin)."""
+
+    def block(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        bins, labels = (np.concatenate(p) for p in zip(*parts))
+        made = (bins, labels, np.full(len(labels), base))
+        return pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in made], names=["x", "y", "m"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            n = batch.num_rows
-            bins = np.stack(
-                [_binned(batch.column(k).to_numpy(zero_copy_only=False), b) for k, b in enumerate(borders)], axis=1
-            )
-            x = pa.FixedSizeBinaryArray.from_buffers(pa.binary(len(borders)), n, [None, pa.py_buffer(bins.tobytes())])
-            yield pa.RecordBatch.from_arrays(
-                [x.cast(pa.binary()), batch.column(len(borders)), pa.array(np.full(n, base))], names=["x", "y", "m"]
-            )
+            *values, labels = (c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns)
+            waiting.append((np.stack([_binned(v, b) for v, b in zip(values, borders)], axis=1), labels))
+            if sum(len(y) for _, y in waiting) >= BLOCK:
+                yield block(waiting)
+                waiting = []
+        if waiting:
+            yield block(waiting)
 
-    return stage(rows.select(*features, label).mapInArrow(run, "x binary, y double, m double"), "binned")
+    return stage(rows.select(*features, label).mapInArrow(run, "x binary, y binary, m binary"), "binned")
 
 
-def _margins(bins: np.ndarray, batch: pa.RecordBatch, trees: Sequence[Tree]) -> np.ndarray:
-    margin = batch.column(2).to_numpy().copy()
-    for tree in trees:
-        margin += tree.value[tree.leaves(bins)]
-    return margin
+def _blocks(table: DataFrame, width: int) -> RDD:
+    """The stored blocks as arrays, kept in the executors: passes over them neither read nor plan."""
 
+    def arrays(row) -> tuple[np.ndarray, ...]:
+        return np.frombuffer(row[0], np.uint8).reshape(-1, width), np.frombuffer(row[1]), np.frombuffer(row[2])
 
-def _moved(table: DataFrame, trees: Sequence[Tree], width: int) -> DataFrame:
-    """The stored rows with the trees added to their margins."""
+    return table.rdd.map(arrays).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            margin = _margins(_bins_of(batch, width), batch, trees)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(margin)], names=["x", "y", "m"])
 
-    return stage(table.mapInArrow(run, "x binary, y double, m double"), "margins")
+def _moved(blocks: RDD, tree: Tree) -> RDD:
+    """The blocks with the tree added to their margins."""
 
+    def move(block: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        bins, labels, margin = block
+        return bins, labels, margin + tree.value[tree.leaves(bins)]
 
-def _histograms(
-    table: DataFrame, done: Sequence[Tree], tree: Tree, asked: Sequence[int], width: int, bins: int, unit: float
-) -> np.ndarray:
+    return blocks.map(move).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _written(spark: SparkSession, blocks: RDD) -> DataFrame:
+    """The blocks as a stage table, which ends their line of maps."""
+    rows = blocks.map(lambda block: tuple(bytearray(v.tobytes()) for v in block))
+    return stage(spark.createDataFrame(rows, "x binary, y binary, m binary"), "margins")
+
+
+def _histograms(blocks: RDD, tree: Tree, asked: Sequence[int], width: int, bins: int, unit: float) -> np.ndarray:
     """(node, feature, bin, 2): gradients in units and rows of the ``asked`` nodes, one pass."""
     place = np.full(len(tree.feature), -1)
     place[list(asked)] = np.arange(len(asked))
     cells = len(asked) * width * bins
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, rows = np.zeros(cells), np.zeros(cells, np.int64)
-        for batch in batches:
-            x = _bins_of(batch, width)
-            gradient = np.rint((_margins(x, batch, done) - batch.column(1).to_numpy()) / unit)
+    def run(own: Iterator[tuple[np.ndarray, ...]]) -> Iterator[np.ndarray]:
+        hist = np.zeros((2, cells))
+        for x, labels, margin in own:
+            gradient = np.rint((margin - labels) / unit)
             node = place[tree.leaves(x)]
             at = np.flatnonzero(node >= 0)
             first = (node[at, None] * width + np.arange(width)) * bins
             cell = (first + x[at]).ravel()
-            sums += np.bincount(cell, np.repeat(gradient[at], width), cells)
-            rows += np.bincount(cell, None, cells)
-        used = np.flatnonzero(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used]), pa.array(rows[used])], names=["cell", "g", "n"])
+            hist[0] += np.bincount(cell, np.repeat(gradient[at], width), cells)
+            hist[1] += np.bincount(cell, None, cells)
+        yield hist
 
-    made = table.mapInArrow(run, "cell long, g double, n long")
-    # A row for each bin of the asked nodes, at most, reaches the driver.
-    found = made.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).toArrow()
-    hist = np.zeros((cells, 2))
-    hist[found.column("cell").to_numpy(), 0] = found.column("g").to_numpy()
-    hist[found.column("cell").to_numpy(), 1] = found.column("n").to_numpy()
-    return hist.reshape(len(asked), width, bins, 2)
+    # Many tasks' histograms, of a fixed size each, meet in other tasks before the driver adds up the last.
+    depth = 1 if blocks.getNumPartitions() <= DIRECT else 2
+    return blocks.mapPartitions(run).treeReduce(np.add, depth).T.reshape(len(asked), width, bins, 2)
 
 
 def _best(hist: np.ndarray, penalty: float, least: float) -> tuple[float, int, int, np.ndarray] | None:
@@ -220,8 +222,7 @@ def _best(hist: np.ndarray, penalty: float, least: float) -> tuple[float, int, i
 
 
 def _grow(
-    table: DataFrame, done: Sequence[Tree], depth: int, width: int, bins: int, unit: float,
-    rate: float, penalty: float, least: float,
+    blocks: RDD, depth: int, width: int, bins: int, unit: float, rate: float, penalty: float, least: float
 ) -> Tree:
     tree = Tree.empty(depth)
 
@@ -230,7 +231,7 @@ def _grow(
 
     asked, parents, known = [0], {}, {}
     for level in range(depth):
-        made = _histograms(table, done, tree, asked, width, bins, unit)
+        made = _histograms(blocks, tree, asked, width, bins, unit)
         known = dict(zip(asked, made))
         # A sister is what is left of the parent.
         for node, (parent, sister) in parents.items():
@@ -282,12 +283,18 @@ def fit_boosted(
     if not whole["n"]:
         return model
     width = len(features)
-    table = _store(rows, features, label, borders, base)
-    done: list[Tree] = []
-    for _ in range(rounds):
-        if len(done) == KEEP:
-            table, done = _moved(table, done, width), []
-        tree = _grow(table, done, depth, width, bins, unit, rate, penalty, least)
-        done.append(tree)
+    blocks, before = _blocks(_store(rows, features, label, borders, base), width), None
+    for done in range(rounds):
+        tree = _grow(blocks, depth, width, bins, unit, rate, penalty, least)
         model.trees.append(tree)
+        if before is not None:
+            before.unpersist()
+        before, blocks = blocks, _moved(blocks, tree)
+        if (done + 1) % KEEP == 0 and done + 1 < rounds:
+            written = _blocks(_written(rows.sparkSession, blocks), width)
+            blocks.unpersist()
+            blocks = written
+    for kept in (before, blocks):
+        if kept is not None:
+            kept.unpersist()
     return model
