@@ -23,9 +23,14 @@ def _uniform(digest: Column, place: int) -> Column:
     return F.conv(digits, 16, 10).cast("double")
 
 
-def normal_pair(digest: Column) -> tuple[Column, Column]:
-    """Two independent standard normal numbers from a hash (Box-Muller)."""
+def polar_pair(digest: Column) -> tuple[Column, Column]:
+    """Radius and angle of a point in the plane, from a hash (Box-Muller)."""
     # One is added to the first, whose logarithm must exist.
     radius = F.sqrt(F.lit(-2.0) * F.ln((_uniform(digest, 0) + 1) / F.lit(2.0 ** (4 * DIGITS))))
     angle = F.lit(2 * math.pi) * _uniform(digest, 1) / F.lit(2.0 ** (4 * DIGITS))
+    return radius, angle
+
+
+def normal_pair(radius: Column, angle: Column) -> tuple[Column, Column]:
+    """Two independent standard normal numbers, the coordinates of that point."""
     return radius * F.cos(angle), radius * F.sin(angle)

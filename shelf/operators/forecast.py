@@ -11,7 +11,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelf.functions.noise import hashed_key, normal_pair
+from shelf.functions.noise import hashed_key, normal_pair, polar_pair
 from shelf.functions.numeric import non_negative
 from shelf.operators.boosting import BoostedModel, fit_boosted
 from shelf.operators.features import MODEL_FEATURES, date_features, series_window
@@ -203,12 +203,14 @@ def jittered(
         *key, *[c.alias(f"_keep_{n}") for n, c in (keep or {}).items()],
         *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"_f{i}") for i, f in enumerate(features)],
     ).withColumn("_replica", F.explode(F.sequence(F.lit(0), F.lit(replicas))))
-    # Two features share a hash.
+    # Two features share a hash. Hash, radius and angle are columns of their own, so each is made once.
     pairs = range(0, len(features), 2)
     drawn = rows.withColumns({f"_h{i}": hashed_key([*key, "_replica", F.lit(i // 2)], seed) for i in pairs})
+    polar = {i: polar_pair(F.col(f"_h{i}")) for i in pairs}
+    drawn = drawn.withColumns({f"_{n}{i}": c for i in pairs for n, c in zip("ra", polar[i])})
     moves = {}
     for i in pairs:
-        moves |= dict(zip((i, i + 1), normal_pair(F.col(f"_h{i}"))))
+        moves |= dict(zip((i, i + 1), normal_pair(F.col(f"_r{i}"), F.col(f"_a{i}"))))
     return drawn.select(
         *key, "_replica", *[F.col(f"_keep_{n}").alias(n) for n in keep or {}],
         *[
