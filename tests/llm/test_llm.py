@@ -738,3 +738,18 @@ def test_pipeline_stages_against_brute_force(spark, rank_encoding):
     assert collections.Counter((r["doc_id"], bytes(r["ids"])) for r in last) == collections.Counter(
         (r["doc_id"], np.array(rank_encoding.encode_ordinary(r["text"]), "<u4").tobytes()) for r in parts
     )
+
+
+def test_german_mit_is_no_licence(spark):
+    """Unknown windows that reach the threshold teach what probability a family needs by itself."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(7)) for _ in range(300)]
+    prose = [" ".join(rng.choices(words, k=12) + ["mit"] * (i % 25 == 0) + rng.choices(words, k=12)) for i in range(500)]
+    given = ["It is released under the MIT License.", "The sources are covered by an MIT licence"]
+    docs = frame(spark, prose + given)
+    scanner = license_scan.train(docs)
+    rows = scanner.scan(docs).collect()
+    assert {(r["doc_id"], r["family"], r["confirmed"]) for r in rows} == {(500, "MIT", True), (501, "MIT", True)}
+    assert set(scanner.alone) == {"MIT"}
+    scanner.alone = {}
+    assert len(scanner.scan(docs).collect()) > 15
