@@ -104,3 +104,13 @@ def test_odd_tables(spark, rows):
 def test_importance_favours_what_matters(rows):
     weights = boosting.fit_boosted(rows, NAMES, "y", rounds=10, depth=3).importance()
     assert sum(weights) == pytest.approx(1) and weights[3] == 0 and min(weights[:3]) > 0
+
+
+def test_levels_plan_no_queries_and_blocks_are_released(spark, rows, monkeypatch):
+    calls, kind = [], type(rows)
+    made = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: calls.append(1) or made(self, *a, **b))
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    boosting.fit_boosted(rows, NAMES, "y", rounds=3, depth=3)
+    assert len(calls) <= 2
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept

@@ -267,3 +267,9 @@ def test_negative_predictions_are_clamped(spark):
 
     df = spark.createDataFrame([(-1.0,), (None,), (2.0,)], "p double")
     assert [r[0] for r in df.select(non_negative(F.col("p"))).collect()] == [0.0, None, 2.0]
+
+
+def test_noise_of_two_features_is_made_once(spark):
+    rows = spark.createDataFrame([("S", "P", "2024-01-01", 1.0, 2.0)], "store string, product string, date string, a double, b double")
+    plan = fc.jittered(rows, ["a", "b"], replicas=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("conv(") == 2
