@@ -114,10 +114,10 @@ def model_features(model: Model) -> list[str]:
     return [name.removeprefix(INPUT) for name in model.stages[0].getInputCols()]
 
 
-def _training_rows(train: DataFrame, features: Sequence[str], tasks: int = 2) -> DataFrame:
-    """The features as doubles without nulls and the label, spread over all cores, ``tasks`` for each."""
+def _training_rows(train: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The features as doubles without nulls and the label, spread over all cores."""
     label = F.col(TARGET).cast("double").alias("label")
-    rows = spread(train, *present(train, KEY), tasks=tasks).select(*features, label)
+    rows = spread(train, *present(train, KEY)).select(*features, label)
     return model_input(rows, features).select(*[INPUT + f for f in features], "label")
 
 
@@ -132,13 +132,13 @@ def random_forest(
 ) -> PipelineModel:
     features = list(features or feature_names(train))
     assembler = VectorAssembler(inputCols=[INPUT + f for f in features], outputCol="_features")
-    # Without caching of node ids a deep tree is traversed again on every level. A task sends the sums of all
-    # its nodes, however few their rows: a task for each core, and passes whose sums fit into an executor's heap.
+    # Without caching of node ids a deep tree is traversed again on every level. The sums of a
+    # pass are held by every running task, so they are bounded for an executor's heap.
     regressor = RandomForestRegressor(
         numTrees=trees, maxDepth=depth, seed=seed, maxBins=bins, featureSubsetStrategy="all",
         cacheNodeIds=True, maxMemoryInMB=512, featuresCol="_features", predictionCol="_prediction",
     )
-    return Pipeline(stages=[assembler, regressor]).fit(_training_rows(train, features, tasks=1))
+    return Pipeline(stages=[assembler, regressor]).fit(_training_rows(train, features))
 
 
 def boosted_trees(
