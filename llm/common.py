@@ -11,11 +11,29 @@ from pyspark.sql.types import StructField, StructType
 
 # Rows that a Python worker holds at once as Python objects.
 SLICE = 1000
+# Bytes after which a batch ends; a longer row is a batch of its own.
+BATCH_BYTES = 1 << 24
 
 
 def bounded_batches(df: DataFrame) -> None:
-    """Let the session send Python batches of a bounded number of rows; texts may be long."""
+    """Let the session send Python batches of a bounded number of rows and bytes; texts may be long."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SLICE))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+_held: dict[str, tuple] = {}
+
+
+def held(owner: str, name, make: Callable):
+    """What an operator keeps in a Python worker from task to task, under one name at a time.
+
+    Workers serve all operators in turn: what another one left behind is dropped first.
+    """
+    if owner not in _held or _held[owner][0] != name:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        _held[owner] = (name, make())
+    return _held[owner][1]
 
 
 def add_columns(

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from llm.common import add_columns
+from llm.common import add_columns, held
 from llm.components import components
 from shelf.staging import stage
 
@@ -50,7 +50,6 @@ MARK_WORDS = 1 << 18
 _rng = np.random.default_rng(20240607)
 _ODD = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALT = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
-_words: dict[str, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,11 +66,12 @@ def shingles(text: str, n: int = 5) -> np.ndarray:
     found = _WORD.findall(text.lower())
     if not found:
         return np.zeros(0, np.uint64)
-    if len(_words) > 250_000:
-        _words.clear()
-    for w in set(found).difference(_words):
-        _words[w] = xxhash.xxh3_64_intdigest(w)
-    words = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+    known = held("jaccard_join", "words", dict)
+    if len(known) > 250_000:
+        known.clear()
+    for w in set(found).difference(known):
+        known[w] = xxhash.xxh3_64_intdigest(w)
+    words = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     n = min(n, len(words))
     made = np.full(len(words) - n + 1, n, np.uint64)
     for i in range(n):
@@ -438,7 +438,7 @@ def _links(group: pa.RecordBatch, top: int, bottom: int) -> pa.RecordBatch:
 
 
 def _perhaps_in(docs: DataFrame, member: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text) whose id shares a hash mark with one of ``member``.
+    """The rows of ``docs`` whose doc_id shares a hash mark with one of ``member``.
 
     No row of a member is lost; most texts of others stay where they are instead of being shuffled.
     The marks are ``MARK_WORDS`` words of 64 bits at most, however many members there are, so they
@@ -449,9 +449,9 @@ def _perhaps_in(docs: DataFrame, member: DataFrame) -> DataFrame:
     marks = member.select(at.alias("at")).selectExpr(word, bit).groupBy("word").agg(
         F.expr("bit_or(shiftleft(1L, bit))").alias("marks")
     )
-    rows = docs.select("doc_id", "text", at.alias("at")).selectExpr("doc_id", "text", word, bit)
+    rows = docs.select("*", at.alias("at")).selectExpr(*docs.columns, word, bit)
     met = F.expr("d.word = m.word AND getbit(m.marks, d.bit) = 1")
-    return rows.alias("d").join(F.broadcast(marks).alias("m"), met, "left_semi").select("doc_id", "text")
+    return rows.alias("d").join(F.broadcast(marks).alias("m"), met, "left_semi").select(*docs.columns)
 
 
 def _classified(docs: DataFrame, threshold: float, n: int, recall: float) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -477,7 +477,7 @@ def _classified(docs: DataFrame, threshold: float, n: int, recall: float) -> tup
         right = [xxhash.xxh3_128_digest(f.tobytes()) == d for f, d in zip(found, digests)]
         return [[f.tobytes() if r else None for f, r in zip(found, right)]]
 
-    texts = _perhaps_in(docs, member).join(
+    texts = _perhaps_in(docs.select("doc_id", "text"), member).join(
         member.withColumnRenamed("doc_id", "rep_id"), F.col("doc_id").eqNullSafe(F.col("rep_id"))
     )
     filled = add_columns(texts, ["doc_id", "text", "digest"], [StructField("tokens", BinaryType())], tokens)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm import byte_bpe, jaccard_join, kd_topk, license_scan, source_mix, spot_signatures, token_counts
-from llm import token_files, toxicity, warc_chunks
+from llm import common, token_files, toxicity, warc_chunks
 from llm.queries import RANKS, WORDS
 from shelf.session import local_session
 from shelf.staging import stage_path
@@ -210,6 +210,58 @@ def test_toxicity(spark, odd, empty):
     assert toxicity.score(empty, constant).count() == 0 and toxicity.score(odd, constant).count() == len(ODD)
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Long texts, and more rows of a class than one block holds, all train; null texts count as empty."""
+    fill = " ".join(f"plain{k % 50}" for k in range(3000))
+    rows = [(i, f"{fill} vexor {i}" if i % 4 == 0 else None if i == 1 else f"plain{i % 50} word{i % 7}") for i in range(80)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")
+    assert len(fill) > 20_000
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert min(s for i, s in scores.items() if i % 4 == 0) > max(s for i, s in scores.items() if i % 4)
+    many = spark.range(5200).selectExpr("id AS doc_id", "concat('w', id % 90, ' v', id % 2) AS text", "'en' AS lang")
+    marks = many.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic").unionByName(labels.selectExpr("doc_id", "0 AS toxic"))
+    blocks = toxicity.blocks_of(*toxicity.training_rows(many, marks)).collect()
+    learnt = [i for i in range(5200) if zlib.crc32(str(i).encode()) % 5]
+    assert len(blocks) > 2 and max(b["n"] for b in blocks) <= toxicity.BLOCK_ROWS
+    assert sum(b["n"] for b in blocks) == len(learnt) and sum(b["positives"] for b in blocks) == sum(i % 2 for i in learnt)
+
+
+def test_toxicity_model_does_not_depend_on_the_tasks(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", 60)
+    docs, labels = labelled(spark)
+    one = toxicity.train(docs.coalesce(1), labels, epochs=2)
+    other = toxicity.train(docs.repartition(7), labels.repartition(3), epochs=2)
+    assert (one.rows == other.rows).all() and (one.out == other.out).all()
+    assert (one.scale, one.shift, one.thresholds) == (other.scale, other.shift, other.thresholds)
+
+
+def test_toxicity_fit_moves_what_it_is_given(monkeypatch):
+    """Peaks over pieces of a long text are those of the whole text; a block's moves change the weights by as much."""
+    rng = np.random.default_rng(1)
+    fit = toxicity._begin(0)
+    docs = [rng.integers(0, toxicity.BUCKETS, (n, 3)).astype(np.int32) for n in (900, 0, 1, 40)]
+    pooled, found = toxicity._peaks(fit.model, docs)
+    monkeypatch.setattr(toxicity, "_RUN", 64)
+    again, places = toxicity._peaks(fit.model, docs)
+    assert np.allclose(pooled, again, atol=1e-5) and (found == places).all()
+    own = fit.copy()
+    toxicity._fit(docs, np.array([1.0, 0, 0, 1]), 2, 3, own)
+    moved = fit.copy()
+    moved.move_tail(own.tail() - fit.tail())
+    assert np.allclose(moved.tail(), own.tail()) and not np.allclose(fit.tail(), own.tail())
+    assert (own.model.rows != fit.model.rows).any(axis=1).sum() > 0
+
+
+def test_workers_hold_the_state_of_one_operator():
+    """Workers serve all operators in turn; what one kept goes when another begins."""
+    first = common.held("one", "a", dict)
+    assert common.held("one", "a", dict) is first
+    assert common.held("one", "b", dict) is not first
+    other = common.held("two", "a", list)
+    assert list(common._held) == ["two"] and common.held("two", "a", list) is other
+
+
 def test_long_texts_are_scored_whole(monkeypatch):
     rng = np.random.default_rng(0)
     model = toxicity._fit([], np.zeros(0), 1, 0)
