@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField
 
-from llm.common import add_columns
+from llm.common import add_columns, held
 
 # Symbols.
 LETTER, DIGIT, OTHER, SHORT, LONG, SPACE, LEAD, LAST, EDGE = range(9)
@@ -376,21 +376,19 @@ def groups(texts: list, chars: int = 1 << 21) -> Iterator[list]:
         yield group
 
 
-_encoders: dict[str, Encoder] = {}
-_decoders: dict[str, Decoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder for each rank file and Python process."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    kept = held("byte_bpe", "coders", dict)
+    if ("encoder", path) not in kept:
+        kept["encoder", path] = Encoder(path)
+    return kept["encoder", path]
 
 
 def decoder(path: str) -> Decoder:
-    if path not in _decoders:
-        _decoders[path] = Decoder(path)
-    return _decoders[path]
+    kept = held("byte_bpe", "coders", dict)
+    if ("decoder", path) not in kept:
+        kept["decoder", path] = Decoder(path)
+    return kept["decoder", path]
 
 
 EVERY = 256
