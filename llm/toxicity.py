@@ -508,7 +508,7 @@ def _fit_blocks(blocks: DataFrame, n: int, positives: int, epochs: int, seed: in
         tail = np.zeros_like(fit.tail())
         tail[at[~row] - BUCKETS] = move[~row]
         fit.move_tail(tail)
-        shared.unpersist()
+        shared.destroy()
     return fit.model
 
 
@@ -529,7 +529,7 @@ def _calibrate(model: Model, blocks: DataFrame) -> None:
 
     made = blocks.mapInArrow(logits, "lang string, y int, bin int").groupBy("lang", "y", "bin").agg(F.count("*").alias("n"))
     counts = stage(made, "toxicity-logits")
-    shared.unpersist()
+    shared.destroy()
     z, y, n = _columns(counts.groupBy("y", "bin").agg(F.sum("n").alias("n")))
     a, b, weight = 1.0, 0.0, n / n.sum()
     if len(set(y.tolist())) == 2:
