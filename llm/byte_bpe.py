@@ -14,10 +14,13 @@ import base64
 import heapq
 import sys
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField
 
@@ -35,6 +38,8 @@ WHITE_SPACE = [
 ]
 _END = sys.maxunicode + 1
 _WINDOW = 1 << 21
+# Pre-tokens whose ids are gathered at once; code points up to which a text is split without arrays.
+_RUN, _SHORT_TEXT = 1 << 18, 512
 
 
 def _step(state: int, symbol: int) -> tuple[int, bool]:
@@ -54,6 +59,10 @@ def _step(state: int, symbol: int) -> tuple[int, bool]:
     return (AFTER_LEAD if symbol == LEAD else NEW), True
 
 
+_STEPS = [[_step(q, s) for s in range(8)] for q in range(8)]
+_AFTER_SHORT, _AFTER_LONG = frozenset("stmd"), frozenset(["re", "ve", "ll"])
+
+
 def _monoid() -> tuple[list[list[int]], list[tuple[int, ...]], list[int]]:
     """Products and values of the elements, and the element of each symbol."""
     elements = [tuple(range(8))]
@@ -174,25 +183,71 @@ def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-def split(texts: list[str]) -> tuple[list[str], list[int]]:
-    """All pre-tokens in order, and where each text's begin, after a mark that is to be skipped."""
+def _starts(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts end to end, a mark before each; its code points, where tokens start, and where the marks are among these."""
     whole = "\0" + "\0".join(texts)
     codes = codes_of(whole).copy()
     edges = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
     codes[edges] = _END
     starts = cuts(codes)
-    first = np.searchsorted(starts, edges)
-    marks = starts.tolist()
-    slices = list(map(whole.__getitem__, map(slice, marks, [*marks[1:], len(whole)])))
-    return slices, [*first.tolist(), len(slices)]
+    codes[edges] = 0
+    return whole, codes, starts, np.append(np.searchsorted(starts, edges), len(starts))
+
+
+def _pieces_short(text: str) -> list[str]:
+    """The pre-tokens of a short text, code point by code point; arrays pay only for many."""
+    kinds, out, state, begin = [*map(_kind, text), EDGE], [], NEW, 0
+    for i, (char, symbol, then) in enumerate(zip(text, kinds, kinds[1:])):
+        if symbol == SPACE and then != SPACE and then != EDGE:
+            symbol = LEAD if char == " " else LAST
+        elif char == "'":
+            ahead = text[i + 1 : i + 3]
+            symbol = SHORT if ahead[:1] in _AFTER_SHORT else LONG if ahead in _AFTER_LONG else symbol
+        state, starts = _STEPS[state][symbol]
+        if starts and i:
+            out.append(text[begin:i])
+            begin = i
+    if text:
+        out.append(text[begin:])
+    return out
+
+
+@lru_cache(maxsize=1 << 12)
+def _kind(char: str) -> int:
+    return int(classes()[ord(char)])
 
 
 def pieces(texts: list[str]) -> list[list[str]]:
     """The pre-tokens of each text."""
     if not texts:
         return []
-    flat, first = split(texts)
-    return [flat[a + 1 : b] for a, b in zip(first, first[1:])]
+    if len(texts) == 1 and len(texts[0]) <= _SHORT_TEXT:
+        return [_pieces_short(texts[0])]
+    whole, _, starts, first = _starts(texts)
+    marks = starts.tolist()
+    flat = list(map(whole.__getitem__, map(slice, marks, [*marks[1:], len(whole)])))
+    return [flat[a + 1 : b] for a, b in zip(first.tolist(), first[1:].tolist())]
+
+
+def distinct(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The different pre-tokens of some texts; for all in order, after a mark that is to be skipped in each text,
+    which one it is and its code points; where each text's begin."""
+    whole, codes, starts, first = _starts(texts)
+    width = np.ones(len(codes), np.uint8)
+    for least in (0x80, 0x800, 0x10000):
+        width += codes >= least
+    raw = whole.encode()
+    ends = np.cumsum(np.add.reduceat(width, starts, dtype=np.int32), dtype=np.int32)
+    buffers = [None, pa.py_buffer(np.append(np.int32(0), ends)), pa.py_buffer(raw)]
+    found = pa.Array.from_buffers(pa.string(), len(starts), buffers).dictionary_encode()
+    words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return words, found.indices.to_numpy(), np.diff(starts, append=len(whole)), first
+
+
+def gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of ``flat``, given by their first places and sizes, end to end."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -265,6 +320,9 @@ class Encoder(Decoder):
         self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
         self.merged = np.append(np.array(ids, np.int32)[order], np.int32(self._MISS))
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        # Ranks of pairs of bytes; a column behind them for the end of a word.
+        pair = [[self.ranks.get(bytes([a, b]), self._MISS) for b in range(256)] + [self._MISS] for a in range(256)]
+        self.pairs = np.array(pair + [[self._MISS] * 257], np.int32).ravel()
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 32 | right
@@ -275,10 +333,11 @@ class Encoder(Decoder):
         """Ids of words of similar length: in each round every word merges its best pair."""
         sizes = np.array(list(map(len, words)))
         width = int(sizes.max()) + 1
-        ids = np.full((len(words), width), -1, np.int32)
-        ids[np.arange(width)[None, :] < sizes[:, None]] = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        text = np.full((len(words), width), 256, np.int32)
+        text[np.arange(width)[None, :] < sizes[:, None]] = np.frombuffer(b"".join(words), np.uint8)
+        ids = np.append(self.single, np.int32(-1))[text]
         rank = np.full(ids.shape, self._MISS, np.int32)
-        rank[:, :-1] = self._rank(ids[:, :-1], ids[:, 1:])
+        rank[:, :-1] = self.pairs[text[:, :-1] * 257 + text[:, 1:]]
         done: list[bytes] = [b""] * len(words)
         row = np.arange(len(words))
         while len(row):
@@ -308,6 +367,20 @@ class Encoder(Decoder):
             rank[inner, prior] = self._rank(ids[inner, prior], value[inner])
         return done
 
+    def _merge_short(self, word: bytes) -> bytes:
+        """Ids of one short word: the best pair is looked for among all."""
+        text, rank_of, miss = [word[i : i + 1] for i in range(len(word))], self.ranks.get, self._MISS
+        rank = [rank_of(a + b, miss) for a, b in zip(text, text[1:])]
+        while rank and (best := min(rank)) != miss:
+            i = rank.index(best)
+            text[i : i + 2] = [text[i] + text[i + 1]]
+            del rank[i]
+            if i < len(rank):
+                rank[i] = rank_of(text[i] + text[i + 1], miss)
+            if i:
+                rank[i - 1] = rank_of(text[i - 1] + text[i], miss)
+        return array("I", [self.ranks[t] for t in text]).tobytes()
+
     def _merge_long(self, word: bytes) -> bytes:
         """Ids of one long word: a heap of pairs over a linked list, n log n."""
         ids = [self.ranks[bytes([b])] for b in word]
@@ -338,40 +411,49 @@ class Encoder(Decoder):
 
     def learn(self, words: set[str]) -> None:
         """Add the ids of ``words`` to the cache."""
-        missing = sorted(((w.encode(), w) for w in words.difference(self.cache)), key=lambda x: len(x[0]))
+        missing = list(words.difference(self.cache))
         if len(self.cache) + len(missing) > self.cache_size:
             for old in list(islice(self.cache, max(0, len(self.cache) - self.cache_size // 2))):
                 if old not in words:
                     del self.cache[old]
-        # Arrays pay only for many words at once.
-        short = [x for x in missing if len(x[0]) <= 64] if len(missing) >= 16 else []
-        for k in range(0, len(short), 8192):
-            part = short[k : k + 8192]
-            for (_, word), ids in zip(part, self._merge_many([b for b, _ in part])):
-                self.cache[word] = ids
-        for raw, word in missing[len(short) :]:
-            self.cache[word] = self._merge_long(raw)
+        raw = list(map(str.encode, missing))
+        if len(missing) < 16:  # arrays pay only for many words at once
+            self.cache.update((w, self._merge_short(r) if len(r) <= 64 else self._merge_long(r)) for w, r in zip(missing, raw))
+            return
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        order = np.argsort(sizes, kind="stable")
+        many = int((sizes <= 64).sum())
+        for k in range(0, many, 8192):
+            part = order[k : min(many, k + 8192)].tolist()
+            self.cache.update(zip(map(missing.__getitem__, part), self._merge_many(list(map(raw.__getitem__, part)))))
+        for i in order[many:].tolist():
+            self.cache[missing[i]] = self._merge_long(raw[i])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
         for group in groups(texts):
-            flat, first = split(group)
-            self.learn(set(flat))
-            ids = list(map(self.cache.__getitem__, flat))
-            out += [b"".join(ids[a + 1 : b]) for a, b in zip(first, first[1:])]
+            words, code, _, first = distinct(group)
+            self.learn(set(words))
+            ids = list(map(self.cache.__getitem__, words))
+            flat, size = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            code, first = np.delete(code, first[:-1]), first - np.arange(len(first))  # without the marks
+            begin = np.cumsum(size) - size
+            made = [gathered(flat, begin[c], size[c]).tobytes() for c in np.split(code, range(_RUN, len(code), _RUN))]
+            whole, marks = b"".join(made), 4 * np.append(0, np.cumsum(size[code]))[first]
+            out += [whole[a:b] for a, b in zip(marks.tolist(), marks[1:].tolist())]
         return out
 
 
-def groups(texts: list, chars: int = 1 << 21) -> Iterator[list]:
+def groups(texts: list, chars: int = 1 << 21, length: Callable = len) -> Iterator[list]:
     """Runs of texts of bounded total length; a longer text is a run of its own."""
     group, size = [], 0
     for text in texts:
-        if group and size + len(text) > chars:
+        if group and size + length(text) > chars:
             yield group
             group, size = [], 0
         group.append(text)
-        size += len(text)
+        size += length(text)
     if group:
         yield group
 

@@ -10,7 +10,8 @@ where it stands. Edited documents come back as rows of the same kind of table.
 
 from __future__ import annotations
 
-from itertools import accumulate
+from itertools import accumulate, chain
+from operator import add
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -42,10 +43,15 @@ class TokenTree:
             self.width *= 2
         empty = self.width - len(texts)
         self.texts = texts + [""] * empty
-        self.chars = [0] * self.width + list(chars) + [0] * empty
-        self.tokens = [0] * self.width + list(tokens) + [0] * empty
-        for i in range(self.width - 1, 0, -1):
-            self._sum(i)
+        self.chars = self._above([*chars, *[0] * empty])
+        self.tokens = self._above([*tokens, *[0] * empty])
+
+    def _above(self, level: list[int]) -> list[int]:
+        """The sums of all nodes, from those of the leaves."""
+        levels = [level]
+        while len(levels[-1]) > 1:
+            levels.append(list(map(add, levels[-1][::2], levels[-1][1::2])))
+        return [0, *chain.from_iterable(reversed(levels))]
 
     def _counts(self, pieces: list[str]) -> list[int]:
         self.encoder.learn(set(pieces))
@@ -142,17 +148,16 @@ def trees(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str =
     def compute(texts):
         encoder = byte_bpe.encoder(ranks_path)
         chars, tokens, pieces = [], [], []
-        # The words of many texts are merged together; each tree then finds its own in the cache.
+        # The words of many texts are merged together; each tree then sums up its own.
         for group in byte_bpe.groups(texts):
-            found = byte_bpe.pieces(group)
-            encoder.learn(set().union(*found))
-            for own in found:
-                runs = np.arange(0, len(own), leaf)
-                size = np.fromiter(map(len, own), np.int64, len(own))
-                ids = np.fromiter(map(len, map(encoder.cache.__getitem__, own)), np.int64, len(own)) // 4
-                chars.append(np.add.reduceat(size, runs) if len(own) else size)
-                tokens.append(np.add.reduceat(ids, runs) if len(own) else ids)
-                pieces.append(len(own))
+            words, code, size, first = byte_bpe.distinct(group)
+            encoder.learn(set(words))
+            ids = np.fromiter(map(len, map(encoder.cache.__getitem__, words)), np.int64, len(words))[code] // 4
+            for a, b in zip(first.tolist(), first[1:].tolist()):
+                runs = np.arange(a + 1, b, leaf)
+                chars.append(np.add.reduceat(size[:b], runs) if len(runs) else size[:0])
+                tokens.append(np.add.reduceat(ids[:b], runs) if len(runs) else ids[:0])
+                pieces.append(b - a - 1)
         return [chars, tokens, pieces]
 
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(text).alias("text"))
