@@ -501,14 +501,18 @@ def _fit_blocks(blocks: DataFrame, n: int, positives: int, epochs: int, seed: in
         moves = blocks.mapInArrow(_moved(shared, epoch, seed, weight), schema).groupBy("bucket").agg(
             *[(F.sum(c) / F.sum("n") / F.lit(float(_UNIT))).cast("float").alias(c) for c in ("past", *_MOVES)]
         ).toArrow()
-        at, move = moves["bucket"].to_numpy(), np.stack([moves[c].to_numpy() for c in _MOVES], axis=1)
-        row, fit = at < BUCKETS, fit.copy()
-        fit.model.rows[at[row]] += move[row]
+        shared.destroy()
+        # The tasks had their own copy: the weights move in place, a column at a time.
+        at = moves["bucket"].to_numpy()
+        row, tail = at < BUCKETS, np.zeros_like(fit.tail())
         fit.past_rows[at[row]] += moves["past"].to_numpy()[row]
-        tail = np.zeros_like(fit.tail())
-        tail[at[~row] - BUCKETS] = move[~row]
+        for i, c in enumerate(_MOVES):
+            move = moves[c].to_numpy()
+            fit.model.rows[at[row], i] += move[row]
+            tail[at[~row] - BUCKETS, i] = move[~row]
         fit.move_tail(tail)
-        shared.destroy()
+        del moves
+        pa.default_memory_pool().release_unused()
     return fit.model
 
 

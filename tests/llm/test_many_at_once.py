@@ -4,7 +4,7 @@ import random
 
 import public_tokenizers
 
-from llm import byte_bpe
+from llm import byte_bpe, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -32,3 +32,15 @@ def test_short_texts_and_words_are_split_and_merged_like_long_ones():
         whole = byte_bpe.pieces([text, ""])[0]
         assert byte_bpe.pieces([text])[0] == whole
         assert all(encoder._merge_short(p.encode()) == encoder._merge_long(p.encode()) for p in whole)
+
+
+def test_driver_keeps_one_model_while_it_trains(spark, monkeypatch):
+    rows = [(i, ("bad awful " if i % 2 else "good kind ") * 5, "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    copies = []
+    copy = toxicity._Fit.copy
+    monkeypatch.setattr(toxicity._Fit, "copy", lambda own: copies.append(own) or copy(own))
+    model = toxicity.train(docs, labels, epochs=2)
+    low, high = toxicity.Scorer(model).score(["good kind", "bad awful"])
+    assert not copies and low < high
