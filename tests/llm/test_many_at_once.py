@@ -1,12 +1,15 @@
 """Operators look up, tokenise and hash the different words of many texts at once."""
 
 import random
+import types
 
+import numpy as np
 import public_tokenizers
 
-from llm import byte_bpe, toxicity
+from llm import byte_bpe, token_files, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def test_words_are_looked_up_once_in_all_texts():
@@ -34,6 +37,20 @@ def test_short_texts_and_words_are_split_and_merged_like_long_ones():
         assert all(encoder._merge_short(p.encode()) == encoder._merge_long(p.encode()) for p in whole)
 
 
+def test_plain_words_are_tokenised_in_one_call():
+    encoder = token_files.WordEncoder(WORDS, 1)
+    lib = encoder.lib
+    texts = ["Über the Word, word. " * 3, "", "le élève!!", "\n", "the  *** 12 it's <|endoftext|>"]
+    expected = [[*lib.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+    def refuse(word):
+        raise AssertionError(f"a call for {word}")
+
+    encoder.lib = types.SimpleNamespace(encode=lib.encode, model=types.SimpleNamespace(tokenize=refuse))
+    got = [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode(texts)]
+    assert got == expected
+
+
 def test_driver_keeps_one_model_while_it_trains(spark, monkeypatch):
     rows = [(i, ("bad awful " if i % 2 else "good kind ") * 5, "en") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
