@@ -15,6 +15,7 @@ not depend on the number of tasks. The driver holds the weights, which do not gr
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,10 +24,12 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
+from llm.byte_bpe import codes_of, groups
 from llm.common import add_columns, bounded_batches, held
 from llm.jaccard_join import _perhaps_in
 from shelf.staging import stage
@@ -36,6 +39,8 @@ _SPACE = re.compile(r"\s")
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 16, 8, (1, 2, 3)
 _AHEAD = max(WIDTHS) - 1
 _TEXT_PART = 1 << 20
+#: Code points whose words are told apart at once.
+_GROUP = 1 << 21
 _EVERY = FILTERS * len(WIDTHS)
 #: A block of training rows ends at this many rows, words or distinct words.
 BLOCK_ROWS, BLOCK_WORDS, BLOCK_VOCABULARY = 2048, 1 << 21, 1 << 18
@@ -45,11 +50,44 @@ _SPREAD = 4
 _RUN, _UNIT, _BINS = 1 << 15, 1 << 24, 256
 
 
-def buckets(words: list[str]) -> np.ndarray:
-    """The three hashed rows of each word."""
-    crc = zlib.crc32
-    flat = [crc(x.encode()) for w in words for x in (w, f"4{w[:4]} ", f"6{w[:6]} ")]
-    return (np.array(flat, np.int64) % BUCKETS).astype(np.int32).reshape(-1, 3)
+def buckets(words: list[str] | pa.StringArray) -> np.ndarray:
+    """The three hashed rows of each word: crc32 of the word, of "4" and four letters, of "6" and six, these with a space."""
+    words = pa.array(words, pa.string()) if isinstance(words, list) else words
+    whole = _crc32(words, pc.binary_length(words))
+    starts = [_crc32(words, pc.binary_length(pc.utf8_slice_codeunits(words, 0, k)), b"%d" % k, b" ") for k in (4, 6)]
+    return (np.stack([whole, *starts], axis=1) % BUCKETS).astype(np.int32)
+
+
+# The state after one byte from state 0: crc32 starts and ends by turning all bits.
+_CRC = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)], np.uint32)
+#: Bytes of a word that are hashed in step with those of others; longer words are hashed alone.
+_STEP_BYTES = 64
+
+
+def _crc32(words: pa.StringArray, sizes: pa.Array, before: bytes = b"", after: bytes = b"") -> np.ndarray:
+    """crc32 of ``before``, the first bytes of each word and ``after``, byte by byte for all words at once."""
+    _, offsets, data = words.buffers()
+    first = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words)]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    sizes = sizes.to_numpy(zero_copy_only=False)
+    order = np.argsort(-sizes.clip(max=_STEP_BYTES + 1), kind="stable")
+    sizes, first = sizes[order], first[order]
+    state = np.full(len(order), zlib.crc32(before) ^ 0xFFFFFFFF, np.uint32)
+    long = int((sizes > _STEP_BYTES).sum())
+    for i in range(long):
+        raw = data[first[i] : first[i] + sizes[i]].tobytes()
+        state[i] = zlib.crc32(raw, zlib.crc32(before)) ^ 0xFFFFFFFF
+    for k in range(_STEP_BYTES):
+        end = int(np.searchsorted(-sizes, -k, "left"))  # words with more than k bytes come first
+        if end <= long:
+            break
+        now = state[long:end]
+        state[long:end] = _CRC[(now ^ data[first[long:end] + k]) & 255] ^ (now >> np.uint32(8))
+    for byte in after:
+        state = _CRC[(state ^ np.uint32(byte)) & 255] ^ (state >> np.uint32(8))
+    out = np.empty(len(order), np.int64)
+    out[order] = state ^ np.uint32(0xFFFFFFFF)
+    return out
 
 
 @dataclass
@@ -96,37 +134,64 @@ def parts(text: str) -> Iterator[tuple[list[str], int]]:
         carried, start = words[count:], end
 
 
+_word_codes: np.ndarray | None = None
+
+
+def word_codes() -> np.ndarray:
+    """Which code points a word is made of: those that the pattern's ``\\w`` matches."""
+    global _word_codes
+    if _word_codes is None:
+        _word_codes = np.array([c == "_" or c.isalnum() for c in map(chr, range(sys.maxunicode + 1))])
+    return _word_codes
+
+
+def distinct_words(texts: list[str]) -> tuple[pa.StringArray, list[np.ndarray]]:
+    """The different words of some lower-case texts; for each text which ones it has, in order."""
+    whole = "\0".join(texts)
+    codes = codes_of(whole)
+    inside = word_codes()[codes]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    raw = np.frombuffer(whole.encode(), np.uint8)
+    if len(raw) == len(codes):
+        size, mask = edges[1::2] - edges[::2], inside
+    else:
+        width = np.ones(len(codes) + 1, np.uint8)
+        for least in (0x80, 0x800, 0x10000):
+            width[:-1] += codes >= least
+        size = np.add.reduceat(width, edges, dtype=np.int64)[::2] if len(edges) else edges
+        mask = np.repeat(inside, width[:-1])
+    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(raw[mask])])
+    found = words.dictionary_encode()
+    begin = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
+    return found.dictionary, np.split(found.indices.to_numpy(), np.searchsorted(edges[::2], begin[1:]))
+
+
+def _pieces(texts: list[str]) -> Iterator[tuple[int, str, bool]]:
+    """Which text, its lower-case words, and whether it ends there. Long texts are cut at white space."""
+    for d, text in enumerate(texts):
+        text, start = text.lower(), 0
+        while len(text) - start > _TEXT_PART and (seam := _SPACE.search(text, start + _TEXT_PART)):
+            yield d, text[start : seam.start()], False
+            start = seam.start()
+        yield d, text[start:] if start else text, True
+
+
 class Scorer:
-    """A model with a bounded cache of word vectors."""
-
-    def __init__(self, model: Model, cache_size: int = 250_000):
-        self.model, self.cache_size = model, cache_size
-        self._clear()
-
-    def _clear(self) -> None:
-        self.place: dict[str, int] = {"": 0}
-        self.vectors = np.zeros((1 << 14, DIM), np.float32)
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.place) + len(words) > self.cache_size:
-            self._clear()
-        new = list(words.difference(self.place))
-        first = len(self.place)
-        while first + len(new) > len(self.vectors):
-            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-        if new:
-            self.vectors[first : first + len(new)] = self.model.rows[buckets(new)].sum(axis=1)
-            self.place.update(zip(new, range(first, first + len(new))))
-
-    def _pool(self, runs: list[tuple[int, list[str], int]], pooled: np.ndarray) -> None:
-        flat = [w for _, words, _ in runs for w in (*words, *[""] * _AHEAD)]
-        self._learn(set(flat))
-        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
-        vectors = self.vectors[at]
-        ends = np.cumsum([len(words) + _AHEAD for _, words, _ in runs])
-        starts = ends - [len(words) + _AHEAD for _, words, _ in runs]
-        docs = np.array([d for d, _, _ in runs])
-        counts = np.array([n for _, _, n in runs])
+    """Scores of texts: Arrow tells their different words, whose vectors each occurrence takes."""
+
+    def __init__(self, model: Model):
+        self.model = model
+
+    def _pool(self, runs: list[tuple[int, int, np.ndarray, int]], tables: list[np.ndarray], pooled: np.ndarray) -> None:
+        base = np.cumsum([1, *map(len, tables)])
+        table = np.concatenate([np.zeros((1, DIM), np.float32), *tables])
+        pad = np.zeros(_AHEAD, np.int64)
+        vectors = table[np.concatenate([x for _, t, words, _ in runs for x in (words + base[t], pad)])]
+        ends = np.cumsum([len(words) + _AHEAD for _, _, words, _ in runs])
+        starts = ends - [len(words) + _AHEAD for _, _, words, _ in runs]
+        docs = np.array([d for d, _, _, _ in runs])
+        counts = np.array([n for _, _, _, n in runs])
         full = counts > 0
         if not full.any():
             return
@@ -138,17 +203,28 @@ class Scorer:
             np.maximum.at(pooled[:, w * FILTERS : (w + 1) * FILTERS], docs[full], top)
 
     def score(self, texts: list[str]) -> np.ndarray:
+        """The probability of each text. Windows at a seam of a long text are computed behind it."""
         pooled = np.zeros((len(texts), FILTERS * len(WIDTHS)), np.float32)
-        runs, size = [], 0
-        for d, text in enumerate(texts):
-            for words, count in parts(text):
-                runs.append((d, words, count))
+        runs, tables, size, carried = [], [], 0, []
+        for group in groups(list(_pieces(texts)), _GROUP, lambda piece: len(piece[1])):
+            vocabulary, found = distinct_words([text for _, text, _ in group])
+            tables.append(self.model.rows[buckets(vocabulary)].sum(axis=1))
+            for (d, _, last), words in zip(group, found):
+                if carried:
+                    # The words before the seam come with their vectors.
+                    known = len(tables[-1])
+                    tables[-1] = np.concatenate([tables[-1], carried.pop()])
+                    words = np.append(np.arange(known, len(tables[-1])), words)
+                count = len(words) if last else max(0, len(words) - _AHEAD)
+                runs.append((d, len(tables) - 1, words, count))
+                if not last:
+                    carried.append(tables[-1][words[count:]])
                 size += len(words)
                 if size > 150_000:
-                    self._pool(runs, pooled)
-                    runs, size = [], 0
+                    self._pool(runs, tables, pooled)
+                    runs, tables, size = [], [tables[-1]], 0
         if runs:
-            self._pool(runs, pooled)
+            self._pool(runs, tables, pooled)
         return self.model.probability(pooled.astype(np.float64))
 
 

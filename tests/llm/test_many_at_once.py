@@ -2,9 +2,11 @@
 
 import random
 import types
+import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 from llm import byte_bpe, token_files, toxicity
 
@@ -51,6 +53,30 @@ def test_plain_words_are_tokenised_in_one_call():
     assert got == expected
 
 
+def test_words_are_hashed_in_step(monkeypatch):
+    calls = []
+    count = types.SimpleNamespace(crc32=lambda *a: calls.append(a) or zlib.crc32(*a))
+    words = ["a", "abcd", "éléphant", "漢字漢字漢字漢字", "", "x" * 64, *(f"w{i}" for i in range(300))]
+    monkeypatch.setattr(toxicity, "zlib", count)
+    made = toxicity.buckets(words)
+    expected = [[zlib.crc32(x.encode()) % toxicity.BUCKETS for x in (w, f"4{w[:4]} ", f"6{w[:6]} ")] for w in words]
+    assert made.tolist() == expected and len(calls) < 10
+    assert toxicity.buckets(["y" * 5000, "a"]).tolist()[0][0] == zlib.crc32(b"y" * 5000) % toxicity.BUCKETS
+
+
+@pytest.mark.parametrize("part", [20, 1 << 20])
+def test_words_are_those_of_the_pattern(monkeypatch, part):
+    monkeypatch.setattr(toxicity, "_TEXT_PART", part)
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("aZé1٣ \n\t.$_\0ß漢😀́²½ªΣİ") for _ in range(60)) for _ in range(50)] + ["", "a"]
+    found = list(toxicity._pieces(texts))
+    vocabulary, words = toxicity.distinct_words([text for _, text, _ in found])
+    names, made = vocabulary.to_pylist(), [[] for _ in texts]
+    for (d, _, _), own in zip(found, words):
+        made[d] += [names[i] for i in own]
+    assert made == [toxicity._WORD.findall(t.lower()) for t in texts]
+
+
 def test_driver_keeps_one_model_while_it_trains(spark, monkeypatch):
     rows = [(i, ("bad awful " if i % 2 else "good kind ") * 5, "en") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
